@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .debruijn_dedup import op7_substring_dedup
 from .suffix_dedup import op1_suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_suffix_dedup": op1_suffix_dedup}
+    return {
+        "op1_suffix_dedup": op1_suffix_dedup,
+        "op7_substring_dedup": op7_substring_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
