@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .debruijn_dedup import op7_substring_dedup
+from .packing import op2_best_fit_packing
 from .suffix_dedup import op1_suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_best_fit_packing": op2_best_fit_packing,
         "op7_substring_dedup": op7_substring_dedup,
     }
 
