@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .debruijn_dedup import op7_substring_dedup
+from .html_text import op6_html_extraction
 from .packing import op2_best_fit_packing
+from .quality import OP5_SQL, op5_quality_rules
 from .suffix_dedup import op1_suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +19,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op5_quality_rules": op5_quality_rules,
+        "op6_html_extraction": op6_html_extraction,
         "op7_substring_dedup": op7_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": OP5_SQL}
