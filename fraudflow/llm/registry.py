@@ -11,6 +11,7 @@ from .html_text import op6_html_extraction
 from .packing import op2_best_fit_packing
 from .quality import OP5_SQL, op5_quality_rules
 from .suffix_dedup import op1_suffix_dedup
+from .warc import OP8_SQL, op8_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +23,9 @@ def queries() -> dict[str, Query]:
         "op5_quality_rules": op5_quality_rules,
         "op6_html_extraction": op6_html_extraction,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_warc": op8_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op8_warc": OP8_SQL}
