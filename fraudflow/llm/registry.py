@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .debruijn_dedup import op7_substring_dedup
+from .decontaminate import OP4_SQL, op4_decontamination
 from .html_text import op6_html_extraction
 from .packing import op2_best_fit_packing
 from .quality import OP5_SQL, op5_quality_rules
 from .suffix_dedup import op1_suffix_dedup
+from .toxicity import op9_toxicity
 from .warc import OP8_SQL, op8_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +22,14 @@ def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op4_decontamination": op4_decontamination,
         "op5_quality_rules": op5_quality_rules,
         "op6_html_extraction": op6_html_extraction,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_warc": op8_warc,
+        "op9_toxicity": op9_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL, "op8_warc": OP8_SQL}
+    return {"op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL, "op8_warc": OP8_SQL}
