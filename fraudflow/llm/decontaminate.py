@@ -26,7 +26,7 @@ BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column) -> Column:
-    """Words of a text as it is."""
+    """Words of a lower-cased text."""
     return F.filter(F.split(text, _GAP), lambda w: w != "")
 
 
@@ -116,7 +116,7 @@ def contamination(
     found = spans.select("k1", "k2", "item", places.alias("places")).groupBy("k1", "k2").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items")
     )
-    out = rows.select("id", "k1", "k2", F.size(words(F.col("text"))).cast("long").alias("n_words")).join(found, ["k1", "k2"], "left")
+    out = rows.select("id", "k1", "k2", F.size(words(F.lower("text"))).cast("long").alias("n_words")).join(found, ["k1", "k2"], "left")
     none = F.array().cast("array<string>")
     return out.select(
         F.col("id").alias(key), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
