@@ -49,6 +49,8 @@ def _grams(df: DataFrame, hashes: str, size: int) -> tuple[DataFrame, str]:
     return df, last
 
 
+# explode_outer below: explode would make Spark filter on the size of its array before
+# computing it, with all steps of the fingerprints written out inside that filter
 def fingerprints(rows: DataFrame, window: int, gram: int, short: list[int]) -> DataFrame:
     """``rows`` (with ``ws``) and their fingerprints ``fps``; all grams of the ``short`` sizes count too."""
     kept = rows.columns
@@ -67,12 +69,10 @@ def fingerprints(rows: DataFrame, window: int, gram: int, short: list[int]) -> D
     return df.select(*kept, F.array_distinct(F.concat(*found)).alias("fps"))
 
 
-def _spans(item: Column, doc: Column, window: int) -> Column:
-    """Starts of the document's windows that are windows of the item."""
-    size = F.least(F.size(item), F.lit(window))
-    text = lambda array, i: F.concat_ws(" ", F.slice(array, i + 1, size))
-    starts = lambda array: F.when(F.size(array) >= size, F.sequence(F.lit(0), F.size(array) - size)).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts(doc), lambda i: F.array_contains(F.transform(starts(item), lambda j: text(item, j)), text(doc, i)))
+def _windows(array: Column, size: Column) -> Column:
+    """The texts of all ``size`` consecutive words; words hold no spaces, so texts are equal where words are."""
+    starts = F.when(F.size(array) >= size, F.sequence(F.lit(0), F.size(array) - size)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(array, i + 1, size)))
 
 
 def contamination(
@@ -91,14 +91,15 @@ def contamination(
     plain = lambda c: F.coalesce(F.col(c), F.lit(""))
     exact = lambda c: words(F.translate(c, _UPPER, _LOWER))
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), exact(plain(item_text)).alias("iw"))
-    items = written(items.where(F.size("iw") > 0).distinct(), "items")
+    items = items.where(F.size("iw") > 0).distinct().withColumn("n", F.least(F.size("iw"), F.lit(window)))
+    items = written(items.withColumn("wins", _windows(F.col("iw"), F.col("n"))), "items")
     # letters beyond A-Z may be folded too for the fingerprints: the exact comparison follows
     folded = items.withColumn("ws", F.transform("iw", F.lower))
     sizes = items.groupBy(F.size("iw").alias("n")).agg(F.sum(F.size("iw")).alias("words")).where(F.col("n") < window).select("n")
     short = sorted(r.n for r in sizes.collect())  # at most window - 1 rows
-    long_fps = fingerprints(folded.where(F.size("iw") >= window), window, gram, []).select("item", F.explode("fps").alias("fp"))
+    long_fps = fingerprints(folded.where(F.size("iw") >= window), window, gram, []).select("item", F.explode_outer("fps").alias("fp"))
     for n in short:
-        long_fps = long_fps.unionByName(fingerprints(folded.where(F.size("iw") == n), window, gram, [n]).select("item", F.explode("fps").alias("fp")))
+        long_fps = long_fps.unionByName(fingerprints(folded.where(F.size("iw") == n), window, gram, [n]).select("item", F.explode_outer("fps").alias("fp")))
     known = written(long_fps.groupBy("fp").agg(F.collect_set("item").alias("own")), "fingerprints")
     total = known.agg(F.sum(F.size("own"))).first()[0] or 0
     held = items.agg(F.sum(F.size("iw"))).first()[0] or 0
@@ -107,11 +108,13 @@ def contamination(
     rows = docs.select(F.col(key).alias("id"), plain(text).alias("text"), *text_keys(plain(text)))
     marked = fingerprints(rows.select("id", "k1", "k2", words(F.lower("text")).alias("ws")), window, gram, short)
     # one row for each fingerprint of the document; the text stays behind
-    hits = marked.select("id", "k1", "k2", F.explode("fps").alias("fp")).join(near(known), "fp")
+    hits = marked.select("id", "k1", "k2", F.explode_outer("fps").alias("fp")).join(near(known), "fp")
     pairs = hits.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.array_distinct(F.flatten(F.collect_set("own"))).alias("own"))
     looked = rows.join(pairs, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first")))
-    compared = looked.select("k1", "k2", exact("text").alias("dw"), F.explode("own").alias("item")).join(near(items), "item")
-    spans = compared.select("k1", "k2", "item", F.least(F.size("iw"), F.lit(window)).alias("n"), _spans(F.col("iw"), F.col("dw"), window).alias("starts")).where(F.size("starts") > 0)
+    # a candidate's windows are rows; those of its items stay
+    sizes = looked.select("k1", "k2", exact("text").alias("dw"), F.explode_outer("own").alias("item")).join(near(items), "item")
+    runs = sizes.select("k1", "k2", "item", "n", F.transform(_windows(F.col("dw"), F.col("n")), lambda w, i: F.when(F.array_contains("wins", w), i)).alias("at"))
+    spans = runs.select("k1", "k2", "item", "n", F.array_compact("at").alias("starts")).where(F.size("starts") > 0)
     places = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("n") - 1))))
     found = spans.select("k1", "k2", "item", places.alias("places")).groupBy("k1", "k2").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items")
