@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .debruijn_dedup import op7_substring_dedup
 from .decontaminate import OP4_SQL, op4_decontamination
 from .html_text import op6_html_extraction
+from .near_dedup import op10_minhash_near_dedup
 from .packing import op2_best_fit_packing
 from .quality import OP5_SQL, op5_quality_rules
 from .suffix_dedup import op1_suffix_dedup
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op7_substring_dedup": op7_substring_dedup,
         "op8_warc": op8_warc,
         "op9_toxicity": op9_toxicity,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
