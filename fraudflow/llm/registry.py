@@ -11,6 +11,7 @@ from .decontaminate import OP4_SQL, op4_decontamination
 from .html_text import op6_html_extraction
 from .near_dedup import op10_minhash_near_dedup
 from .packing import op2_best_fit_packing
+from .pii import op3_pii_pseudonyms
 from .quality import OP5_SQL, op5_quality_rules
 from .suffix_dedup import op1_suffix_dedup
 from .toxicity import op9_toxicity
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_pii_pseudonyms": op3_pii_pseudonyms,
         "op4_decontamination": op4_decontamination,
         "op5_quality_rules": op5_quality_rules,
         "op6_html_extraction": op6_html_extraction,
