@@ -14,8 +14,12 @@ the exact multiset overlap decides. Candidates are not all pairs of a bucket:
 * equal texts are one (their rows only count);
 * first each text is compared with its bucket's pivot, the text that meets
   most others; linked texts form components;
+* then each bucket is put in an order of its own, by hash, and neighbours of
+  different components are compared, twice: a pair a row, and as the buckets of
+  a text have different orders, groups grow together;
 * then texts outside their bucket's largest component are compared with the
-  bucket's texts of other components. What is linked already is not compared.
+  bucket's texts of other components whose whole signatures agree often enough.
+  What is linked already is not compared.
 
 A class is a connected component of links, so no link between classes is left.
 """
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches, read_table, text_keys, utf8, written
@@ -33,6 +37,8 @@ from .hashing import all_ranges, mix, prefix, range_hash
 
 SLICE = 1 << 20
 SHINGLE, BANDS, ROWS = 5, 24, 4
+#: Times that neighbours in a bucket are compared.
+CHAINS = 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = 5
 
@@ -112,10 +118,12 @@ def _signatures(bands: int, rows: int):
         for batch in batches(batches_, SLICE, "text"):
             own, hashes = shingles(*word_hashes(*utf8(batch["text"])))
             texts = batch.num_rows
-            keys = band_hashes(signatures(*weighted(own, hashes), texts, bands * rows), bands, rows).view(np.int64)
+            least = signatures(*weighted(own, hashes), texts, bands * rows)
+            keys = band_hashes(least, bands, rows).view(np.int64)
             some = np.bincount(own, minlength=texts) > 0
+            low = (mix((np.minimum(least, 1e5) * (1 << 36)).astype(np.uint64)) & np.uint64(0xFF)).astype(np.uint8).view(np.int8)
             lists = [k.tolist() if s else [] for k, s in zip(keys, some, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["k1"], batch["k2"], pa.array(lists, pa.list_(pa.int64()))], names=["id", "k1", "k2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["k1"], batch["k2"], pa.array(lists, pa.list_(pa.int64())), pa.array(list(low), pa.list_(pa.int8()))], names=["id", "k1", "k2", "bands", "low"])
 
     return work
 
@@ -190,6 +198,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _placed(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """(b, v, c): the members of each bucket with their components so far."""
+    parts = components(links)
+    return written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
+
+
+def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Different pairs (a, b), the lesser first."""
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+
+def least_agreeing(similarity: float, registers: int) -> int:
+    """Registers in which similar texts agree, less 4.5 standard deviations (all but 3 in a million)."""
+    return int(registers * similarity - 4.5 * (registers * similarity * (1 - similarity)) ** 0.5)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(key, class_id, class_size) of every row of ``docs``.
 
@@ -207,32 +231,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     held = F.coalesce(F.col(text), F.lit(""))
     all_rows = docs.select(F.col(key).alias("id"), held.alias("text"), *text_keys(held))
     v = F.struct("k1", "k2").alias("v")
-    signed = written(all_rows.mapInArrow(_signatures(bands, rows), f"id {kind}, k1 long, k2 long, bands array<long>"), "signatures")
-    texts = signed.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"))
+    signed = written(all_rows.mapInArrow(_signatures(bands, rows), f"id {kind}, k1 long, k2 long, bands array<long>, low array<byte>"), "signatures")
+    texts = signed.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low"))
     banded = texts.select(v, F.explode("bands").alias("b"))
     full = banded.groupBy("b").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     buckets = written(banded.join(full, "b"), "buckets")
     weights = buckets.groupBy("v").agg(F.sum("met").alias("meets"))
     ranked = buckets.join(weights, "v").select("b", "v", F.struct(-F.col("meets"), "v").alias("rank"))
     pivots = ranked.groupBy("b").agg(F.min("rank").getField("v").alias("p"))
-    star = buckets.join(pivots, "b").where("v != p").select(F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b")).distinct()
+    star = buckets.join(pivots, "b").where("v != p")
+    star = written(_ordered(star, "v", "p"), "star")
 
     candidates = buckets.select("v").distinct().select("v.k1", "v.k2")
     chosen = texts.select("k1", "k2", "first").join(candidates, ["k1", "k2"])
     source = all_rows.join(chosen, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first"))).select("text", "k1", "k2")
     sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary").dropDuplicates(["k1", "k2"]).select(v, "ids"), "sets")
     links = _verified(star, sets, similarity, "links")
-    parts = components(links)
+    tested = star
+    placed = _placed(buckets, links)
+    for turn in range(CHAINS):
+        order = Window.partitionBy("b").orderBy(F.xxhash64(F.lit(turn), "b", "v"), "v")
+        beside = placed.withColumns({"x": F.lag("v").over(order), "cx": F.lag("c").over(order)}).where("cx != c")
+        pairs = _ordered(beside, "x", "v").join(tested, ["a", "b"], "left_anti")
+        links = links.unionByName(_verified(pairs, sets, similarity, "links"))
+        tested = written(tested.unionByName(pairs), "tested")
+        placed = _placed(buckets, links)
 
-    placed = written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
     sizes = placed.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("b").agg(F.max(F.struct("n", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    split = placed.join(largest, "b")
-    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"))
-    cross = minor.join(split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), "main"), "b")
+    split = placed.join(largest, "b").join(texts.select(v, "low"), "v")
+    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"), F.col("low").alias("lx"))
+    other = split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), F.col("low").alias("ly"), "main")
     # two minor members meet once, in the order of their components
-    cross = cross.where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("cx") < F.col("cy"))))
-    others = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    meet = (minor["b"] == other["b"]) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("cx") < F.col("cy")))
+    agree = F.size(F.filter(F.zip_with("lx", "ly", lambda p, q: p == q), lambda e: e))
+    others = _ordered(minor.join(other, meet & (agree >= least_agreeing(similarity, bands * rows))), "x", "y").join(tested, ["a", "b"], "left_anti")
     more = _verified(others, sets, similarity, "links")
     classes = components(links.unionByName(more))
 
