@@ -30,7 +30,7 @@ from .hashing import BYTE_WORDS, all_ranges, mix, prefix, range_hash
 SLICE = 1 << 20
 #: Windows whose evidence a Python worker keeps; a full cache is emptied.
 CACHED = 600_000
-FIT_ROWS = 8_000
+FIT_ROWS = 6_000
 ORDINARY_SIZE, TOXIC_SIZE = 8192, 4096
 #: Windows that train the ordinary dictionary.
 TRAINING_WINDOWS = 60_000
@@ -155,12 +155,18 @@ def fit_model(samples: list[tuple[int, int, list[int], list[bytes]]]) -> Model |
         return None
     held = {0: Counter(), 1: Counter()}
     begun = {0: Counter(), 1: Counter()}
+    n = {y: sum(1 for z, _ in learn if z == y) for y in (0, 1)}
     for y, words in learn:
         held[y].update(words)
-        begun[y].update({p for w in words for p in beginnings(w)})
-    n = {y: sum(1 for z, _ in learn if z == y) for y in (0, 1)}
+        if y == 1:
+            begun[1].update({p for w in words for p in beginnings(w)})
+    # only what enough toxic texts hold is counted in ordinary ones
+    often = {p for p, c in begun[1].items() if c >= max(TEXTS, SHARE * n[1])}
+    for y, words in learn:
+        if y == 0:
+            begun[0].update({p for w in words for p in beginnings(w) if p in often})
     odds = lambda p: ((begun[1][p] + 0.5) / (n[1] + 1)) / ((begun[0][p] + 0.5) / (n[0] + 1))
-    telling = {p for p, c in begun[1].items() if c >= max(TEXTS, SHARE * n[1]) and odds(p) >= TIMES}
+    telling = {p for p in often if odds(p) >= TIMES}
     # in the order of the texts, so that each stretch that training picks holds different windows
     toxic_text = [max(own, key=len) for y, words in learn if y == 1 for w in words if (own := [p for p in beginnings(w) if p in telling])]
     common = held[0].most_common(TRAINING_WINDOWS)
@@ -214,7 +220,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = usable.orderBy("order", key).limit(fit_rows).select(key, "toxic", F.pmod("order", F.lit(2)).cast("int").alias("half"))
     rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), key)
     found = rows.select("toxic", "half", "text").mapInArrow(_kinds, "toxic int, half int, sketch array<long>, words array<binary>")
-    return fit_model(sorted((r.toxic, r.half, list(r.sketch), [bytes(w) for w in r.words]) for r in found.toLocalIterator()))
+    shared: dict[bytes, bytes] = {}  # one object for each different window keeps the sample small
+    samples = []
+    for r in found.toLocalIterator():
+        own = (bytes(w) for w in r.words)
+        samples.append((r.toxic, r.half, list(r.sketch), [shared.setdefault(w, w) for w in own]))
+    del shared
+    return fit_model(sorted(samples))
 
 
 def held_out(key):

@@ -126,7 +126,8 @@ def test_pseudonyms_keep_format_validity_and_links(spark, docs, empty):
     assert sorted(pii.feistel(i, 500, key, "t") for i in range(500)) == list(range(500))
     text = "4111 1111 1111 1111 4111111111111111 10.2.3.4 +1 (017) 555-7713 123-45-6789 1999-12-31 34@a.com Xy@b.org " + "0a" * 20
     new, counts = pii.pseudonymised(text, key)
-    assert [len(x) for x in new.split()][:-2] == [len(x) for x in text.split()][:-2]
+    shape = lambda t: re.sub(r"\d", "9", re.sub(r"(\d+\.){3}\d+|\S+@\S+|[0-9a-f]{40}", "x", t))
+    assert shape(new) == shape(text)
     assert counts == {"email": 2, "secret": 1, "ipv4": 1, "date": 1, "identity": 1, "phone": 1, "card": 2}
     cards = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", new)
     assert cards[0].replace(" ", "") == cards[1] and pii.luhn_valid(cards[1]) and cards[1] != "4111111111111111"
