@@ -189,7 +189,7 @@ KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", ipv4),
     ("date", r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)", date),
     ("identity", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", identity),
-    ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[-.]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", phone),
+    ("phone", r"\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?P<sep>[ .-]?)\d{2,4}(?:(?P=sep)\d{2,4}){1,3}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[-.]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", phone),
     ("card", r"(?<![\d.-])(?:\d{4}[ -]){3}\d{1,7}(?![\d-])|(?<![\d.])\d{13,19}(?!\d)", card),
 ]
 _ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS), re.ASCII)
