@@ -26,7 +26,7 @@ WINDOW = 3
 SURGE = 0.15
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*\Z", re.S
 )
 _RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select", "xmp"}
 _ASIDE = {"nav", "header", "footer", "aside", "form", "head", "menu", "button", "dialog", "fieldset", "label"}
