@@ -40,8 +40,13 @@ def copies(rows: DataFrame) -> DataFrame:
 
 
 def first_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """One row (or identical ones) for each different text, joined with ``groups``."""
-    return rows.join(groups, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first")))
+    """One row (or identical ones) for each different text, joined with ``groups``.
+
+    ``first`` is the least id, null if all are. Put as an order, the condition
+    is no join key, so this join has the keys of ``with_spans`` and the texts are
+    shuffled once for both.
+    """
+    return rows.join(groups, ["k1", "k2"]).where(F.coalesce(F.col("id") <= F.col("first"), F.col("first").isNull()))
 
 
 def classified(segments: DataFrame) -> DataFrame:
