@@ -12,11 +12,10 @@ Signatures are cut into bands; texts that agree in a band are candidates, and
 the exact multiset overlap decides. Candidates are not all pairs of a bucket:
 
 * equal texts are one (their rows only count);
-* first each text is compared with its bucket's pivot, the text that meets
-  most others; linked texts form components;
-* then each bucket is put in an order of its own, by hash, and neighbours of
-  different components are compared, twice: a pair a row, and as the buckets of
-  a text have different orders, groups grow together;
+* each text is compared with its bucket's pivot, the text that meets most
+  others, and with its neighbours in orders of the bucket by hash, two for each
+  bucket: a few pairs a text, whatever a bucket's size; as the buckets of a text
+  have different orders, groups grow together into components;
 * then texts outside their bucket's largest component are compared with the
   bucket's texts of other components whose whole signatures agree often enough.
   What is linked already is not compared.
@@ -198,12 +197,6 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _placed(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """(b, v, c): the members of each bucket with their components so far."""
-    parts = components(links)
-    return written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
-
-
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     """Different pairs (a, b), the lesser first."""
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
@@ -239,35 +232,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     weights = buckets.groupBy("v").agg(F.sum("met").alias("meets"))
     ranked = buckets.join(weights, "v").select("b", "v", F.struct(-F.col("meets"), "v").alias("rank"))
     pivots = ranked.groupBy("b").agg(F.min("rank").getField("v").alias("p"))
-    star = buckets.join(pivots, "b").where("v != p")
-    star = written(_ordered(star, "v", "p"), "star")
+    star = buckets.join(pivots, "b").where("v != p").select(F.col("v").alias("x"), F.col("p").alias("y"))
+    for turn in range(CHAINS):
+        order = Window.partitionBy("b").orderBy(F.xxhash64(F.lit(turn), "b", "v"), "v")
+        star = star.unionByName(buckets.select("v", F.lag("v").over(order).alias("x")).where("x IS NOT NULL").select("x", F.col("v").alias("y")))
+    tested = written(_ordered(star, "x", "y"), "tested")
 
     candidates = buckets.select("v").distinct().select("v.k1", "v.k2")
     chosen = texts.select("k1", "k2", "first").join(candidates, ["k1", "k2"])
     source = all_rows.join(chosen, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first"))).select("text", "k1", "k2")
     sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary").dropDuplicates(["k1", "k2"]).select(v, "ids"), "sets")
-    links = _verified(star, sets, similarity, "links")
-    tested = star
-    placed = _placed(buckets, links)
-    for turn in range(CHAINS):
-        order = Window.partitionBy("b").orderBy(F.xxhash64(F.lit(turn), "b", "v"), "v")
-        beside = placed.withColumns({"x": F.lag("v").over(order), "cx": F.lag("c").over(order)}).where("cx != c")
-        pairs = _ordered(beside, "x", "v").join(tested, ["a", "b"], "left_anti")
-        links = links.unionByName(_verified(pairs, sets, similarity, "links"))
-        tested = written(tested.unionByName(pairs), "tested")
-        placed = _placed(buckets, links)
-
+    links = _verified(tested, sets, similarity, "links")
+    parts = components(links)
+    placed = written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
     sizes = placed.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("b").agg(F.max(F.struct("n", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    split = placed.join(largest, "b").join(texts.select(v, "low"), "v")
-    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"), F.col("low").alias("lx"))
-    other = split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), F.col("low").alias("ly"), "main")
+    split = placed.join(largest, "b").join(texts.select(v, "low", "bands"), "v")
+    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"), F.col("low").alias("lx"), F.col("bands").alias("bx"))
+    other = split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), F.col("low").alias("ly"), F.col("bands").alias("by"), "main")
     # two minor members meet once, in the order of their components
     meet = (minor["b"] == other["b"]) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("cx") < F.col("cy")))
     agree = F.size(F.filter(F.zip_with("lx", "ly", lambda p, q: p == q), lambda e: e))
-    others = _ordered(minor.join(other, meet & (agree >= least_agreeing(similarity, bands * rows))), "x", "y").join(tested, ["a", "b"], "left_anti")
+    once = F.element_at(F.array_intersect("bx", "by"), 1) == minor["b"]  # in the first of their common buckets
+    others = _ordered(minor.join(other, meet & once & (agree >= least_agreeing(similarity, bands * rows))), "x", "y").join(tested, ["a", "b"], "left_anti")
     more = _verified(others, sets, similarity, "links")
-    classes = components(links.unionByName(more))
+    classes = parts if more.isEmpty() else components(links.unionByName(more))
 
     named = texts.select(v, "k1", "k2", "first", "size").join(classes, "v", "left").withColumn("c", F.coalesce("c", "v"))
     named = written(named.select("k1", "k2", "c", "first", "size"), "named")
