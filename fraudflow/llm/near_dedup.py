@@ -17,7 +17,7 @@ the exact multiset overlap decides. Candidates are not all pairs of a bucket:
   bucket: a few pairs a text, whatever a bucket's size; as the buckets of a text
   have different orders, groups grow together into components;
 * then texts outside their bucket's largest component are compared with the
-  bucket's texts of other components whose whole signatures agree often enough.
+  bucket's texts of other components whose wide signatures agree often enough.
   What is linked already is not compared.
 
 A class is a connected component of links, so no link between classes is left.
@@ -38,6 +38,8 @@ SLICE = 1 << 20
 SHINGLE, BANDS, ROWS = 5, 24, 4
 #: Times that neighbours in a bucket are compared.
 CHAINS = 2
+#: Registers of the signature that decides which texts of different components are compared, and the shingles that it takes.
+WIDE, FEW = 2048, 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = 5
 
@@ -120,18 +122,28 @@ def _signatures(bands: int, rows: int):
             least = signatures(*weighted(own, hashes), texts, bands * rows)
             keys = band_hashes(least, bands, rows).view(np.int64)
             some = np.bincount(own, minlength=texts) > 0
-            low = (mix((np.minimum(least, 1e5) * (1 << 36)).astype(np.uint64)) & np.uint64(0xFF)).astype(np.uint8).view(np.int8)
             lists = [k.tolist() if s else [] for k, s in zip(keys, some, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["k1"], batch["k2"], pa.array(lists, pa.list_(pa.int64())), pa.array(list(low), pa.list_(pa.int8()))], names=["id", "k1", "k2", "bands", "low"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["k1"], batch["k2"], pa.array(lists, pa.list_(pa.int64()))], names=["id", "k1", "k2", "bands"])
 
     return work
 
 
+def wide_signatures(own: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: int) -> list[list[int]]:
+    """A bit for each of ``WIDE`` registers, 64 to a word; none for texts of few shingles."""
+    many = np.bincount(own, weights=weight, minlength=texts) >= FEW
+    take = many[own]
+    least = signatures(own[take], hashes[take], weight[take], texts, WIDE)
+    bits = (mix((np.minimum(least, 1e5) * (1 << 36)).astype(np.uint64)) & np.uint64(1)).astype(bool)
+    words = np.packbits(bits, axis=1).view(np.int64)
+    return [w.tolist() if m else [] for w, m in zip(words, many, strict=True)]
+
+
 def _sets(batches_):
-    """Sorted 40-bit ids of the shingles of a text; the same shingle again has another id."""
+    """Sorted 40-bit ids of the shingles of a text, and its wide signature; the same shingle again has another id."""
     for batch in batches(batches_, SLICE, "text"):
         own, hashes = shingles(*word_hashes(*utf8(batch["text"])))
         own, hashes, weight = weighted(own, hashes)
+        wide = wide_signatures(own, hashes, weight, batch.num_rows)
         again = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
         own = np.repeat(own, weight)
         ids = mix(np.repeat(hashes, weight) + again.astype(np.uint64) * _STEP) >> np.uint64(64 - 8 * _BYTES)
@@ -139,7 +151,8 @@ def _sets(batches_):
         packed = np.ascontiguousarray(ids[order]).view(np.uint8).reshape(-1, 8)[:, :_BYTES]
         ends = np.searchsorted(own[order], np.arange(batch.num_rows + 1))
         yield pa.RecordBatch.from_arrays(
-            [batch["k1"], batch["k2"], pa.array([packed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["k1", "k2", "ids"]
+            [batch["k1"], batch["k2"], pa.array([packed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()), pa.array(wide, pa.list_(pa.int64()))],
+            names=["k1", "k2", "ids", "wide"],
         )
 
 
@@ -202,9 +215,13 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def least_agreeing(similarity: float, registers: int) -> int:
-    """Registers in which similar texts agree, less 4.5 standard deviations (all but 3 in a million)."""
-    return int(registers * similarity - 4.5 * (registers * similarity * (1 - similarity)) ** 0.5)
+def most_differing(similarity: float) -> int:
+    """Bits in which the wide signatures of similar texts differ, and 4.5 standard deviations (all but 3 in a million).
+
+    Registers agree with probability ``similarity``; bits of others agree by chance every other time.
+    """
+    p = (1 - similarity) / 2
+    return int(WIDE * p + 4.5 * (WIDE * p * (1 - p)) ** 0.5)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -224,8 +241,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     held = F.coalesce(F.col(text), F.lit(""))
     all_rows = docs.select(F.col(key).alias("id"), held.alias("text"), *text_keys(held))
     v = F.struct("k1", "k2").alias("v")
-    signed = written(all_rows.mapInArrow(_signatures(bands, rows), f"id {kind}, k1 long, k2 long, bands array<long>, low array<byte>"), "signatures")
-    texts = signed.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("low").alias("low"))
+    signed = written(all_rows.mapInArrow(_signatures(bands, rows), f"id {kind}, k1 long, k2 long, bands array<long>"), "signatures")
+    texts = signed.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"))
     banded = texts.select(v, F.explode("bands").alias("b"))
     full = banded.groupBy("b").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     buckets = written(banded.join(full, "b"), "buckets")
@@ -241,20 +258,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     candidates = buckets.select("v").distinct().select("v.k1", "v.k2")
     chosen = texts.select("k1", "k2", "first").join(candidates, ["k1", "k2"])
     source = all_rows.join(chosen, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first"))).select("text", "k1", "k2")
-    sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary").dropDuplicates(["k1", "k2"]).select(v, "ids"), "sets")
+    sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary, wide array<long>").dropDuplicates(["k1", "k2"]).select(v, "ids", "wide"), "sets")
     links = _verified(tested, sets, similarity, "links")
     parts = components(links)
     placed = written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
     sizes = placed.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("b").agg(F.max(F.struct("n", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    split = placed.join(largest, "b").join(texts.select(v, "low", "bands"), "v")
-    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"), F.col("low").alias("lx"), F.col("bands").alias("bx"))
-    other = split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), F.col("low").alias("ly"), F.col("bands").alias("by"), "main")
+    split = placed.join(largest, "b").join(texts.select(v, "bands"), "v").join(sets.select("v", "wide"), "v")
+    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"), F.col("wide").alias("lx"), F.col("bands").alias("bx"))
+    other = split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), F.col("wide").alias("ly"), F.col("bands").alias("by"), "main")
     # two minor members meet once, in the order of their components
     meet = (minor["b"] == other["b"]) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("cx") < F.col("cy")))
-    agree = F.size(F.filter(F.zip_with("lx", "ly", lambda p, q: p == q), lambda e: e))
+    differing = F.aggregate(F.zip_with("lx", "ly", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, e: a + e)
+    agree = (F.size("lx") == 0) | (F.size("ly") == 0) | (differing <= most_differing(similarity))
     once = F.element_at(F.array_intersect("bx", "by"), 1) == minor["b"]  # in the first of their common buckets
-    others = _ordered(minor.join(other, meet & once & (agree >= least_agreeing(similarity, bands * rows))), "x", "y").join(tested, ["a", "b"], "left_anti")
+    others = _ordered(minor.join(other, meet & once & agree), "x", "y").join(tested, ["a", "b"], "left_anti")
     more = _verified(others, sets, similarity, "links")
     classes = parts if more.isEmpty() else components(links.unionByName(more))
 
