@@ -25,14 +25,21 @@ from fraudflow.session import ship_package
 ORACLE_SQL = None
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """(name, text): the name is the id, which may be null or repeated, and the keys of the text; least where the id is."""
+    keys = text_keys(F.coalesce("text", F.lit("")))
+    return docs.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), *keys).alias("name"), "text")
+
+
 def _kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` but those whose id is in ``gone`` (doc_id).
+    """Rows of ``docs`` but those whose id and text are named in ``gone`` (name).
 
-    The ids are written first, so Spark knows their size when it plans the join:
+    The names are written first, so Spark knows their size when it plans the join:
     it broadcasts a small table and shuffles for a large one.
     """
-    gone = written(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = written(gone.select(F.col("name.id").alias("_gone"), F.col("name.k1").alias("_gone1"), F.col("name.k2").alias("_gone2")).distinct(), "gone")
+    k1, k2 = text_keys(F.coalesce("text", F.lit("")))
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (k1 == F.col("_gone1")) & (k2 == F.col("_gone2")), "left_anti")
 
 
 def _beside(docs: DataFrame) -> DataFrame:
@@ -49,10 +56,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class; rows that repeat it count as one."""
+    """The document with the least id (and text keys) of each class; rows that repeat it count as one."""
     ship_package(spark)
-    classes = near_duplicates(docs)
-    kept = _kept(docs, classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    classes = near_duplicates(_named(docs), key="name")
+    kept = _kept(docs, classes.where("name != class_id"))
     hashes = dict(zip(("_k1", "_k2"), text_keys(F.coalesce("text", F.lit(""))), strict=True))
     marked = kept.withColumns(hashes)
     again = written(marked.groupBy("doc_id", *hashes).count().where("count > 1"), "again")
@@ -64,7 +71,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window with the benchmark."""
     ship_package(spark)
-    found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    found = contamination(_named(docs), read_table(spark, sf_dir, "benchmark"), key="name")
     return _kept(docs, found.where("contaminated"))
 
 

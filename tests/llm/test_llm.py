@@ -240,3 +240,28 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r.doc_id for r in clean} == set(rows) - dirty
     new = p.pseudonymise(spark, docs, SF)
     assert new.columns == docs.columns and new.count() == len(rows)
+
+
+def test_pipeline_judges_rows_not_ids(spark):
+    import corpus_pipeline as p
+
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r.text.split()) > 12)
+    rng = random.Random(8)
+    own = lambda: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(80))
+    base, other, third = own(), own(), own()
+    schema = "doc_id long, text string"
+    clean = [(None, own()), (None, own()), (7, own()), (7, None)]
+    dirty = [(None, f"{own()} {item}"), (7, f"{own()} {item}")]
+    kept = p.drop_contaminated(spark, spark.createDataFrame(clean + dirty, schema), SF)
+    assert Counter(map(tuple, kept.collect())) == Counter(clean)
+
+    unique = [(None, own()), (None, own()), (7, own()), (9, own())]
+    near = [(3, base), (None, base + " x"), (7, base + " y")]  # the one with the least id stays
+    unnamed = [(None, other), (None, other + " x"), (None, other + " y")]  # one of each class
+    shared = [(9, third), (9, third + " x"), (9, third)]
+    for turn in (1, -1):
+        rows = (unique + near + unnamed + shared)[::turn]
+        found = Counter(map(tuple, p.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()))
+        assert max(found.values()) == 1 and len(found) == len(unique) + 3
+        assert set(unique) <= set(found) and near[0] in found
+        assert len(set(unnamed) & set(found)) == 1 and len(set(shared) & set(found)) == 1
