@@ -2,8 +2,11 @@
 
 Method: markup is stripped and the page becomes lines, one per block element.
 The text length of each line is summed over a sliding window of lines; the sum
-surges where the article begins and dives where it ends; the text between is
-kept. Lines that the markup itself calls something else (menus, headers,
+surges where the article begins and dives where it ends. A surge is measured
+against the median sum, with long lines clipped, so no single paragraph sets the
+bar; it reaches back to the lines before it, up to a whole window without text.
+From the first surge to the last dive all is kept, lists of links between two
+surges too. Lines that the markup itself calls something else (menus, headers,
 footers, sidebars, notices, adverts, forms, comments) count as empty, so they
 cannot make a surge, and links count little.
 """
@@ -22,8 +25,8 @@ from .common import batches, read_table
 SLICE = 2 << 20
 #: Lines of the sliding window.
 WINDOW = 3
-#: Share of the highest window sum at which a surge begins.
-SURGE = 0.15
+#: Share of the median window sum at which a surge begins, and the length beyond which a line adds no more to a sum.
+SURGE, LONG = 0.15, 200
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*\Z", re.S
@@ -157,27 +160,23 @@ def main_text(page: str) -> str:
     """The article of a page, a line per block; empty if there is none."""
     lines, marked = page_lines(page)
     weights = [n if inside or not marked else 0 for _, n, inside in lines]
-    sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    top = max(sums, default=0)
-    if not top:
+    held = [min(n, LONG) for n in weights]
+    sums = [sum(held[i : i + WINDOW]) for i in range(len(held))]
+    some = sorted(filter(None, sums))
+    if not some:
         return ""
-    least = 1 if marked else SURGE * top
-    best, begin, gap = (0, 0, 0), None, 0
-    total = 0
-    for i, weight in enumerate([*weights, *[0] * (WINDOW + 1)]):
-        surging = i < len(sums) and sums[i] >= least and weight > 0
-        if begin is None:
-            if surging:
-                begin, total, gap, last = i, weight, 0, i
+    least = 1 if marked else SURGE * some[len(some) // 2]
+    # runs of lines with text and no dive (a whole window without) between them; those with a surge are the article
+    runs: list[list] = []
+    for i, weight in enumerate(weights):
+        if not weight:
             continue
-        total += weight
-        gap = 0 if weight else gap + 1
-        if weight:
-            last = i
-        if gap > WINDOW and not marked or i >= len(weights) + WINDOW:  # the dive: a whole window without text
-            best = max(best, (total, begin, last + 1))
-            begin = None
-    return "\n".join(line for line, _, inside in lines[best[1] : best[2]] if inside or not marked)
+        if not runs or i - runs[-1][1] - 1 > WINDOW and not marked:
+            runs.append([i, i, False])
+        runs[-1][1] = i
+        runs[-1][2] |= sums[i] >= least
+    surged = [run for run in runs if run[2]]
+    return "\n".join(line for line, _, inside in lines[surged[0][0] : surged[-1][1] + 1] if inside or not marked)
 
 
 def _extract(rows):

@@ -161,6 +161,17 @@ def test_extraction():
     assert html_text.main_text("") == "" and html_text.main_text("<nav>a</nav>") == "" and html_text.main_text("<p") == ""
 
 
+def test_extraction_without_tags():
+    prose = lambda n, k: f"{k} " + "some words of it " * (n // 17)
+    menu = "".join(f"<div><a href=x>menu entry {i}</a></div>" for i in range(8))
+    lines = ["Headline", *(prose(500, i) for i in range(6)), prose(60_000, "long"), prose(500, "after")]
+    listed = [f"source number {i}" for i in range(6)]
+    lines = [line.strip() for line in lines]
+    html = "".join(f"<p>{x}</p>" for x in lines) + "".join(f"<li><a href=y>{x}</a></li>" for x in listed) + f"<p>{lines[1]}</p><p>The end.</p>"
+    page = f"<body><div>Our site</div>{menu}{html}{menu}<div>All rights reserved</div></body>"
+    assert html_text.main_text(page).split("\n") == [*lines, *listed, lines[1], "The end."]
+
+
 def test_archives_round_trip(spark):
     rows = [(3, "http://b.com/x", "one"), (1, "http://www.a.com/", "two"), (2, None, "one"), (5, "http://a.com/\r\n", None), (4, "http://a.com/", ""), (None, "http://a.com/", "one"), (6, "http://a.com", "p\r\n\r\nWARC/1.1\r\nq")]
     out = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
