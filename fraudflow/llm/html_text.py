@@ -8,7 +8,8 @@ bar; it reaches back to the lines before it, up to a whole window without text.
 From the first surge to the last dive all is kept, lists of links between two
 surges too. Lines that the markup itself calls something else (menus, headers,
 footers, sidebars, notices, adverts, forms, comments) count as empty, so they
-cannot make a surge, and links count little.
+cannot make a surge, and links count little. The tags article and main only add
+weight to their lines; surge and dive decide on all pages.
 """
 
 from __future__ import annotations
@@ -87,12 +88,11 @@ class _Lines:
             self.parts, self.linked = [], 0
 
 
-def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """(line, length outside links, inside the article) of all lines that count, and if an article is marked."""
+def page_lines(page: str) -> list[tuple[str, int, bool]]:
+    """(line, length outside links, inside the tags of an article) of all lines that count."""
     out, at, end = _Lines(), 0, len(page)
     skip: list[str] = []
     article = links = 0
-    marked = False
     find = _TAG.search
     while at < end:
         found = find(page, at)
@@ -141,13 +141,12 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 skip.append(name)
         elif name in ("article", "main"):
             article += 1
-            marked = True
         elif name == "a":
             links = 1
         elif name in ("td", "th"):
             out.text(" ", False)
     out.end(article > 0)
-    return out.lines, marked
+    return out.lines
 
 
 def _after(page: str, at: int, name: str) -> int:
@@ -158,25 +157,25 @@ def _after(page: str, at: int, name: str) -> int:
 
 def main_text(page: str) -> str:
     """The article of a page, a line per block; empty if there is none."""
-    lines, marked = page_lines(page)
-    weights = [n if inside or not marked else 0 for _, n, inside in lines]
-    held = [min(n, LONG) for n in weights]
+    lines = page_lines(page)
+    # a line in the tags of an article weighs more, and its links count too
+    held = [min(n, LONG) + (min(len(line), LONG) if inside else 0) for line, n, inside in lines]
     sums = [sum(held[i : i + WINDOW]) for i in range(len(held))]
     some = sorted(filter(None, sums))
     if not some:
         return ""
-    least = 1 if marked else SURGE * some[len(some) // 2]
+    least = SURGE * some[len(some) // 2]
     # runs of lines with text and no dive (a whole window without) between them; those with a surge are the article
     runs: list[list] = []
-    for i, weight in enumerate(weights):
+    for i, weight in enumerate(held):
         if not weight:
             continue
-        if not runs or i - runs[-1][1] - 1 > WINDOW and not marked:
+        if not runs or i - runs[-1][1] - 1 > WINDOW:
             runs.append([i, i, False])
         runs[-1][1] = i
         runs[-1][2] |= sums[i] >= least
     surged = [run for run in runs if run[2]]
-    return "\n".join(line for line, _, inside in lines[surged[0][0] : surged[-1][1] + 1] if inside or not marked)
+    return "\n".join(line for line, _, _ in lines[surged[0][0] : surged[-1][1] + 1])
 
 
 def _extract(rows):

@@ -172,6 +172,18 @@ def test_extraction_without_tags():
     assert html_text.main_text(page).split("\n") == [*lines, *listed, lines[1], "The end."]
 
 
+def test_extraction_with_tags_in_the_wrong_place():
+    story = [f"Paragraph {i} of the story, which is long enough to be one." + " More of it." * 20 for i in range(6)]
+    plain = "".join(f"<p>{x}</p>" for x in story)
+    menu = "".join(f"<div><a href=x>entry {i}</a></div>" for i in range(8))
+    for tag in ("article", "main"):
+        card = f"<{tag}><h2>Teaser</h2><a href=t>read more</a></{tag}>"
+        assert html_text.main_text(f"<body>{card}{menu}<div>{plain}</div></body>").split("\n")[-6:] == story
+        # links at the ends of a tagged article are its lines, text far from it is not
+        ends = f"<{tag}><p><a href=s>A series</a></p>{plain}<p><a href=n>The next part</a></p></{tag}>"
+        assert html_text.main_text(f"<body><div>Our site</div>{menu}{ends}{menu}<div>All rights reserved</div></body>").split("\n") == ["A series", *story, "The next part"]
+
+
 def test_archives_round_trip(spark):
     rows = [(3, "http://b.com/x", "one"), (1, "http://www.a.com/", "two"), (2, None, "one"), (5, "http://a.com/\r\n", None), (4, "http://a.com/", ""), (None, "http://a.com/", "one"), (6, "http://a.com", "p\r\n\r\nWARC/1.1\r\nq")]
     out = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
