@@ -26,8 +26,8 @@ from .common import batches, utf8
 from .hashing import BYTE_WORDS, pieces, powers, prefix, range_hash, segments
 
 SLICE = 1 << 20
-#: Suffixes that are sorted at once in a task.
-BLOCK = 400_000
+#: Suffixes that are sorted at once in a task, and bytes that hold them (besides one open group).
+BLOCK, BLOCK_BYTES = 400_000, 4 << 20
 _CUT = "m long, salt int, k1 long, k2 long, pos long, known boolean, text binary"
 _FOUND = "w1 long, w2 long, k1 long, k2 long, pos long, end long, open boolean, split boolean"
 
@@ -191,10 +191,12 @@ def _block(window: int, gram: int, table: pa.Table):
     offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     start = at[row] + offset
     # the minimiser lies at one place in all segments of a group: line windows up by their distance to it
-    place = segments(BYTE_WORDS[data], np.diff(at), window, gram)
     anchor = np.zeros(len(n), np.int64)
-    owner = np.searchsorted(at, place[0], side="right") - 1
-    anchor[owner] = place[2] - at[owner]
+    for group in pieces(at, window):  # a block can have more bytes than places fit a packed key
+        i, begin, stop = group[0][0], group[0][1], group[-1][2]
+        place = segments(BYTE_WORDS[data[begin:stop]], np.diff(at[i : group[-1][0] + 2]), window, gram)
+        owner = np.searchsorted(at, place[0] + begin, side="right") - 1
+        anchor[owner] = place[2] + begin - at[owner]
     new = np.ones(len(m), bool)
     new[1:] = (m[1:] != m[:-1]) | (salt[1:] != salt[:-1])
     bucket = (np.cumsum(new) - 1)[row] * (2 * window) + (anchor[row] - offset)
@@ -230,13 +232,14 @@ def _sort(window: int, gram: int):
     """Reads segments in the order of (m, salt) and sorts the suffixes of whole groups."""
 
     def work(rows):
-        held, size = [], 0
+        held, size, long = [], 0, 0
         for whole in rows:
             for low in range(0, whole.num_rows, 512):
                 batch = whole.slice(low, 512)
                 held.append(batch)
-                size += sum(len(x) for x in batch["text"].to_pylist()) - (window - 1) * batch.num_rows
-                if size < BLOCK:
+                own = sum(len(x) for x in batch["text"].to_pylist())
+                size, long = size + own - (window - 1) * batch.num_rows, long + own
+                if size < BLOCK and long < BLOCK_BYTES:
                     continue
                 table = pa.Table.from_batches(held).combine_chunks()
                 m, salt = table["m"].to_numpy(), table["salt"].to_numpy()
@@ -247,7 +250,8 @@ def _sort(window: int, gram: int):
                     yield from _block(window, gram, table.slice(0, done).combine_chunks())
                 rest = table.slice(done).combine_chunks()
                 held = rest.to_batches()
-                size = sum(len(x) for x in rest["text"].to_pylist()) - (window - 1) * rest.num_rows
+                long = sum(len(x) for x in rest["text"].to_pylist())
+                size = long - (window - 1) * rest.num_rows
         if held:
             yield from _block(window, gram, pa.Table.from_batches(held).combine_chunks())
 

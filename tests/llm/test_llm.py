@@ -70,6 +70,30 @@ def test_suffix_dedup_equals_brute_force(spark, docs, empty, group, monkeypatch)
     assert suffix_dedup.remove_repeated_bytes(empty).count() == 0
 
 
+def test_suffix_blocks_of_many_short_near_copies(monkeypatch):
+    import pyarrow as pa
+
+    from fraudflow.llm.hashing import BYTE_WORDS, all_ranges, mix, prefix
+
+    rng = np.random.default_rng(4)
+    letters = rng.integers(0, 256, 1 << 21).astype(np.uint8)
+    at = int(np.argmin(mix(all_ranges(prefix(BYTE_WORDS[letters]), 40))))
+    common = letters[at : at + 40].tobytes()  # the minimiser of all windows of all texts
+    half = 6_000
+    pairs = [rng.bytes(80) + common + rng.bytes(82) for _ in range(half)]
+    held = [pairs[i % half] + i.to_bytes(8, "little") for i in range(2 * half)]  # 2.5 MB, copies of 202 bytes half of them apart
+    same = np.zeros(2 * half, np.int64)
+    names = ["m", "salt", "k1", "k2", "pos", "known", "text"]
+    columns = [same, same.astype(np.int32) - 1, np.arange(2 * half), same, same, same.astype(bool)]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(held, pa.binary())], names=names)
+    for most in (1 << 30, 1 << 20):  # a group is never cut, whatever a block may hold
+        monkeypatch.setattr(suffix_dedup, "BLOCK", most)
+        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", most, raising=False)
+        found = pa.Table.from_batches(suffix_dedup._sort(200, 40)([batch]))
+        spans = sorted(zip(*(found[c].to_pylist() for c in ("k1", "pos", "end")), strict=True))
+        assert {i: (a, b) for i, a, b in spans if b - a >= 202} == {i: (0, 202) for i in range(2 * half)}
+
+
 def test_suffix_order_is_lexicographic():
     data = np.frombuffer(b"banana banana bandana" + b"\0" * 8, np.uint8)
     start = np.arange(14)
