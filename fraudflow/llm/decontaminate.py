@@ -93,20 +93,20 @@ def contamination(
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), exact(plain(item_text)).alias("iw"))
     items = items.where(F.size("iw") > 0).distinct().withColumn("n", F.least(F.size("iw"), F.lit(window)))
     items = written(items.withColumn("wins", _windows(F.col("iw"), F.col("n"))), "items")
-    # letters beyond A-Z may be folded too for the fingerprints: the exact comparison follows
-    folded = items.withColumn("ws", F.transform("iw", F.lower))
+    # fingerprints and comparison see the same words: F.lower depends on what surrounds a letter
+    worded = items.withColumn("ws", F.col("iw"))
     sizes = items.groupBy(F.size("iw").alias("n")).agg(F.sum(F.size("iw")).alias("words")).where(F.col("n") < window).select("n")
     short = sorted(r.n for r in sizes.collect())  # at most window - 1 rows
-    long_fps = fingerprints(folded.where(F.size("iw") >= window), window, gram, []).select("item", F.explode_outer("fps").alias("fp"))
+    long_fps = fingerprints(worded.where(F.size("iw") >= window), window, gram, []).select("item", F.explode_outer("fps").alias("fp"))
     for n in short:
-        long_fps = long_fps.unionByName(fingerprints(folded.where(F.size("iw") == n), window, gram, [n]).select("item", F.explode_outer("fps").alias("fp")))
+        long_fps = long_fps.unionByName(fingerprints(worded.where(F.size("iw") == n), window, gram, [n]).select("item", F.explode_outer("fps").alias("fp")))
     known = written(long_fps.groupBy("fp").agg(F.collect_set("item").alias("own")), "fingerprints")
     total = known.agg(F.sum(F.size("own"))).first()[0] or 0
     held = items.agg(F.sum(F.size("iw"))).first()[0] or 0
     near = F.broadcast if max(total, held) <= BROADCAST_ROWS else lambda df: df
 
     rows = docs.select(F.col(key).alias("id"), plain(text).alias("text"), *text_keys(plain(text)))
-    marked = fingerprints(rows.select("id", "k1", "k2", words(F.lower("text")).alias("ws")), window, gram, short)
+    marked = fingerprints(rows.select("id", "k1", "k2", exact("text").alias("ws")), window, gram, short)
     # one row for each fingerprint of the document; the text stays behind
     hits = marked.select("id", "k1", "k2", F.explode_outer("fps").alias("fp")).join(near(known), "fp")
     pairs = hits.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.array_distinct(F.flatten(F.collect_set("own"))).alias("own"))

@@ -171,6 +171,14 @@ def test_contamination_of_short_items_and_edges(spark, docs, empty):
     assert decontaminate.contamination(empty, bench).count() == 0
 
 
+def test_contamination_of_letters_whose_lower_case_depends_on_their_neighbours(spark):
+    many = " ".join(f"\u0391{i}\u03a3.\u0392" for i in range(8))  # Greek capitals, a sigma before each full stop
+    bench = spark.createDataFrame([(1, "\u0391\u03a3.\u0392"), (2, many)], "item_id long, text string")
+    rows = [(1, "one \u0391\u03a3.\u0392 two"), (2, f"a {many} b"), (3, "\u0391\u03a3 \u0392"), (4, many.replace(".", " "))]
+    found = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    assert {r.doc_id: (r.n_hit, r.items) for r in found.collect()} == {1: (2, ["1"]), 2: (16, ["2"]), 3: (2, ["1"]), 4: (16, ["2"])}
+
+
 def test_quality_edges(docs, empty):
     out = quality.quality(docs).collect()
     assert len(out) == docs.count() and all(r.base_failed for r in out if r.n_words < 20)
