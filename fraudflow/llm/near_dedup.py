@@ -16,9 +16,14 @@ the exact multiset overlap decides. Candidates are not all pairs of a bucket:
   others, and with its neighbours in orders of the bucket by hash, two for each
   bucket: a few pairs a text, whatever a bucket's size; as the buckets of a text
   have different orders, groups grow together into components;
-* then texts outside their bucket's largest component are compared with the
-  bucket's texts of other components whose wide signatures agree often enough.
-  What is linked already is not compared.
+* texts of buckets that hold several components by then are cut into longer
+  bands; only texts that meet another component there go on;
+* among those the last round is exact. Shingles are put in one order, rarest
+  first, and shingles that one component alone has only count; two texts that
+  are similar enough share a shingle near the beginning of both, and how near
+  follows from their lengths. The join is on shingle and length classes, so a
+  group of texts that are much alike but not enough makes hardly any pair: what
+  makes them differ comes first. What is linked already is not compared.
 
 A class is a connected component of links, so no link between classes is left.
 """
@@ -38,8 +43,10 @@ SLICE = 1 << 20
 SHINGLE, BANDS, ROWS = 5, 24, 4
 #: Times that neighbours in a bucket are compared.
 CHAINS = 2
-#: Registers of the signature that decides which texts of different components are compared, and the shingles that it takes.
-WIDE, FEW = 2048, 32
+#: Bands of the second signature: a pair of similarity 0.8 has none in common with probability 0.000002.
+LONG_BANDS, LONG_ROWS = 72, 8
+#: Logarithm of the width of a length class.
+GRID = 0.02
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = 5
 
@@ -128,22 +135,12 @@ def _signatures(bands: int, rows: int):
     return work
 
 
-def wide_signatures(own: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: int) -> list[list[int]]:
-    """A bit for each of ``WIDE`` registers, 64 to a word; none for texts of few shingles."""
-    many = np.bincount(own, weights=weight, minlength=texts) >= FEW
-    take = many[own]
-    least = signatures(own[take], hashes[take], weight[take], texts, WIDE)
-    bits = (mix((np.minimum(least, 1e5) * (1 << 36)).astype(np.uint64)) & np.uint64(1)).astype(bool)
-    words = np.packbits(bits, axis=1).view(np.int64)
-    return [w.tolist() if m else [] for w, m in zip(words, many, strict=True)]
-
-
 def _sets(batches_):
-    """Sorted 40-bit ids of the shingles of a text, and its wide signature; the same shingle again has another id."""
+    """Sorted 40-bit ids of the shingles of a text, their number and its long bands; the same shingle again has another id."""
     for batch in batches(batches_, SLICE, "text"):
         own, hashes = shingles(*word_hashes(*utf8(batch["text"])))
         own, hashes, weight = weighted(own, hashes)
-        wide = wide_signatures(own, hashes, weight, batch.num_rows)
+        bands = band_hashes(signatures(own, hashes, weight, batch.num_rows, LONG_BANDS * LONG_ROWS), LONG_BANDS, LONG_ROWS).view(np.int64)
         again = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
         own = np.repeat(own, weight)
         ids = mix(np.repeat(hashes, weight) + again.astype(np.uint64) * _STEP) >> np.uint64(64 - 8 * _BYTES)
@@ -151,19 +148,30 @@ def _sets(batches_):
         packed = np.ascontiguousarray(ids[order]).view(np.uint8).reshape(-1, 8)[:, :_BYTES]
         ends = np.searchsorted(own[order], np.arange(batch.num_rows + 1))
         yield pa.RecordBatch.from_arrays(
-            [batch["k1"], batch["k2"], pa.array([packed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()), pa.array(wide, pa.list_(pa.int64()))],
-            names=["k1", "k2", "ids", "wide"],
+            [batch["k1"], batch["k2"], pa.array([packed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()), pa.array(np.diff(ends)), pa.array(list(bands), pa.list_(pa.int64()))],
+            names=["k1", "k2", "ids", "n", "long"],
         )
 
 
+def unpacked(ids: bytes) -> np.ndarray:
+    """The ids of a packed set."""
+    own = np.zeros((len(ids) // _BYTES, 8), np.uint8)
+    own[:, :_BYTES] = np.frombuffer(ids, np.uint8).reshape(-1, _BYTES)
+    return own.reshape(-1).view(np.int64)
+
+
 def overlap(a: bytes, b: bytes) -> int:
     """Common ids of two packed sets."""
-    wide = []
-    for x in (a, b):
-        own = np.zeros((len(x) // _BYTES, 8), np.uint8)
-        own[:, :_BYTES] = np.frombuffer(x, np.uint8).reshape(-1, _BYTES)
-        wide.append(own.reshape(-1).view(np.uint64))
-    return len(np.intersect1d(*wide, assume_unique=True))
+    return len(np.intersect1d(unpacked(a), unpacked(b), assume_unique=True))
+
+
+def _listed(batches_):
+    """A row for each shingle id of a text."""
+    for batch in batches_:
+        if batch.num_rows:
+            own = [unpacked(x) for x in batch["ids"].to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
+            yield pa.RecordBatch.from_arrays([batch["v"].take(row), batch["c"].take(row), pa.array(np.concatenate(own))], names=["v", "c", "id"])
 
 
 def _linked(similarity: float):
@@ -215,13 +223,45 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def most_differing(similarity: float) -> int:
-    """Bits in which the wide signatures of similar texts differ, and 4.5 standard deviations (all but 3 in a million).
+def _class(n):
+    return F.floor(F.log(n) / GRID).cast("int")
+
+
+def _reach(n, other, similarity: float):
+    """The last place in the order of shingles at which a text of ``n`` can first meet one of ``other`` or more."""
+    return n - F.ceil(F.lit(similarity / (1 + similarity)) * (n + other) - 1e-6)
+
+
+def across(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of texts of different components that can be similar enough.
 
-    Registers agree with probability ``similarity``; bits of others agree by chance every other time.
+    ``members`` has (v, c): texts and (a hash of) the component of each. A text
+    takes part if it shares a long band with another component. The pairs hold
+    all that are similar enough among the texts that share a long band.
     """
-    p = (1 - similarity) / 2
-    return int(WIDE * p + 4.5 * (WIDE * p * (1 - p)) ** 0.5)
+    spark = members.sparkSession
+    banded = written(members.join(sets.select("v", "n", "long"), "v").select("v", "c", "n", F.explode("long").alias("b")), "long-bands")
+    meeting = banded.groupBy("b").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("b")
+    met = written(banded.join(meeting, "b"), "met")
+    if met.isEmpty():
+        return spark.createDataFrame([], f"a {_V}, b {_V}")
+    # the lengths, by class, that a text meets; so many classes at most as the lengths have
+    lengths = met.groupBy("b").agg(F.collect_set(_class(F.col("n"))).alias("classes"))
+    seekers = written(met.join(lengths, "b").groupBy("v", "c", "n").agg(F.array_distinct(F.flatten(F.collect_set("classes"))).alias("classes")), "seekers")
+    listed = written(seekers.select("v", "c").join(sets.select("v", "ids"), "v").mapInArrow(_listed, f"v {_V}, c long, id long"), "listed")
+    common = listed.groupBy("id").agg(F.count(F.lit(1)).alias("df"), (F.min("c") != F.max("c")).alias("shared"))
+    order = Window.partitionBy("v").orderBy("shared", "df", "id")
+    placed = listed.join(common, "id").select("v", "id", "shared", (F.row_number().over(order) - 1).alias("at"))
+    first = written(placed.where("shared").join(seekers, "v").where(F.col("at") <= _reach(F.col("n"), F.col("n") * similarity, similarity)), "prefixes")
+    own, other = _class(F.col("n")), F.col("other")
+    least = F.ceil(F.exp(other * GRID) - 1e-6)
+    asked = first.select("v", "c", "n", "id", "at", own.alias("own"), F.explode("classes").alias("other"))
+    shorter = asked.where(other >= F.col("own")).where(F.col("at") <= _reach(F.col("n"), F.greatest("n", least), similarity))
+    longer = asked.where(other <= F.col("own")).where(F.col("at") <= _reach(F.col("n"), F.greatest(F.col("n") * similarity, least), similarity))
+    x = shorter.select("id", F.col("own").alias("s"), F.col("other").alias("l"), F.col("v").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("px"))
+    y = longer.select("id", F.col("other").alias("s"), F.col("own").alias("l"), F.col("v").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("py"))
+    met_at = x.join(y, ["id", "s", "l"]).where("cx != cy AND nx <= ny").where((F.col("px") <= _reach(F.col("nx"), F.col("ny"), similarity)) & (F.col("py") <= _reach(F.col("ny"), F.col("nx"), similarity)))
+    return _ordered(met_at, "x", "y")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -258,21 +298,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     candidates = buckets.select("v").distinct().select("v.k1", "v.k2")
     chosen = texts.select("k1", "k2", "first").join(candidates, ["k1", "k2"])
     source = all_rows.join(chosen, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first"))).select("text", "k1", "k2")
-    sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary, wide array<long>").dropDuplicates(["k1", "k2"]).select(v, "ids", "wide"), "sets")
+    sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary, n long, long array<long>").dropDuplicates(["k1", "k2"]).select(v, "ids", "n", "long"), "sets")
     links = _verified(tested, sets, similarity, "links")
     parts = components(links)
     placed = written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
-    sizes = placed.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("b").agg(F.max(F.struct("n", "c")).getField("c").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    split = placed.join(largest, "b").join(texts.select(v, "bands"), "v").join(sets.select("v", "wide"), "v")
-    minor = split.where("c != main").select("b", F.col("v").alias("x"), F.col("c").alias("cx"), F.col("wide").alias("lx"), F.col("bands").alias("bx"))
-    other = split.select("b", F.col("v").alias("y"), F.col("c").alias("cy"), F.col("wide").alias("ly"), F.col("bands").alias("by"), "main")
-    # two minor members meet once, in the order of their components
-    meet = (minor["b"] == other["b"]) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("cx") < F.col("cy")))
-    differing = F.aggregate(F.zip_with("lx", "ly", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, e: a + e)
-    agree = (F.size("lx") == 0) | (F.size("ly") == 0) | (differing <= most_differing(similarity))
-    once = F.element_at(F.array_intersect("bx", "by"), 1) == minor["b"]  # in the first of their common buckets
-    others = _ordered(minor.join(other, meet & once & agree), "x", "y").join(tested, ["a", "b"], "left_anti")
+    split = placed.groupBy("b").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("b")
+    members = placed.join(split, "b").select("v", F.xxhash64("c.k1", "c.k2").alias("c")).distinct()
+    others = across(members, sets, similarity).join(tested, ["a", "b"], "left_anti")
     more = _verified(others, sets, similarity, "links")
     classes = parts if more.isEmpty() else components(links.unionByName(more))
 

@@ -282,6 +282,36 @@ def test_near_duplicates_equal_brute_force(spark, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_all_links_of_every_fiftieth_document_are_found(spark):
+    import pyarrow as pa
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng = random.Random(6)
+    base = [f"b{rng.randint(0, 10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(60):  # much alike, some enough and most not
+        own = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 7)):
+            own[at] = f"e{rng.randint(0, 60)}"
+        rows.append((10_000 + i, " ".join(own)))
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    held = docs.collect()
+    own, hashes = near_dedup.shingles(*near_dedup.word_hashes(*near_dedup.utf8(pa.array([r.text for r in held]))))
+    bags = [Counter() for _ in held]
+    for i, h in zip(own.tolist(), hashes.tolist(), strict=True):
+        bags[i][h] += 1
+    links = 0
+    for i, r in enumerate(held):
+        if r.doc_id % 50 == 0 or r.doc_id >= 10_000:
+            for j, other in enumerate(held):
+                common = sum((bags[i] & bags[j]).values()) if i != j else 0
+                if common and 5 * common >= 4 * (bags[i].total() + bags[j].total() - common):
+                    links += 1
+                    assert got[r.doc_id] == got[other.doc_id]
+    assert links > 20
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline as p
 
