@@ -2,17 +2,22 @@
 
 A window of ``window`` words is an edge of the De Bruijn graph of the corpus,
 from its first ``window - 1`` words to its last. A text is a walk; an edge that
-is walked twice is a repeat. Making a row per edge would multiply the text, so
-walks are compacted first: consecutive edges with the same minimiser form one
-path with a digest and its source coordinates (text, first word, length).
-
-* Paths are brought together by minimiser. Where all of them are equal, the
-  path does not branch and is kept as one unit with its multiplicity.
-* Where they differ, the path branches somewhere inside; one path of each kind
-  is expanded to edges, and a join with the edge multiplicities tells which
-  edges repeat.
-* Through the source coordinates the repeated paths and edges of a text are
-  joined to maximal spans, which are cut from the text itself.
+is walked twice is a repeat. A row per edge would multiply the text, so walks
+are first cut where the least k-mer (``gram`` words) of the edges changes, as
+compacted De Bruijn graphs are built by minimiser: consecutive edges with one
+least k-mer form a path with a digest of its words and its source coordinates
+(text, first word, length).
+
+* Paths meet by k-mer and by digest, in joins. Where all paths of a k-mer are
+  equal they do not branch and stay one unit with their multiplicity.
+* Where they differ, they branch somewhere inside: one path of each kind becomes
+  single edges, which meet by the digests of their words.
+* By the source coordinates, repeated paths and edges that follow each other in
+  a text are compacted to maximal spans, which are cut from the text itself.
+
+Hashes of words only bring paths together. What repeats is decided by 128-bit
+BLAKE2b digests of the words themselves, so a collision of word hashes cannot
+remove text.
 """
 
 from __future__ import annotations
@@ -21,81 +26,53 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .common import batches, read_table, utf8
-from .hashing import BYTE_WORDS, all_ranges, mix, pieces, prefix, range_hash, segments
-from .suffix_dedup import SLICE, merged
+from .common import batches, read_table, utf8, written
+from .hashing import BYTE_WORDS, mix, prefix, range_hash
+from .suffix_dedup import SLICE
 
-_EDGE = "w1 long, w2 long, k1 long, k2 long, pos long, times int"
 
-
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of the texts in ``data`` and the offsets of texts in words."""
+def word_places(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word of the texts in ``data``."""
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     inside = ~space
     starts = np.flatnonzero(inside & (edge[:-1] | np.concatenate([[True], space[:-1]])))
     ends = np.flatnonzero(inside & (edge[1:] | np.concatenate([space[1:], [True]]))) + 1
-    h = range_hash(prefix(BYTE_WORDS[data]), starts, ends - starts)
-    return mix(h ^ (ends - starts).astype(np.uint64)), np.searchsorted(starts, at)
+    return starts, ends
 
 
-def _paths(window: int, gram: int):
-    def work(rows):
-        for batch in batches(rows, SLICE, "text"):
-            words, at = word_hashes(*utf8(batch["text"]))
-            k1, k2 = (batch[k].to_numpy() for k in ("k1", "k2"))
-            for group in pieces(at, window):
-                own = np.concatenate([words[b:e] for _, b, e in group])
-                sizes = np.array([e - b for _, b, e in group])
-                start, n, _, m = segments(own, sizes, window, gram)
-                if not len(start):
-                    continue
-                held = memoryview(own).cast("B")
-                ends = start + n + window - 1
-                s = np.array([xxhash.xxh3_64_intdigest(held[8 * a : 8 * b]) for a, b in zip(start.tolist(), ends.tolist(), strict=True)], np.uint64)
-                first = np.concatenate([[0], np.cumsum(sizes)])
-                piece = np.searchsorted(first, start, side="right") - 1
-                text = np.array([i for i, _, _ in group])[piece]
-                shift = np.array([b for _, b, _ in group])[piece] - at[text] - first[piece]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(m.view(np.int64)), pa.array(s.view(np.int64)), pa.array(k1[text]), pa.array(k2[text]), pa.array(start + shift), pa.array(n.astype(np.int32))],
-                    names=["m", "s", "k1", "k2", "pos", "n"],
-                )
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word."""
+    return mix(range_hash(prefix(BYTE_WORDS[data]), starts, ends - starts) ^ (ends - starts).astype(np.uint64))
 
-    return work
+
+def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the texts in ``data`` and the offsets of texts in words."""
+    starts, ends = word_places(data, at)
+    return hashed(data, starts, ends), np.searchsorted(starts, at)
 
 
-def _edges(window: int):
-    """Edges of the listed paths, hashed twice."""
+def single_spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one space after each, and their starts and ends there."""
+    size = ends - starts
+    new = np.cumsum(size + 1) - size - 1
+    out = np.full(int(size.sum()) + len(size), 32, np.uint8)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[inside + np.repeat(new, size)] = data[inside + np.repeat(starts, size)]
+    return out, new, new + size
 
+
+def _paths(window: int, gram: int):
     def work(rows):
         for batch in batches(rows, SLICE, "text"):
-            words, at = word_hashes(*utf8(batch["text"]))
-            h1, h2 = prefix(words), prefix(mix(words ^ np.uint64(0x5851F42D4C957F2D)))
-            e1 = mix(all_ranges(h1, window)).view(np.int64)
-            e2 = mix(all_ranges(h2, window)).view(np.int64)
-            cuts = batch["cuts"]
-            offsets = cuts.offsets.to_numpy()
-            flat = cuts.flatten()
-            text = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            pos, n = flat.field("pos").to_numpy(), flat.field("n").to_numpy()
-            known = np.asarray(flat.field("known").to_numpy(zero_copy_only=False), bool)
-            k1, k2 = (batch[k].to_numpy() for k in ("k1", "k2"))
-            for low in range(0, len(pos), 20_000):
-                size = n[low : low + 20_000]
-                row = np.repeat(np.arange(low, low + len(size)), size)
-                p = pos[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-                own = at[text[row]] + p
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (e1[own], e2[own], k1[text[row]], k2[text[row]], p, (1 + known[row]).astype(np.int32))],
-                    names=["w1", "w2", "k1", "k2", "pos", "times"],
-                )
+            data, at = utf8(batch["text"])
+            starts, ends = word_places(data, at)
+            yield from repeats.segment_rows(batch, hashed(data, starts, ends), np.searchsorted(starts, at), *single_spaced(data, starts, ends), window, gram)
 
     return work
 
@@ -107,7 +84,7 @@ def _remove(window: int):
             out = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
             for i, (copies, spans) in enumerate(zip(batch["c"].to_pylist(), batch["spans"].to_pylist(), strict=True)):
                 words = data[at[i] : at[i + 1]].tobytes().split()
-                gone = merged([(s["pos"], s["end"]) for s in spans or ()])
+                gone = [(s["pos"], s["end"]) for s in spans or ()]
                 if copies > 1 and len(words) >= window:
                     gone = [(0, len(words))]
                 kept, last = [], 0
@@ -139,12 +116,13 @@ def remove_repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """
     rows = repeats.keyed(docs, key, text)
     groups = repeats.copies(rows)
-    first = repeats.first_rows(rows, groups).select("text", "k1", "k2")
-    found = repeats.classified(first.mapInArrow(_paths(window, gram), repeats.SEGMENT))
-    edges = repeats.cut_rows(rows, groups, found).mapInArrow(_edges(window), _EDGE)
-    walked = edges.groupBy("w1", "w2").agg(F.sum("times").alias("walked")).where("walked > 1")
-    again = edges.where("times = 1").join(walked, ["w1", "w2"])
-    spans = repeats.whole_spans(found, window).unionByName(again.select("k1", "k2", "pos", (F.col("pos") + window).alias("end")))
+    paths = repeats.met(rows.select("text", "k1", "k2").mapInArrow(_paths(window, gram), repeats.SEGMENT))
+    kinds = repeats.kinds(paths)
+    branching = repeats.cut_rows(rows, groups, repeats.mixed(kinds))
+    edges = written(branching.mapInArrow(_paths(window, window), repeats.SEGMENT).select("s", "t", "k1", "k2", "pos"), "edges")
+    walked = edges.groupBy("s", "t").agg(F.count(F.lit(1)).alias("walked")).where("walked > 1").select("s", "t")
+    again = edges.join(walked, ["s", "t"]).select("k1", "k2", "pos", (F.col("pos") + window).alias("end"))
+    spans = repeats.whole_spans(paths, kinds, window).unionByName(again)
     kind = docs.schema[key].dataType.simpleString()
     out = repeats.with_spans(rows, groups, spans).mapInArrow(_remove(window), f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("id", key)

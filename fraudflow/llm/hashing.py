@@ -64,15 +64,15 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(a[: len(a) - (width - have)], a[width - have :]) if have < width else a
 
 
-def pieces(ends: np.ndarray, window: int, most: int = MOST_UNITS):
-    """Groups of (text, first unit, end unit) with at most ``most`` units each.
+def pieces(begins: np.ndarray, ends: np.ndarray, window: int, most: int | None = None):
+    """Groups of (number, first unit, end unit) with at most ``most`` units each.
 
-    ``ends`` are unit offsets of the texts. A longer text is cut into pieces
+    ``begins`` and ``ends`` are unit offsets. A longer stretch is cut into pieces
     that overlap by ``window - 1`` units, so each window lies in one piece.
     """
+    most = most or MOST_UNITS
     group, size = [], 0
-    for i in range(len(ends) - 1):
-        begin, end = int(ends[i]), int(ends[i + 1])
+    for i, (begin, end) in enumerate(zip(begins.tolist(), ends.tolist(), strict=True)):
         while end - begin >= window:
             stop = min(end, begin + most)
             if size + stop - begin > most and group:

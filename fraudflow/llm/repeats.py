@@ -6,26 +6,30 @@ shuffled is a small fraction of the text. Equal windows have equal minimisers,
 so a window can only recur inside segments with its own minimiser:
 
 * one segment has that minimiser: none of its windows recurs;
-* all segments with it are equal: all their windows recur;
-* they differ (*mixed*): one segment of each kind is looked at window by window.
-
-Exact copies of a text are folded first and segments are made of one of them;
-a row per text and minimiser remains, so even a passage of every document is a
-small share of all rows and no key needs to be held in memory.
+* segments with equal content (a 128-bit BLAKE2b digest of it, no polynomial
+  hash): all their windows recur;
+* segments that differ (*mixed*): one of each kind is looked into.
+
+Minimisers are counted in partial sums and joined back, a join whose large
+partitions Spark can split; contents are counted by (minimiser, digest). So a
+passage of every document is no task's burden. Texts are shuffled once, when
+segments are looked into and spans are cut; the segments come from the rows as
+they are read, copies too: a text with a copy loses all its windows anyway.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_keys
+from .common import text_keys, utf8, written
+from .hashing import pieces, segments
 
-#: Different segments with one minimiser that one task compares at a time.
-GROUP = 1024
-SEGMENT = "m long, s long, k1 long, k2 long, pos long, n int"
+SEGMENT = "m long, s long, t long, k1 long, k2 long, pos long, n int, place int"
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -49,62 +53,89 @@ def first_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, ["k1", "k2"]).where(F.coalesce(F.col("id") <= F.col("first"), F.col("first").isNull()))
 
 
-def classified(segments: DataFrame) -> DataFrame:
-    """Segments whose minimiser recurs, with what is known of their group.
+def cuts_of(batch: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first unit, units) of the listed segments of each row, with the list's other fields in order."""
+    offsets = batch["cuts"].offsets.to_numpy()
+    flat = batch["cuts"].flatten()
+    row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    return row, flat.field("pos").to_numpy(), flat.field("n").to_numpy().astype(np.int64) + window - 1
 
-    ``mixed``: the group has different segments; ``kin``: rows equal to this
-    one; ``lead``: this row stands for them; ``kinds``: different segments.
-    """
-    of_m, of_s = Window.partitionBy("m"), Window.partitionBy("m", "s")
-    lead = F.row_number().over(of_s.orderBy("k1", "k2", "pos"))
-    return (
-        segments.repartition("m")
-        .withColumn("rows", F.count(F.lit(1)).over(of_m))
-        .where("rows > 1")
-        .withColumn("kin", F.count(F.lit(1)).over(of_s))
-        .withColumn("lead", lead == 1)
-        .withColumn("kinds", F.sum(F.col("lead").cast("long")).over(of_m))
-        .withColumn("mixed", F.col("kinds") > 1)
-        .drop("rows")
-    )
-
-
-def mixed_by_text(found: DataFrame) -> DataFrame:
-    """The segments to look into, gathered by the text they come from.
-
-    Groups with many kinds are split: ``salt`` numbers the parts.
-    """
-    parts = F.ceil(F.col("kinds") / GROUP)
-    salt = F.when(parts > 1, F.pmod(F.xxhash64("k1", "k2", "pos"), parts)).otherwise(F.lit(-1)).cast("int")
-    row = F.struct("m", salt.alias("salt"), "pos", "n", (F.col("kin") > 1).alias("known"))
-    return found.where("mixed and lead").groupBy("k1", "k2").agg(F.collect_list(row).alias("cuts"))
 
+def segment_rows(batch: pa.RecordBatch, values: np.ndarray, at: np.ndarray, content: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, gram: int):
+    """``SEGMENT`` rows of a batch of texts, or of their listed segments if there is a list.
 
-def whole_spans(found: DataFrame, window: int) -> DataFrame:
+    ``values`` are the hashed units of all texts, ``at`` the texts' offsets in
+    them; unit i is ``content[starts[i]:ends[i]]``, and a run of units the bytes
+    from the first start to the last end.
+    """
+    if "cuts" in batch.schema.names:
+        row, begin, size = cuts_of(batch, window)
+        begin = begin + at[row]
+    else:
+        row, begin, size = np.arange(batch.num_rows), at[:-1], np.diff(at)
+    k1, k2 = (batch[k].to_numpy() for k in ("k1", "k2"))
+    held = memoryview(np.ascontiguousarray(content))
+    for group in pieces(begin, begin + size, window):
+        own = np.concatenate([values[b:e] for _, b, e in group])
+        sizes = np.array([e - b for _, b, e in group])
+        start, n, place, m = segments(own, sizes, window, gram)
+        if not len(start):
+            continue
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        piece = np.searchsorted(first, start, side="right") - 1
+        text = row[np.array([i for i, _, _ in group])[piece]]
+        unit = start + np.array([b for _, b, _ in group])[piece] - first[piece]
+        spans = zip(starts[unit].tolist(), ends[unit + n + window - 2].tolist(), strict=True)
+        digest = np.frombuffer(b"".join(hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in spans), "<i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (m.view(np.int64), digest[:, 0], digest[:, 1], k1[text], k2[text], unit - at[text], n.astype(np.int32), (place - start).astype(np.int32))],
+            names=["m", "s", "t", "k1", "k2", "pos", "n", "place"],
+        )
+
+
+def met(found: DataFrame) -> DataFrame:
+    """Segments whose minimiser recurs, written."""
+    found = written(found, "segments")
+    again = found.groupBy("m").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("m")
+    return written(found.join(again, "m"), "met")
+
+
+def kinds(segments_: DataFrame) -> DataFrame:
+    """A row for each different segment: how many are equal to it (``kin``) and the first of them."""
+    first = F.min(F.struct("k1", "k2", "pos", "n", "place")).alias("first")
+    return written(segments_.groupBy("m", "s", "t").agg(F.count(F.lit(1)).alias("kin"), first), "kinds")
+
+
+def mixed(kinds_: DataFrame) -> DataFrame:
+    """The first segment of each kind where a minimiser has several, with the number of the windows of all (``windows``)."""
+    groups = kinds_.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("first.n").cast("long")).alias("windows")).where("kinds > 1").select("m", "windows")
+    return kinds_.join(groups, "m").select("m", "windows", "first.*")
+
+
+def whole_spans(segments_: DataFrame, kinds_: DataFrame, window: int) -> DataFrame:
     """Spans of the segments all of whose windows recur."""
-    return found.where("kin > 1").select("k1", "k2", "pos", (F.col("pos") + F.col("n") + window - 1).alias("end"))
+    again = kinds_.where("kin > 1").select("m", "s", "t")
+    return segments_.join(again, ["m", "s", "t"]).select("k1", "k2", "pos", (F.col("pos") + F.col("n") + window - 1).alias("end"))
+
+
+def cut_rows(rows: DataFrame, groups: DataFrame, listed: DataFrame) -> DataFrame:
+    """Texts that hold the listed segments, with the list of them: never more than the text has places."""
+    lists = listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("m", "pos", "n", "place")).alias("cuts"))
+    cuts = lists.join(groups, ["k1", "k2"]).select("k1", "k2", "first", "cuts")
+    return first_rows(rows, cuts).select("text", "k1", "k2", "cuts")
 
 
-def split_windows(rows: DataFrame) -> DataFrame:
-    """Of (w1, w2, k1, k2, pos, end, open), the open ones with another row of their hashes."""
-    same = F.count(F.lit(1)).over(Window.partitionBy("w1", "w2"))
-    counted = rows.repartition("w1", "w2").withColumn("same", same)
-    return counted.where("same > 1 and open").select("k1", "k2", "pos", "end")
+def runs(spans: DataFrame) -> DataFrame:
+    """Overlapping or touching spans (k1, k2, pos, end) of a text joined."""
+    own = Window.partitionBy("k1", "k2").orderBy("pos", "end")
+    before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    new = spans.distinct().withColumn("new", F.coalesce(F.col("pos") > before, F.lit(True)).cast("long"))
+    numbered = new.withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("k1", "k2", "run").agg(F.min("pos").alias("pos"), F.max("end").alias("end")).drop("run")
 
 
 def with_spans(rows: DataFrame, groups: DataFrame, spans: DataFrame) -> DataFrame:
     """Each row with the number of its copies and the removed spans of its text."""
-    lists = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "end")).alias("spans"))
+    lists = runs(spans).groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("pos", "end"))).alias("spans"))
     known = groups.join(lists, ["k1", "k2"], "left").select("k1", "k2", "c", "spans")
     return rows.join(known, ["k1", "k2"]).select("id", "text", "c", "spans")
-
-
-def cut_rows(rows: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame:
-    """Texts that hold mixed segments, with the list of them."""
-    cuts = mixed_by_text(found).join(groups, ["k1", "k2"]).select("k1", "k2", "first", "cuts")
-    return first_rows(rows, cuts).select("text", "k1", "k2", "cuts")
-
-
-def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` under a shorter name."""
-    return df.mapInArrow(work, schema)

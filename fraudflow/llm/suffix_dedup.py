@@ -8,7 +8,10 @@ they count (hash collisions cannot remove text).
 
 Only suffixes that can have a twin are sorted. See ``repeats`` for how windows
 are grouped by minimiser: the sort runs on groups of segments that share a
-minimiser but are not equal, in tasks that hold a bounded block at a time.
+minimiser but are not equal, in tasks that hold a bounded block at a time. A
+group with too many windows for a task is cut anew by the minimisers of longer
+grams, at last by whole windows; each cut puts equal windows together again, so
+every part is closed and nothing is left to compare across parts.
 """
 
 from __future__ import annotations
@@ -17,43 +20,28 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .common import batches, utf8
-from .hashing import BYTE_WORDS, pieces, powers, prefix, range_hash, segments
+from .common import batches, utf8, written
+from .hashing import BYTE_WORDS, powers, prefix, range_hash
 
 SLICE = 1 << 20
 #: Suffixes that are sorted at once in a task, and bytes that hold them (besides one open group).
-BLOCK, BLOCK_BYTES = 400_000, 4 << 20
-_CUT = "m long, salt int, k1 long, k2 long, pos long, known boolean, text binary"
-_FOUND = "w1 long, w2 long, k1 long, k2 long, pos long, end long, open boolean, split boolean"
+BLOCK, BLOCK_BYTES = 200_000, 4 << 20
+#: Windows of a group that one task sorts; a larger group is cut anew.
+GROUP = 300_000
+_CUT = "m long, k1 long, k2 long, pos long, place int, text binary"
+_FOUND = "k1 long, k2 long, pos long, end long"
 
 
 def _segments(window: int, gram: int):
     def work(rows):
         for batch in batches(rows, SLICE, "text"):
             data, at = utf8(batch["text"])
-            k1, k2 = (batch[k].to_numpy() for k in ("k1", "k2"))
-            for group in pieces(at, window):
-                own = np.concatenate([data[b:e] for _, b, e in group])
-                sizes = np.array([e - b for _, b, e in group])
-                start, n, _, m = segments(BYTE_WORDS[own], sizes, window, gram)
-                if not len(start):
-                    continue
-                held = memoryview(own)
-                ends = start + n + window - 1
-                s = np.array([xxhash.xxh3_64_intdigest(held[a:b]) for a, b in zip(start.tolist(), ends.tolist(), strict=True)], np.uint64)
-                first = np.concatenate([[0], np.cumsum(sizes)])
-                piece = np.searchsorted(first, start, side="right") - 1
-                text = np.array([i for i, _, _ in group])[piece]
-                shift = np.array([b for _, b, _ in group])[piece] - at[text] - first[piece]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(m.view(np.int64)), pa.array(s.view(np.int64)), pa.array(k1[text]), pa.array(k2[text]), pa.array(start + shift), pa.array(n.astype(np.int32))],
-                    names=["m", "s", "k1", "k2", "pos", "n"],
-                )
+            byte = np.arange(len(data))
+            yield from repeats.segment_rows(batch, BYTE_WORDS[data], at, data, byte, byte + 1, window, gram)
 
     return work
 
@@ -64,22 +52,18 @@ def _cut(window: int):
     def work(rows):
         for batch in batches(rows, SLICE, "text"):
             data, at = utf8(batch["text"])
-            cuts = batch["cuts"]
-            flat, offsets = cuts.flatten(), cuts.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            text = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            pos, n = flat.field("pos").to_numpy(), flat.field("n").to_numpy()
+            text, pos, sizes = repeats.cuts_of(batch, window)
+            flat = batch["cuts"].flatten()
             begin = at[text] + pos
-            sizes = n + window - 1
             ends = np.concatenate([[0], np.cumsum(sizes)])
             for low in range(0, len(pos), 50_000):
                 high = min(low + 50_000, len(pos))
                 take = np.arange(ends[high] - ends[low]) + np.repeat(begin[low:high] - (ends[low:high] - ends[low]), sizes[low:high])
                 own = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer((ends[low : high + 1] - ends[low]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[take]))])
-                part, where = flat.slice(low, high - low), text[low:high]
+                part, where = flat.slice(low, high - low), pa.array(text[low:high])
                 yield pa.RecordBatch.from_arrays(
-                    [part.field("m"), part.field("salt"), batch["k1"].take(pa.array(where)), batch["k2"].take(pa.array(where)), pa.array(pos[low:high]), part.field("known"), own],
-                    names=["m", "salt", "k1", "k2", "pos", "known", "text"],
+                    [part.field("m"), batch["k1"].take(where), batch["k2"].take(where), pa.array(pos[low:high]), part.field("place"), own],
+                    names=["m", "k1", "k2", "pos", "place", "text"],
                 )
 
     return work
@@ -157,8 +141,8 @@ class Suffixes:
         return same
 
 
-def repeated_suffixes(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix, whether its window recurs in its bucket, and whether it leads its equals."""
+def repeated_suffixes(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, window: int) -> np.ndarray:
+    """For each suffix, whether its window recurs in its bucket."""
     suffixes = Suffixes(data, start, window)
     first = np.zeros(len(start), np.uint64)
     for i in range(8):
@@ -176,60 +160,33 @@ def repeated_suffixes(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, w
     close[close] = suffixes.verified(a[close], b[close])
     same = np.zeros(len(order) + 1, bool)
     same[near] = close
-    repeats_, leads = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    repeats_[order] = same[:-1] | same[1:]
-    leads[order] = ~same[:-1]
-    return repeats_, leads
+    again = np.zeros(len(order), bool)
+    again[order] = same[:-1] | same[1:]
+    return again
 
 
-def _block(window: int, gram: int, table: pa.Table):
+def _block(window: int, table: pa.Table):
     data, at = utf8(table["text"])
-    m, salt, k1, k2, pos = (table[c].to_numpy() for c in ("m", "salt", "k1", "k2", "pos"))
-    known = np.asarray(table["known"].to_numpy(zero_copy_only=False), bool)
+    m, k1, k2, pos, place = (table[c].to_numpy() for c in ("m", "k1", "k2", "pos", "place"))
     n = np.diff(at) - window + 1
     row = np.repeat(np.arange(len(n)), n)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    start = at[row] + offset
-    # the minimiser lies at one place in all segments of a group: line windows up by their distance to it
-    anchor = np.zeros(len(n), np.int64)
-    for group in pieces(at, window):  # a block can have more bytes than places fit a packed key
-        i, begin, stop = group[0][0], group[0][1], group[-1][2]
-        place = segments(BYTE_WORDS[data[begin:stop]], np.diff(at[i : group[-1][0] + 2]), window, gram)
-        owner = np.searchsorted(at, place[0] + begin, side="right") - 1
-        anchor[owner] = place[2] + begin - at[owner]
     new = np.ones(len(m), bool)
-    new[1:] = (m[1:] != m[:-1]) | (salt[1:] != salt[:-1])
-    bucket = (np.cumsum(new) - 1)[row] * (2 * window) + (anchor[row] - offset)
-    again, lead = repeated_suffixes(data, start, bucket, window)
-    split = salt[row] >= 0
-    # in parts of a group, a window without a twin here may have one in another part
-    tell = split & lead
-    hits = np.flatnonzero(again & ~known[row])
+    new[1:] = m[1:] != m[:-1]
+    # the minimiser lies at one place in all segments of a group: windows line up by their distance to it
+    bucket = (np.cumsum(new) - 1)[row] * (2 * window) + (place[row] - offset)
+    hits = np.flatnonzero(repeated_suffixes(data, at[row] + offset, bucket, window))
     cut = np.ones(len(hits), bool)
     cut[1:] = (np.diff(hits) != 1) | (row[hits][1:] != row[hits][:-1])
     heads = np.flatnonzero(cut)
     size = np.diff(np.append(heads, len(hits)))
     h = row[hits[heads]]
     p = pos[h] + offset[hits[heads]]
-    zero = np.zeros(len(heads), np.int64)
-    yield _found(zero, zero, k1[h], k2[h], p, p + size + window - 1, ~zero.astype(bool), zero.astype(bool))
-    told = np.flatnonzero(tell)
-    if len(told):
-        held = memoryview(np.ascontiguousarray(data))
-        w1 = np.array([xxhash.xxh3_64_intdigest(held[a : a + window]) for a in start[told].tolist()], np.uint64).view(np.int64)
-        w2 = range_hash(prefix(BYTE_WORDS[data]), start[told], window).view(np.int64)
-        r = row[told]
-        p = pos[r] + offset[told]
-        yield _found(w1, w2, k1[r], k2[r], p, p + window, ~(again[told] | known[r]), np.ones(len(told), bool))
-
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k1[h], k2[h], p, p + size + window - 1)], names=["k1", "k2", "pos", "end"])
 
-def _found(w1, w2, k1, k2, pos, end, open_, split):
-    names = ["w1", "w2", "k1", "k2", "pos", "end", "open", "split"]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (w1, w2, k1, k2, pos, end, open_, split)], names=names)
 
-
-def _sort(window: int, gram: int):
-    """Reads segments in the order of (m, salt) and sorts the suffixes of whole groups."""
+def _sort(window: int):
+    """Reads segments in the order of their minimisers and sorts the suffixes of whole groups."""
 
     def work(rows):
         held, size, long = [], 0, 0
@@ -242,18 +199,18 @@ def _sort(window: int, gram: int):
                 if size < BLOCK and long < BLOCK_BYTES:
                     continue
                 table = pa.Table.from_batches(held).combine_chunks()
-                m, salt = table["m"].to_numpy(), table["salt"].to_numpy()
-                same = (m == m[-1]) & (salt == salt[-1])
+                m = table["m"].to_numpy()
+                same = m == m[-1]
                 keep = int(np.argmin(same[::-1])) if not same.all() else len(m)
                 done = len(m) - keep
                 if done:
-                    yield from _block(window, gram, table.slice(0, done).combine_chunks())
+                    yield from _block(window, table.slice(0, done).combine_chunks())
                 rest = table.slice(done).combine_chunks()
                 held = rest.to_batches()
                 long = sum(len(x) for x in rest["text"].to_pylist())
                 size = long - (window - 1) * rest.num_rows
         if held:
-            yield from _block(window, gram, pa.Table.from_batches(held).combine_chunks())
+            yield from _block(window, pa.Table.from_batches(held).combine_chunks())
 
     return work
 
@@ -265,7 +222,7 @@ def _remove(window: int):
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
             for i, (copies, spans) in enumerate(zip(batch["c"].to_pylist(), batch["spans"].to_pylist(), strict=True)):
                 own = data[at[i] : at[i + 1]]
-                gone = merged([(s["pos"], s["end"]) for s in spans or ()])
+                gone = [(s["pos"], s["end"]) for s in spans or ()]
                 if copies > 1 and len(own) >= window:
                     gone = [(0, len(own))]
                 parts, last = [], 0
@@ -283,17 +240,6 @@ def _remove(window: int):
     return work
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping or touching spans joined, in order."""
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
-
-
 def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 200, gram: int = 40) -> DataFrame:
     """Cuts every byte covered by a ``window``-byte string that also starts elsewhere.
 
@@ -306,14 +252,24 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """
     rows = repeats.keyed(docs, key, text)
     groups = repeats.copies(rows)
-    first = repeats.first_rows(rows, groups).select("text", "k1", "k2")
-    found = repeats.classified(first.mapInArrow(_segments(window, gram), repeats.SEGMENT))
-    cuts = repeats.cut_rows(rows, groups, found).mapInArrow(_cut(window), _CUT)
-    sorted_ = cuts.repartition("m", "salt").sortWithinPartitions("m", "salt")
-    judged = sorted_.mapInArrow(_sort(window, gram), _FOUND)
-    spans = repeats.whole_spans(found, window)
-    spans = spans.unionByName(judged.where("not split").select("k1", "k2", "pos", "end"))
-    spans = spans.unionByName(repeats.split_windows(judged.where("split")))
+    source, spans, small = rows.select("text", "k1", "k2"), None, None
+    for size in (gram, (gram + window) // 2, window):
+        met = repeats.met(source.mapInArrow(_segments(window, size), repeats.SEGMENT))
+        kinds = repeats.kinds(met)
+        mixed = written(repeats.mixed(kinds), "mixed")
+        whole = repeats.whole_spans(met, kinds, window)
+        spans = whole if spans is None else spans.unionByName(whole)
+        if size == window:  # a group is one window: what is mixed here differs
+            break
+        few = mixed.where(F.col("windows") <= GROUP)
+        small = few if small is None else small.unionByName(few)
+        large = mixed.where(F.col("windows") > GROUP)
+        if large.isEmpty():
+            break
+        source = repeats.cut_rows(rows, groups, large)
+    cuts = repeats.cut_rows(rows, groups, small).mapInArrow(_cut(window), _CUT)
+    judged = cuts.repartition("m").sortWithinPartitions("m").mapInArrow(_sort(window), _FOUND)
+    spans = spans.unionByName(judged)
     kind = docs.schema[key].dataType.simpleString()
     out = repeats.with_spans(rows, groups, spans).mapInArrow(
         _remove(window), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from conftest import SF
 
-from fraudflow.llm import debruijn_dedup, decontaminate, html_text, near_dedup, packing, pii, quality, registry, repeats, suffix_dedup, toxicity, warc
+from fraudflow.llm import debruijn_dedup, decontaminate, html_text, near_dedup, packing, pii, quality, registry, suffix_dedup, toxicity, warc
 
 SQL = registry.oracle_sql()
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,9 +60,9 @@ def brute(rows, split, window):
     return [[x for x, g in zip(u, covered(u, window, seen), strict=True) if not g] for u in all_units]
 
 
-@pytest.mark.parametrize("group", [1024, 2])
+@pytest.mark.parametrize("group", [300_000, 400, 2])
 def test_suffix_dedup_equals_brute_force(spark, docs, empty, group, monkeypatch):
-    monkeypatch.setattr(repeats, "GROUP", group)  # 2: groups are split into parts
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)  # the lesser ones: groups are cut anew, by longer grams and by windows
     rows = docs.collect()
     want = sorted(hashlib.sha256(bytes(k)).hexdigest() for k in brute([r.text for r in rows], lambda t: list(t.encode()), 200))
     got = suffix_dedup.remove_repeated_bytes(docs)
@@ -83,17 +83,64 @@ def test_suffix_blocks_of_many_short_near_copies(monkeypatch):
     pairs = [rng.bytes(80) + common + rng.bytes(82) for _ in range(half)]
     held = [pairs[i % half] + i.to_bytes(8, "little") for i in range(2 * half)]  # 2.5 MB, copies of 202 bytes half of them apart
     same = np.zeros(2 * half, np.int64)
-    names = ["m", "salt", "k1", "k2", "pos", "known", "text"]
-    columns = [same, same.astype(np.int32) - 1, np.arange(2 * half), same, same, same.astype(bool)]
+    names = ["m", "k1", "k2", "pos", "place", "text"]
+    columns = [same, np.arange(2 * half), same, same, same.astype(np.int32) + 80]
     batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(held, pa.binary())], names=names)
     for most in (1 << 30, 1 << 20):  # a group is never cut, whatever a block may hold
         monkeypatch.setattr(suffix_dedup, "BLOCK", most)
-        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", most, raising=False)
-        found = pa.Table.from_batches(suffix_dedup._sort(200, 40)([batch]))
+        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", most)
+        found = pa.Table.from_batches(suffix_dedup._sort(200)([batch]))
         spans = sorted(zip(*(found[c].to_pylist() for c in ("k1", "pos", "end")), strict=True))
         assert {i: (a, b) for i, a, b in spans if b - a >= 202} == {i: (0, 202) for i in range(2 * half)}
 
 
+def test_hash_collisions_remove_nothing(monkeypatch):
+    import pyarrow as pa
+
+    from fraudflow.llm import hashing
+
+    rng = np.random.default_rng(4)
+    one, two = rng.bytes(300), rng.bytes(300)
+    monkeypatch.setattr(suffix_dedup, "BYTE_WORDS", np.ones(256, np.uint64))  # all strings of one length hash alike
+    columns = [pa.array([7, 7, 7]), pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array([0, 0, 0]), pa.array([5, 5, 5], pa.int32())]
+    batch = pa.RecordBatch.from_arrays([*columns, pa.array([one, two, one], pa.binary())], names=["m", "k1", "k2", "pos", "place", "text"])
+    found = pa.Table.from_batches(suffix_dedup._sort(200)([batch])).to_pylist()
+    # equal ones may be missed where others hash alike, different ones are never taken for equal
+    assert all(r["k1"] != 2 for r in found)
+    texts_ = pa.RecordBatch.from_arrays([pa.array(["a" * 300, "b" * 300, "a" * 300]), pa.array([1, 2, 3]), pa.array([1, 2, 3])], names=["text", "k1", "k2"])
+    rows = pa.Table.from_batches(suffix_dedup._segments(200, 40)([texts_])).to_pylist()
+    kinds = {}
+    for r in rows:
+        kinds.setdefault((r["s"], r["t"], r["n"]), set()).add(r["k1"])
+    assert all(2 not in own or own == {2} for own in kinds.values()) and len({r["m"] for r in rows}) == 1
+    monkeypatch.setattr(debruijn_dedup, "mix", lambda x: np.zeros(len(x), np.uint64))  # all words hash alike
+    words = pa.RecordBatch.from_arrays([pa.array([" ".join(c * 3 for _ in range(40)) for c in "aba"]), pa.array([1, 2, 3]), pa.array([1, 2, 3])], names=["text", "k1", "k2"])
+    for gram in (12, 35):
+        own = {}
+        for r in pa.Table.from_batches(debruijn_dedup._paths(35, gram)([words])).to_pylist():
+            own.setdefault((r["s"], r["t"]), set()).add(r["k1"])
+        assert {2} in own.values() and {1, 3} in own.values() and {1, 2} not in own.values()
+    assert hashing.MOST_UNITS == 1 << 20
+
+
+def test_texts_longer_than_a_piece(monkeypatch):
+    import pyarrow as pa
+
+    from fraudflow.llm import hashing
+
+    rng = random.Random(2)
+    text = " ".join(f"w{rng.randint(0, 10**7)}" for _ in range(900))
+    batch = pa.RecordBatch.from_arrays([pa.array([text, "short", text[40:]]), pa.array([1, 2, 3]), pa.array([1, 2, 3])], names=["text", "k1", "k2"])
+    windows = {}
+    for most in (1 << 20, 1000):
+        monkeypatch.setattr(hashing, "MOST_UNITS", most)
+        for name, work in (("bytes", suffix_dedup._segments(200, 40)), ("words", debruijn_dedup._paths(35, 12))):
+            rows = pa.Table.from_batches(work([batch])).to_pylist()
+            found = sorted((r["k1"], r["pos"] + i) for r in rows for i in range(r["n"]))
+            assert found == windows.setdefault(name, found) and len(found) == len(set(found))
+    assert len(windows["bytes"]) == 2 * len(text) - 40 - 2 * 199
+
+
 def test_suffix_order_is_lexicographic():
     data = np.frombuffer(b"banana banana bandana" + b"\0" * 8, np.uint8)
     start = np.arange(14)
