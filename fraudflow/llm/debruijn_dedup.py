@@ -116,13 +116,13 @@ def remove_repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """
     rows = repeats.keyed(docs, key, text)
     groups = repeats.copies(rows)
-    paths = repeats.met(rows.select("text", "k1", "k2").mapInArrow(_paths(window, gram), repeats.SEGMENT))
+    paths, own = repeats.met(rows.select("text", "k1", "k2").mapInArrow(_paths(window, gram), repeats.SEGMENT))
     kinds = repeats.kinds(paths)
     branching = repeats.cut_rows(rows, groups, repeats.mixed(kinds))
-    edges = written(branching.mapInArrow(_paths(window, window), repeats.SEGMENT).select("s", "t", "k1", "k2", "pos"), "edges")
-    walked = edges.groupBy("s", "t").agg(F.count(F.lit(1)).alias("walked")).where("walked > 1").select("s", "t")
-    again = edges.join(walked, ["s", "t"]).select("k1", "k2", "pos", (F.col("pos") + window).alias("end"))
-    spans = repeats.whole_spans(paths, kinds, window).unionByName(again)
+    edges = written(branching.mapInArrow(_paths(window, window), repeats.SEGMENT), "edges")
+    walked = edges.where("m IS NOT NULL").groupBy("s", "t").agg(F.sum("times").alias("walked")).where("walked > 1").select("s", "t")
+    again = edges.where("m IS NOT NULL").join(walked, ["s", "t"]).select("k1", "k2", "pos", (F.col("pos") + window).alias("end"))
+    spans = repeats.whole_spans(paths, kinds, window).unionByName(again).unionByName(own).unionByName(repeats.own_spans(edges))
     kind = docs.schema[key].dataType.simpleString()
     out = repeats.with_spans(rows, groups, spans).mapInArrow(_remove(window), f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("id", key)

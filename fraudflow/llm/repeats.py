@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import text_keys, utf8, written
 from .hashing import pieces, segments
 
-SEGMENT = "m long, s long, t long, k1 long, k2 long, pos long, n int, place int"
+SEGMENT = "m long, s long, t long, k1 long, k2 long, pos long, n int, place int, times int"
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -87,23 +87,48 @@ def segment_rows(batch: pa.RecordBatch, values: np.ndarray, at: np.ndarray, cont
         unit = start + np.array([b for _, b, _ in group])[piece] - first[piece]
         spans = zip(starts[unit].tolist(), ends[unit + n + window - 2].tolist(), strict=True)
         digest = np.frombuffer(b"".join(hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in spans), "<i8").reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (m.view(np.int64), digest[:, 0], digest[:, 1], k1[text], k2[text], unit - at[text], n.astype(np.int32), (place - start).astype(np.int32))],
-            names=["m", "s", "t", "k1", "k2", "pos", "n", "place"],
-        )
+        pos = unit - at[text]
+        # what a text repeats itself is one segment with a number of times, and spans that are known at once
+        order = np.lexsort((pos, digest[:, 1], digest[:, 0], text))
+        lead = np.ones(len(order), bool)
+        lead[1:] = (text[order][1:] != text[order][:-1]) | (digest[order][1:] != digest[order][:-1]).any(axis=1)
+        heads = np.flatnonzero(lead)
+        times = np.diff(np.append(heads, len(order)))
+        i = order[heads]
+        yield _segment_batch(m[i].view(np.int64), None, digest[i], k1[text[i]], k2[text[i]], pos[i], n[i], (place - start)[i], times)
+        own = np.sort(order[np.repeat(times, times) > 1])
+        if len(own):
+            end = pos[own] + n[own] + window - 1
+            new = np.ones(len(own), bool)
+            new[1:] = (text[own][1:] != text[own][:-1]) | (pos[own][1:] > end[:-1]) | (pos[own][1:] < pos[own][:-1])
+            first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(own)) - 1
+            i, zero = own[first], np.zeros(len(first), np.int64)
+            yield _segment_batch(zero, np.ones(len(first), bool), np.zeros((len(first), 2), np.int64), k1[text[i]], k2[text[i]], pos[i], end[last] - pos[i], zero, zero)
+
+
+def _segment_batch(m, none, digest, k1, k2, pos, n, place, times) -> pa.RecordBatch:
+    rest = (digest[:, 0], digest[:, 1], k1, k2, pos, n.astype(np.int32), place.astype(np.int32), times.astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(m, mask=none), *map(pa.array, rest)], names=[c.split()[0] for c in SEGMENT.split(", ")])
+
+
+def met(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Segments whose minimiser recurs, and the spans that a text repeats itself; both written."""
+    found = written(found, "segments")
+    again = found.groupBy("m").agg(F.count(F.lit(1)).alias("rows"), F.max("times").alias("times")).where("m IS NOT NULL AND (rows > 1 OR times > 1)")
+    # written, so that Spark can split the partition of a minimiser that many texts have
+    again = written(again.select("m"), "minimisers")
+    return written(found.join(again, "m"), "met"), own_spans(found)
 
 
-def met(found: DataFrame) -> DataFrame:
-    """Segments whose minimiser recurs, written."""
-    found = written(found, "segments")
-    again = found.groupBy("m").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("m")
-    return written(found.join(again, "m"), "met")
+def own_spans(found: DataFrame) -> DataFrame:
+    """Spans that a text repeats itself: the rows without a minimiser."""
+    return found.where("m IS NULL").select("k1", "k2", "pos", (F.col("pos") + F.col("n")).alias("end"))
 
 
 def kinds(segments_: DataFrame) -> DataFrame:
     """A row for each different segment: how many are equal to it (``kin``) and the first of them."""
     first = F.min(F.struct("k1", "k2", "pos", "n", "place")).alias("first")
-    return written(segments_.groupBy("m", "s", "t").agg(F.count(F.lit(1)).alias("kin"), first), "kinds")
+    return written(segments_.groupBy("m", "s", "t").agg(F.sum("times").alias("kin"), first), "kinds")
 
 
 def mixed(kinds_: DataFrame) -> DataFrame:

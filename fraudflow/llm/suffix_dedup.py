@@ -30,8 +30,8 @@ from .hashing import BYTE_WORDS, powers, prefix, range_hash
 SLICE = 1 << 20
 #: Suffixes that are sorted at once in a task, and bytes that hold them (besides one open group).
 BLOCK, BLOCK_BYTES = 200_000, 4 << 20
-#: Windows of a group that one task sorts; a larger group is cut anew.
-GROUP = 300_000
+#: Windows of a group that one task looks into, some places at a time; a larger group is cut anew.
+GROUP = 2_000_000
 _CUT = "m long, k1 long, k2 long, pos long, place int, text binary"
 _FOUND = "k1 long, k2 long, pos long, end long"
 
@@ -141,9 +141,23 @@ class Suffixes:
         return same
 
 
-def repeated_suffixes(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, window: int) -> np.ndarray:
-    """For each suffix, whether its window recurs in its bucket."""
-    suffixes = Suffixes(data, start, window)
+def repeated_suffixes(suffixes: Suffixes, bucket: np.ndarray) -> np.ndarray:
+    """For each suffix, whether its window recurs in its bucket; whole buckets are sorted, about ``BLOCK`` suffixes at a time."""
+    again = np.zeros(len(bucket), bool)
+    order = np.argsort(bucket, kind="stable")
+    heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    low = 0
+    while low < len(order):
+        after = np.searchsorted(heads, low + BLOCK)
+        high = heads[after] if after < len(heads) else len(order)
+        take = order[low:high]
+        again[take] = _repeated(suffixes, take, bucket[take])
+        low = high
+    return again
+
+
+def _repeated(suffixes: Suffixes, take: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    data, start = suffixes.data, suffixes.start[take]
     first = np.zeros(len(start), np.uint64)
     for i in range(8):
         first = (first << np.uint64(8)) | data[start + i].astype(np.uint64)
@@ -153,16 +167,16 @@ def repeated_suffixes(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, w
     heads = np.flatnonzero(new)
     sizes = np.diff(np.append(heads, len(order)))
     begin, end = np.repeat(heads, sizes), np.repeat(heads + sizes, sizes)
-    order = suffixes.merge_sort(order, begin, end)
+    order = suffixes.merge_sort(take[order], begin, end)
     near = np.flatnonzero(~new[1:]) + 1
     a, b = order[near - 1], order[near]
     close = suffixes.whole[a] == suffixes.whole[b]
     close[close] = suffixes.verified(a[close], b[close])
     same = np.zeros(len(order) + 1, bool)
     same[near] = close
-    again = np.zeros(len(order), bool)
+    again = np.zeros(len(suffixes.start), bool)
     again[order] = same[:-1] | same[1:]
-    return again
+    return again[take]
 
 
 def _block(window: int, table: pa.Table):
@@ -175,7 +189,7 @@ def _block(window: int, table: pa.Table):
     new[1:] = m[1:] != m[:-1]
     # the minimiser lies at one place in all segments of a group: windows line up by their distance to it
     bucket = (np.cumsum(new) - 1)[row] * (2 * window) + (place[row] - offset)
-    hits = np.flatnonzero(repeated_suffixes(data, at[row] + offset, bucket, window))
+    hits = np.flatnonzero(repeated_suffixes(Suffixes(data, at[row] + offset, window), bucket))
     cut = np.ones(len(hits), bool)
     cut[1:] = (np.diff(hits) != 1) | (row[hits][1:] != row[hits][:-1])
     heads = np.flatnonzero(cut)
@@ -254,10 +268,10 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     groups = repeats.copies(rows)
     source, spans, small = rows.select("text", "k1", "k2"), None, None
     for size in (gram, (gram + window) // 2, window):
-        met = repeats.met(source.mapInArrow(_segments(window, size), repeats.SEGMENT))
+        met, own = repeats.met(source.mapInArrow(_segments(window, size), repeats.SEGMENT))
         kinds = repeats.kinds(met)
         mixed = written(repeats.mixed(kinds), "mixed")
-        whole = repeats.whole_spans(met, kinds, window)
+        whole = repeats.whole_spans(met, kinds, window).unionByName(own)
         spans = whole if spans is None else spans.unionByName(whole)
         if size == window:  # a group is one window: what is mixed here differs
             break
