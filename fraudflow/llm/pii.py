@@ -3,7 +3,7 @@
 Method: a keyed Feistel network permutes the digits of a number within its
 format. Validated numbers keep their shape and stay valid: a card number keeps
 its length, its Luhn check and its grouping; an IPv4 address stays an address;
-a phone number keeps its country code and signs; a national identity number
+a phone number keeps its country and area code and its signs; a national identity number
 keeps its grouping and validity rules; a date stays a date in the same
 notation. Equal values get equal pseudonyms in all documents, other values
 other ones (a permutation has no collisions), so links between documents stay.
@@ -14,6 +14,7 @@ length.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import hmac
@@ -79,28 +80,23 @@ def _digits(text: str) -> str:
 
 
 def card(found: str, key: bytes) -> str | None:
-    """13 to 19 digits. A number with a valid check digit gets one; any other is permuted as a number."""
+    """13 to 19 digits with a valid check digit; any other number stays."""
     digits = _digits(found)
-    if not 13 <= len(digits) <= 19:
+    if not 13 <= len(digits) <= 19 or not luhn_valid(digits):
         return None
-    if luhn_valid(digits):
-        body = permuted(digits[:-1], key, "card")
-        return refill(found, body + luhn_digit(body))
-    # permuted until the result is not valid either: valid and other numbers stay apart
-    out = permuted(digits, key, "number")
-    while luhn_valid(out):
-        out = permuted(out, key, "number")
-    return refill(found, out)
+    body = permuted(digits[:-1], key, "card")
+    return refill(found, body + luhn_digit(body))
 
 
 def phone(found: str, key: bytes) -> str | None:
-    """Keeps the country code; the first digit of what follows stays as it is only if 0."""
-    prefix = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d{1,2}", found)
-    head = prefix[0] if prefix else ""
-    digits = _digits(found[len(head) :])
-    if not 7 <= len(digits) <= 14:
+    """The last seven digits are permuted under those before, without a leading 1: one pseudonym whatever the notation."""
+    digits = _digits(found)
+    if not 8 <= len(digits) <= 15:
         return None
-    return head + refill(found[len(head) :], permuted(digits, key, f"phone{head}"))
+    area = digits[:-7]
+    if len(digits) == 11 and area[0] == "1":  # country code 1 is often left out
+        area = area[1:]
+    return refill(found, digits[:-7] + permuted(digits[-7:], key, f"phone{area}"))
 
 
 def ipv4(found: str, key: bytes) -> str | None:
@@ -130,6 +126,8 @@ def identity(found: str, key: bytes) -> str | None:
 
 _FIRST = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _FIRST + 1
+_EARLY = [d for d in range(_DAYS) if datetime.date.fromordinal(d + _FIRST).day <= 12]
+_LATE = [d for d in range(_DAYS) if datetime.date.fromordinal(d + _FIRST).day > 12]
 
 
 def date(found: str, key: bytes) -> str | None:
@@ -145,13 +143,9 @@ def date(found: str, key: bytes) -> str | None:
         return None
     if not 0 <= day < _DAYS:
         return None
-    notation = "".join(map(str, order)) if sign == "/" else "-"
-    while True:
-        day = feistel(day, _DAYS, key, f"date{notation}")
-        new = datetime.date.fromordinal(day + _FIRST)
-        if notation == "201" and new.day <= 12:  # mm/dd has to stay recognisable
-            continue
-        break
+    # one permutation for all notations, of days up to 12 and of days over 12 among themselves: dd/mm and mm/dd stay what they are
+    days = _EARLY if datetime.date.fromordinal(day + _FIRST).day <= 12 else _LATE
+    new = datetime.date.fromordinal(days[feistel(bisect.bisect_left(days, day), len(days), key, "date")] + _FIRST)
     values = dict(zip(order, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"), strict=True))
     return sign.join(values[i] for i in range(3))
 
@@ -186,11 +180,11 @@ def secret(found: str, key: bytes) -> str:
 KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}", email),
     ("secret", r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])", secret),
-    ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", ipv4),
+    ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", ipv4),
     ("date", r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)", date),
     ("identity", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", identity),
     ("phone", r"\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?P<sep>[ .-]?)\d{2,4}(?:(?P=sep)\d{2,4}){1,3}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[-.]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", phone),
-    ("card", r"(?<![\d.-])(?:\d{4}[ -]){3}\d{1,7}(?![\d-])|(?<![\d.])\d{13,19}(?!\d)", card),
+    ("card", r"(?<![\w.-])(?:\d{4}[ -]){3}\d{1,7}(?![\w-])|(?<![\w.-])\d{4}[ -]\d{6}[ -]\d{5}(?![\w-])|(?<![\w.])\d{13,19}(?!\w)", card),
 ]
 _ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS), re.ASCII)
 _WORK = {name: work for name, _, work in KINDS}
@@ -229,16 +223,19 @@ def _replace(key: bytes):
     return work
 
 
-def pseudonyms(docs: DataFrame, key: str = "doc_id", text: str = "text", secret_key: str = "fraudflow") -> DataFrame:
+def pseudonyms(docs: DataFrame, key: str = "doc_id", text: str = "text", secret_key: str | None = None) -> DataFrame:
     """(key, text, new_text, n_email, n_secret, ...) of every row of ``docs``.
 
-    ``secret_key`` decides the permutations; use your own. Values that do not
+    ``secret_key`` decides the permutations; if it is not given, it is the
+    session's setting ``spark.fraudflow.pii.key``, and without one a fixed key
+    that is good for tests only. Values that do not
     validate (an address with a part over 255, the 31st of February) stay. A
     null text stays null, an empty one empty; repeated rows get equal results; a
     null key stays null; an empty table gives no rows. No shuffle: a text is
     rewritten where it is read. Other columns of ``docs`` are ignored.
     """
     kind = docs.schema[key].dataType.simpleString()
+    secret_key = secret_key or docs.sparkSession.conf.get("spark.fraudflow.pii.key", "tests only")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     counts = ", ".join(f"n_{k} long" for k in NAMES)
     out = rows.mapInArrow(_replace(hashlib.sha256(secret_key.encode()).digest()), f"id {kind}, text string, new_text string, {counts}")
