@@ -40,8 +40,10 @@ _BLOCK = {
     "h6", "hgroup", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "tfoot", "thead", "tr", "ul",
 }
 _CLOSED_BY_BLOCK = {"p", "li", "dt", "dd"}
-_NAME = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|\Z)", re.I)
+_UNSEEN = re.compile(r"(?:^|\s)(?:aria-hidden\s*=\s*[\"']?true\b|style\s*=\s*(?:\"[^\"]*display\s*:\s*none|'[^']*display\s*:\s*none))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _OTHER = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "nav", "navbar", "navigation",
@@ -52,18 +54,32 @@ _OTHER = {
 }
 
 
-def _other(attributes: str) -> bool:
-    """Whether class, id or role call an element something else than the article."""
+#: Words that say where or how large something is, not what.
+_PLACE = {
+    "site", "page", "global", "main", "primary", "secondary", "top", "bottom", "left", "right", "upper", "lower", "first", "last", "sub", "mini", "sticky", "fixed", "mobile", "desktop",
+    "box", "bar", "wrapper", "wrap", "container", "content", "area", "section", "block", "panel", "list", "slot", "unit", "inner", "outer", "item", "items", "link", "links", "row", "column",
+    "post", "entry", "article", "blog", "wp", "js", "id", "text", "title", "heading", "group", "widget", "module",
+}
+
+
+def _other(name: str, attributes: str) -> bool:
+    """Whether an element is hidden, or class, id or role call a block something else than the article.
+
+    A class counts only as a whole: all its words have to say so or say where it
+    is. ``cookie-notice`` and ``main-nav`` do, ``has-sidebar`` and
+    ``search-results`` do not.
+    """
     if not attributes:
         return False
-    if _HIDDEN.search(attributes):
+    if _UNSEEN.search(attributes) or _HIDDEN.search(_QUOTED.sub('""', attributes)):
         return True
+    if name not in _BLOCK or name in ("html", "body", "main", "article"):
+        return False
     for found in _NAME.finditer(attributes):
-        parts = {p.lower() for p in _PART.findall(html.unescape(next(filter(None, found.groups()), "")))}
-        if parts & _OTHER and not parts & {"article", "main", "post", "entry", "body"} - parts & _OTHER:
-            return True
-        if parts & _OTHER and parts & {"comment", "comments", "ad", "ads", "nav", "menu", "sidebar", "footer", "header", "related", "share"}:
-            return True
+        for token in html.unescape(next(filter(None, found.groups()), "")).split():
+            parts = {p.lower() for p in _PART.findall(token) if not p.isdigit()}
+            if parts & _OTHER and parts <= _OTHER | _PLACE:
+                return True
     return False
 
 
@@ -135,7 +151,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             at = _after(page, at, name)
         elif name in _VOID:
             out.text(" ", False)
-        elif name in _ASIDE or _other(attributes):
+        elif name in _ASIDE or _other(name, attributes):
             if not attributes.endswith("/"):
                 out.end(article > 0)
                 skip.append(name)
