@@ -30,7 +30,8 @@ _SPAN = 8
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"[0-9]+")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def _per_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -56,8 +57,8 @@ def repeated_words(words: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def normal_line(line: str) -> str:
-    """Lower case, one space between words, digits as 0."""
-    return _DIGITS.sub("0", " ".join(line.split()).lower())
+    """ASCII letters in lower case, one space between words, runs of ASCII digits as 0."""
+    return _DIGITS.sub("0", " ".join(_WORD.findall(line)).translate(_LOWER))
 
 
 def _lines(text: str) -> tuple[int, dict[int, int]]:
@@ -101,7 +102,7 @@ def quality(
     base_failed, n_common_words, kept). ``base_failed``: under 20 words, or over
     30 % of the words in repeated 8-word windows. ``n_common_words``: words in
     the lines taken out. A null or empty text has no words and fails; a null
-    host is a host of its own; repeated rows count as documents each; a null
+    host and an empty one are the same; repeated rows count as documents each; a null
     key stays null; an empty table gives no rows. Other columns of ``docs`` are
     ignored, whatever their names.
     """
@@ -134,7 +135,7 @@ w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
 line AS (SELECT r, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
 solid AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM line),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup FROM solid WHERE n > 0 GROUP BY r),
-nl AS (SELECT r, host, regexp_replace(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]+', '0', 'g') AS l, sum(n) AS n FROM solid WHERE n > 0 GROUP BY ALL),
+nl AS (SELECT r, host, regexp_replace(translate(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS l, sum(n) AS n FROM solid WHERE n > 0 GROUP BY ALL),
 held AS (SELECT host, l, count(*) AS held FROM nl GROUP BY ALL),
 hosts AS (SELECT host, count(*) AS total FROM d GROUP BY host),
 common AS (SELECT host, l FROM held JOIN hosts USING (host) WHERE held > 10 AND held > total * 0.02::DOUBLE),
