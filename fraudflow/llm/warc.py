@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from .common import read_table, scratch_path, written
 
 _CRLF = "\r\n"
+#: Bytes of the records in an archive before compression, on average.
+ARCHIVE_BYTES = 128 << 20
+#: Pages have no capture time: their id, modulo this, is the number of seconds after ``epoch``.
+SECONDS = 1 << 30
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _INDEX = "url_key string, timestamp string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long"
 INDEX_COLUMNS = [c.split()[0] for c in _INDEX.split(", ")]
@@ -52,7 +56,7 @@ def _uri(page_id: Column) -> Column:
 
 def record(rows: DataFrame, epoch: int) -> Column:
     """The text of a WARC record without its closing separator."""
-    date = F.date_format(F.timestamp_seconds(F.lit(epoch) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    date = F.date_format(F.timestamp_seconds(F.lit(epoch) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(SECONDS))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")
     again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     size = F.octet_length("payload").cast("string")
@@ -74,12 +78,15 @@ def record(rows: DataFrame, epoch: int) -> Column:
     )
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", page: str = "html", least: int = 0, records: int = 4000, epoch: int = 1_704_067_200) -> None:
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", page: str = "html", least: int = 0, records: int = 20_000, epoch: int = 1_704_067_200) -> None:
     """Writes gzipped archives with a record for each row of ``pages``.
 
     Of equal payloads of at least ``least`` bytes the one with the least id is
-    a response and the others revisit it. ``records`` bounds an archive.
+    a response and the others revisit it. An archive has at most ``records``
+    records, fewer where payloads are long (``ARCHIVE_BYTES``).
     """
+    held = pages.agg(F.sum(F.octet_length(F.col(page))).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    records = max(1, min(records, ARCHIVE_BYTES * held.n // (held.bytes or 1))) if held.n else records
     rows = with_revisits(pages, key, url, page, least)
     rows.select(record(rows, epoch).alias("value")).write.options(lineSep=_CRLF * 2, compression="gzip", maxRecordsPerFile=records).text(path)
 
@@ -238,7 +245,8 @@ def capture_index(spark, path: str) -> DataFrame:
 def archived(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", least: int = 0) -> DataFrame:
     """Writes ``pages`` to archives in the shared folder and returns their capture index.
 
-    A row for each row of ``pages``: see ``INDEX_COLUMNS``. A null page is an
+    A row for each row of ``pages``: see ``INDEX_COLUMNS``; offsets and lengths
+    are places in the archive's uncompressed stream. A null page is an
     empty payload; a null url is written empty; a page without an id (null)
     refers to the least id that has its payload, if any; rows that repeat the
     least id are responses as well; an empty table gives no rows. Other columns
