@@ -4,25 +4,26 @@ Method: words are hashed, ``gram`` consecutive words make a k-gram hash, and of
 every ``window - gram + 1`` consecutive k-grams the least is kept as a
 fingerprint. Any ``window`` consecutive words that a document shares with an
 item have the same least k-gram, so they share a fingerprint: no such span can
-be missed. Documents and items with a common fingerprint are compared word by
-word, which extends the hits to the whole shared spans and drops the rest.
+be missed. The windows of documents that hold a fingerprint are then joined with
+the items' windows by their words, which extends the hits to the whole shared
+spans and drops the rest: no document meets an item without a common window.
 
-Only fingerprints of the items (a few per item) meet those of the documents.
-They are broadcast when their count is below a bound, and joined by shuffle
-beyond it. Copies of a text are compared once.
+Only fingerprints and windows of the items (a few per item) meet those of the
+documents. They are broadcast when their size is below a bound, and joined by
+shuffle beyond it. Copies of a text are compared once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import read_table, text_keys, written
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Fingerprints, and item words, of a benchmark that every task may hold.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a benchmark's fingerprints, and of its windows, that every task may hold.
+BROADCAST_BYTES = 16 << 20
 
 
 def words(text: Column) -> Column:
@@ -91,35 +92,37 @@ def contamination(
     plain = lambda c: F.coalesce(F.col(c), F.lit(""))
     exact = lambda c: words(F.translate(c, _UPPER, _LOWER))
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), exact(plain(item_text)).alias("iw"))
-    items = items.where(F.size("iw") > 0).distinct().withColumn("n", F.least(F.size("iw"), F.lit(window)))
-    items = written(items.withColumn("wins", _windows(F.col("iw"), F.col("n"))), "items")
-    # fingerprints and comparison see the same words: F.lower depends on what surrounds a letter
-    worded = items.withColumn("ws", F.col("iw"))
-    sizes = items.groupBy(F.size("iw").alias("n")).agg(F.sum(F.size("iw")).alias("words")).where(F.col("n") < window).select("n")
+    items = written(items.where(F.size("iw") > 0).distinct(), "items")
+    sizes = items.select(F.size("iw").alias("n")).where(F.col("n") < window).distinct()
     short = sorted(r.n for r in sizes.collect())  # at most window - 1 rows
-    long_fps = fingerprints(worded.where(F.size("iw") >= window), window, gram, []).select("item", F.explode_outer("fps").alias("fp"))
+    # fingerprints and comparison see the same words: F.lower depends on what surrounds a letter
+    worded = items.select("item", F.col("iw").alias("ws"))
+    prints = fingerprints(worded.where(F.size("ws") >= window), window, gram, []).select(F.explode_outer("fps").alias("fp"))
     for n in short:
-        long_fps = long_fps.unionByName(fingerprints(worded.where(F.size("iw") == n), window, gram, [n]).select("item", F.explode_outer("fps").alias("fp")))
-    known = written(long_fps.groupBy("fp").agg(F.collect_set("item").alias("own")), "fingerprints")
-    total = known.agg(F.sum(F.size("own"))).first()[0] or 0
-    held = items.agg(F.sum(F.size("iw"))).first()[0] or 0
-    near = F.broadcast if max(total, held) <= BROADCAST_ROWS else lambda df: df
+        prints = prints.unionByName(fingerprints(worded.where(F.size("ws") == n), window, gram, [n]).select(F.explode_outer("fps").alias("fp")))
+    known = written(prints.distinct(), "fingerprints")
+    item_windows = worded.select("item", F.explode_outer(_windows(F.col("ws"), F.least(F.size("ws"), F.lit(window)))).alias("w"), F.least(F.size("ws"), F.lit(window)).alias("n"))
+    item_windows = written(item_windows.distinct(), "item-windows")
+
+    def near(table: DataFrame, size: Column) -> DataFrame:
+        held = table.agg(F.sum(size + 32).alias("bytes")).first().bytes or 0
+        return F.broadcast(table) if held <= BROADCAST_BYTES else table
 
     rows = docs.select(F.col(key).alias("id"), plain(text).alias("text"), *text_keys(plain(text)))
     marked = fingerprints(rows.select("id", "k1", "k2", exact("text").alias("ws")), window, gram, short)
     # one row for each fingerprint of the document; the text stays behind
-    hits = marked.select("id", "k1", "k2", F.explode_outer("fps").alias("fp")).join(near(known), "fp")
-    pairs = hits.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.array_distinct(F.flatten(F.collect_set("own"))).alias("own"))
-    looked = rows.join(pairs, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first")))
-    # a candidate's windows are rows; those of its items stay
-    sizes = looked.select("k1", "k2", exact("text").alias("dw"), F.explode_outer("own").alias("item")).join(near(items), "item")
-    runs = sizes.select("k1", "k2", "item", "n", F.transform(_windows(F.col("dw"), F.col("n")), lambda w, i: F.when(F.array_contains("wins", w), i)).alias("at"))
-    spans = runs.select("k1", "k2", "item", "n", F.array_compact("at").alias("starts")).where(F.size("starts") > 0)
-    places = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("n") - 1))))
-    found = spans.select("k1", "k2", "item", places.alias("places")).groupBy("k1", "k2").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items")
-    )
-    out = rows.select("id", "k1", "k2", F.size(words(F.lower("text"))).cast("long").alias("n_words")).join(found, ["k1", "k2"], "left")
+    hits = marked.select("id", "k1", "k2", F.explode_outer("fps").alias("fp")).join(near(known, F.lit(8)), "fp")
+    met = hits.groupBy("k1", "k2").agg(F.min("id").alias("first"))
+    looked = rows.join(met, ["k1", "k2"]).where(F.col("id").eqNullSafe(F.col("first"))).select("k1", "k2", exact("text").alias("dw"))
+    in_text = lambda n: F.transform(_windows(F.col("dw"), F.lit(n)), lambda w, i: F.struct(i.alias("i"), w.alias("w"), F.lit(n).alias("n")))
+    own = looked.select("k1", "k2", F.explode_outer(F.concat(*map(in_text, [window, *short]))).alias("own")).select("k1", "k2", "own.*")
+    spans = own.join(near(item_windows, F.octet_length("item") + F.octet_length("w")), ["n", "w"]).select("k1", "k2", "item", "i", (F.col("i") + F.col("n")).alias("end"))
+    spans = written(spans, "spans")
+    matched = spans.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    order = Window.partitionBy("k1", "k2").orderBy("i", "end").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = spans.select("k1", "k2", "i", "end").distinct().withColumn("before", F.coalesce(F.max("end").over(order), F.lit(0)))
+    hit = fresh.groupBy("k1", "k2").agg(F.sum(F.greatest(F.col("end") - F.greatest("i", "before"), F.lit(0))).cast("long").alias("n_hit"))
+    out = rows.select("id", "k1", "k2", F.size(exact("text")).cast("long").alias("n_words")).join(hit.join(matched, ["k1", "k2"]), ["k1", "k2"], "left")
     none = F.array().cast("array<string>")
     return out.select(
         F.col("id").alias(key), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

@@ -222,6 +222,27 @@ def test_pseudonyms_keep_format_validity_and_links(spark, docs, empty):
     assert pii.pseudonyms(empty).count() == 0
 
 
+def test_equal_values_stay_linked_across_notations():
+    key = b"q" * 32
+    new = lambda t: pii.pseudonymised(t, key)[0]
+    digits = lambda t: re.sub(r"\D", "", t)
+    phones = [digits(new(t))[-10:] for t in ("+12025550123", "+1 202 555 0123", "(202) 555-0123", "202-555-0123")]
+    assert len(set(phones)) == 1 and phones[0][:3] == "202" and phones[0] != "2025550123"
+    days = [new(t) for t in ("2024-01-02", "2024/01/02", "02.01.2024", "02/01/2024")]
+    assert len({tuple(sorted(re.split(r"\D", d), key=len)) for d in days}) <= 2  # the same day, month and year
+    assert days[0].replace("-", "/") == days[1] and ".".join(reversed(days[0].split("-"))) == days[2]
+    late = new("01/25/2024").split("/")
+    assert int(late[1]) > 12 and f"{late[2]}-{late[0]}-{late[1]}" == new("2024-01-25")
+    kept = "1704067200000 GB33BUKB20201555555555 v1.2.3.4 1234567890123"
+    assert new(kept) == kept
+    amex = new("3782 822463 10005")
+    assert amex != "3782 822463 10005" and pii.luhn_valid(digits(amex)) and re.fullmatch(r"\d{4} \d{6} \d{5}", amex)
+    # brute force: the table of a whole small format is a permutation, and so are all days of one kind
+    assert sorted(pii.permuted(f"{i:02d}", key, "x") for i in range(100)) == [f"{i:02d}" for i in range(100)]
+    seen = {pii.date(f"{y}-{m:02d}-{d:02d}", key) for y in range(1990, 2020) for m in range(1, 13) for d in range(1, 29)}
+    assert len(seen) == 30 * 12 * 28
+
+
 def test_contamination_of_short_items_and_edges(spark, docs, empty):
     bench = spark.createDataFrame([(1, "One two THREE"), (2, " ".join(f"w{i}" for i in range(15))), (3, None), (None, "!!"), (1, "One two THREE")], "item_id long, text string")
     rows = [(1, "zero one, two three four"), (2, "a " + " ".join(f"W{i}" for i in range(3, 14)) + " b"), (3, " ".join(f"w{i}" for i in range(9))), (4, None), (None, "one two three")]
@@ -244,6 +265,7 @@ def test_quality_edges(docs, empty):
     out = quality.quality(docs).collect()
     assert len(out) == docs.count() and all(r.base_failed for r in out if r.n_words < 20)
     assert quality.quality(empty).count() == 0
+    assert quality.normal_line("A\u0661 12\t\u00c9") == "a\u0661 0 \u00c9"
 
 
 def test_extraction():
@@ -277,6 +299,52 @@ def test_extraction_with_tags_in_the_wrong_place():
         assert html_text.main_text(f"<body><div>Our site</div>{menu}{ends}{menu}<div>All rights reserved</div></body>").split("\n") == ["A series", *story, "The next part"]
 
 
+def test_extraction_of_marked_blocks_and_plain_line_blocks(spark):
+    story = [f"Paragraph {i} of the story, long enough to be one." + " More of it." * 10 for i in range(5)]
+    body = "".join(f"<p>{x}</p>" for x in story)
+    wanted = "\n".join(story)
+    for page in (
+        f'<body class="has-sidebar">{body}</body>', f'<body><div class="overflow-hidden">{body}</div></body>', f'<main class="search-results">{body}</main>',
+        f'<div title="not hidden here">{body}</div><div hidden><p>{story[0]}</p></div>', f'<div class="main-nav">{story[0]}</div>{body}<div style="display: none">{story[1]}</div>',
+    ):
+        assert html_text.main_text(page) == wanted
+    link = '<p>We saw the <a href="/hidden-gems" class="nav-link">hidden gems</a> of the city, and they were worth it.</p>'
+    assert html_text.main_text(link) == "We saw the hidden gems of the city, and they were worth it."
+
+    def plain(lengths):  # the line-block distribution, straight from its definition
+        clipped = [min(n, html_text.LONG) for n in lengths]
+        sums = [sum(clipped[i : i + html_text.WINDOW]) for i in range(len(clipped))]
+        bar = html_text.SURGE * sorted(x for x in sums if x)[sum(map(bool, sums)) // 2]
+        full = [i for i, n in enumerate(clipped) if n]
+        runs = []
+        for i in full:
+            if runs and i - runs[-1][-1] <= html_text.WINDOW + 1:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+        surged = [r for r in runs if any(sums[i] >= bar for i in r)]
+        return surged[0][0], surged[-1][-1]
+
+    rng = random.Random(12)
+    for _ in range(200):
+        linked = [rng.random() < 0.4 for _ in range(30)]
+        lines = ["x" * rng.choice([3, 20, 90, 400]) for _ in linked]
+        page = "".join(f"<p><a href=u>{t}</a></p>" if y else f"<p>{t}</p>" for t, y in zip(lines, linked, strict=True))
+        if not all(linked):
+            a, b = plain([0 if y else len(t) for t, y in zip(lines, linked, strict=True)])
+            assert html_text.main_text(page).split("\n") == lines[a : b + 1]
+    rows = [(1, None, None, "clash"), (2, "u", "", "x"), (3, "u", body, "y"), (3, "u", body, "y"), (None, None, body, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract_text(pages).collect())
+    assert got == [(0, wanted, len(wanted)), (1, "", 0), (2, "", 0), (3, wanted, len(wanted)), (3, wanted, len(wanted))]
+    assert html_text.extract_text(pages.limit(0)).count() == 0
+
+
+def test_archives_of_large_ids_and_clashing_columns(spark):
+    pages = spark.createDataFrame([(1 << 62, "http://a.com", "x", "d"), (-5, "http://a.com", "y", "e")], "page_id long, url string, html string, digest string")
+    assert {r.page_id: r.payload_bytes for r in warc.archived(pages).collect()} == {1 << 62: 1, -5: 1}
+
+
 def test_archives_round_trip(spark):
     rows = [(3, "http://b.com/x", "one"), (1, "http://www.a.com/", "two"), (2, None, "one"), (5, "http://a.com/\r\n", None), (4, "http://a.com/", ""), (None, "http://a.com/", "one"), (6, "http://a.com", "p\r\n\r\nWARC/1.1\r\nq")]
     out = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
