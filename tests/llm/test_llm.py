@@ -374,6 +374,10 @@ def test_toxicity_on_held_out_rows(spark):
     edge = spark.createDataFrame([(1, None), (None, ""), (2, "x")], "doc_id long, text string")
     assert toxicity.scored(edge, model).where(F.col("score").between(0, 1)).count() == 3
     assert toxicity.fit(docs, labels.limit(0)) is None
+    assert toxicity.fit(docs, labels, fit_bytes=0) is None
+    again = toxicity.scored(edge.union(edge).withColumn("score", F.lit("clash")), model)
+    assert again.count() == 6 and again.dropDuplicates(["doc_id", "score"]).count() == 3
+    assert toxicity.scored(edge.limit(0), model).count() == 0
     assert toxicity.scored(edge, None).where("score = 0").count() == 3
 
 
