@@ -30,12 +30,14 @@ A class is a connected component of links, so no link between classes is left.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, read_table, text_keys, utf8, written
+from .common import batches, discard, read_table, text_keys, utf8, written
 from .debruijn_dedup import word_hashes
 from .hashing import all_ranges, mix, prefix, range_hash
 
@@ -44,7 +46,7 @@ SHINGLE, BANDS, ROWS = 5, 24, 4
 #: Times that neighbours in a bucket are compared.
 CHAINS = 2
 #: Bands of the second signature: a pair of similarity 0.8 has none in common with probability 0.000002.
-LONG_BANDS, LONG_ROWS = 72, 8
+LONG_BANDS, LONG_ROWS = 56, 7
 #: Logarithm of the width of a length class.
 GRID = 0.02
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -213,8 +215,10 @@ def components(links: DataFrame) -> DataFrame:
         least = labels.join(heard, "v").select("v", F.least("c", "near").alias("c"), F.col("c").alias("old"))
         jump = labels.select(F.col("v").alias("c"), F.col("c").alias("far"))
         new = written(least.join(jump, "c", "left").select("v", F.least("c", F.coalesce("far", "c")).alias("c"), (F.least("c", F.coalesce("far", "c")) != F.col("old")).alias("moved")), "labels")
-        labels = new.select("v", "c")
+        discard(labels)
+        labels = new
         if new.where("moved").isEmpty():
+            discard(edges)
             return labels
 
 
@@ -232,8 +236,8 @@ def _reach(n, other, similarity: float):
     return n - F.ceil(F.lit(similarity / (1 + similarity)) * (n + other) - 1e-6)
 
 
-def across(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of texts of different components that can be similar enough.
+def across(members: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b), and the sets of their texts: pairs of texts of different components that can be similar enough.
 
     ``members`` has (v, c): texts and (a hash of) the component of each. A text
     takes part if it shares a long band with another component. The pairs hold
@@ -244,24 +248,29 @@ def across(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     meeting = banded.groupBy("b").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("b")
     met = written(banded.join(meeting, "b"), "met")
     if met.isEmpty():
-        return spark.createDataFrame([], f"a {_V}, b {_V}")
-    # the lengths, by class, that a text meets; so many classes at most as the lengths have
-    lengths = met.groupBy("b").agg(F.collect_set(_class(F.col("n"))).alias("classes"))
-    seekers = written(met.join(lengths, "b").groupBy("v", "c", "n").agg(F.array_distinct(F.flatten(F.collect_set("classes"))).alias("classes")), "seekers")
-    listed = written(seekers.select("v", "c").join(sets.select("v", "ids"), "v").mapInArrow(_listed, f"v {_V}, c long, id long"), "listed")
+        discard(banded, met)
+        return spark.createDataFrame([], f"a {_V}, b {_V}"), sets
+    # the lengths, by class, that a text meets and that are near enough to its own
+    own = _class(F.col("n"))
+    lengths = met.groupBy("b").agg(F.collect_set(own).alias("classes"))
+    near = F.filter("classes", lambda c: F.abs(c - own) <= F.lit(int(-math.log(similarity) / GRID) + 1))
+    seekers = met.join(lengths, "b").groupBy("v", "c", "n").agg(F.array_distinct(F.flatten(F.collect_set(near))).alias("classes"))
+    held = written(seekers.join(sets.select("v", "ids"), "v"), "seekers")
+    listed = written(held.select("v", "c", "ids").mapInArrow(_listed, f"v {_V}, c long, id long"), "listed")
     common = listed.groupBy("id").agg(F.count(F.lit(1)).alias("df"), (F.min("c") != F.max("c")).alias("shared"))
     order = Window.partitionBy("v").orderBy("shared", "df", "id")
     placed = listed.join(common, "id").select("v", "id", "shared", (F.row_number().over(order) - 1).alias("at"))
-    first = written(placed.where("shared").join(seekers, "v").where(F.col("at") <= _reach(F.col("n"), F.col("n") * similarity, similarity)), "prefixes")
-    own, other = _class(F.col("n")), F.col("other")
-    least = F.ceil(F.exp(other * GRID) - 1e-6)
-    asked = first.select("v", "c", "n", "id", "at", own.alias("own"), F.explode("classes").alias("other"))
-    shorter = asked.where(other >= F.col("own")).where(F.col("at") <= _reach(F.col("n"), F.greatest("n", least), similarity))
-    longer = asked.where(other <= F.col("own")).where(F.col("at") <= _reach(F.col("n"), F.greatest(F.col("n") * similarity, least), similarity))
-    x = shorter.select("id", F.col("own").alias("s"), F.col("other").alias("l"), F.col("v").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("px"))
-    y = longer.select("id", F.col("other").alias("s"), F.col("own").alias("l"), F.col("v").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("py"))
+    first = placed.where("shared").join(held.drop("ids"), "v").where(F.col("at") <= _reach(F.col("n"), F.col("n") * similarity, similarity))
+    first = written(first, "prefixes")
+    least = lambda c: F.ceil(F.exp(c * GRID) - 1e-6)
+    longer_ones = F.filter("classes", lambda c: (c >= own) & (F.col("at") <= _reach(F.col("n"), F.greatest("n", least(c)), similarity)))
+    shorter_ones = F.filter("classes", lambda c: (c <= own) & (F.col("at") <= _reach(F.col("n"), F.greatest(F.col("n") * similarity, least(c)), similarity)))
+    x = first.select("id", own.alias("s"), F.explode(longer_ones).alias("l"), F.col("v").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("px"))
+    y = first.select("id", F.explode(shorter_ones).alias("s"), own.alias("l"), F.col("v").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("py"))
     met_at = x.join(y, ["id", "s", "l"]).where("cx != cy AND nx <= ny").where((F.col("px") <= _reach(F.col("nx"), F.col("ny"), similarity)) & (F.col("py") <= _reach(F.col("ny"), F.col("nx"), similarity)))
-    return _ordered(met_at, "x", "y")
+    pairs = written(_ordered(met_at, "x", "y"), "across")
+    discard(banded, met, listed, first)
+    return pairs, held
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -301,15 +310,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary, n long, long array<long>").dropDuplicates(["k1", "k2"]).select(v, "ids", "n", "long"), "sets")
     links = _verified(tested, sets, similarity, "links")
     parts = components(links)
-    placed = written(buckets.select("b", "v").join(parts, "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
+    placed = written(buckets.select("b", "v").join(parts.select("v", "c"), "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
     split = placed.groupBy("b").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("b")
     members = placed.join(split, "b").select("v", F.xxhash64("c.k1", "c.k2").alias("c")).distinct()
-    others = across(members, sets, similarity).join(tested, ["a", "b"], "left_anti")
-    more = _verified(others, sets, similarity, "links")
+    pairs, held = across(members, sets, similarity)
+    more = _verified(pairs.join(tested, ["a", "b"], "left_anti"), held, similarity, "links")
     classes = parts if more.isEmpty() else components(links.unionByName(more))
 
-    named = texts.select(v, "k1", "k2", "first", "size").join(classes, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    named = texts.select(v, "k1", "k2", "first", "size").join(classes.select("v", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
     named = written(named.select("k1", "k2", "c", "first", "size"), "named")
+    discard(buckets, tested, sets, links, placed, more, parts)
     totals = named.groupBy("c").agg(F.min("first").alias("class_id"), F.sum("size").alias("class_size"))
     known = named.join(totals, "c").select("k1", "k2", "class_id", "class_size")
     return signed.select("id", "k1", "k2").join(known, ["k1", "k2"]).select(F.col("id").alias(key), "class_id", "class_size")

@@ -35,8 +35,10 @@ CACHED = 600_000
 #: The fit reads at most so many labelled rows, and so many bytes of text.
 FIT_ROWS, FIT_BYTES = 6_000, 64 << 20
 ORDINARY_SIZE, TOXIC_SIZE = 8192, 4096
-#: Windows that train the ordinary dictionary.
-TRAINING_WINDOWS = 60_000
+#: Windows that train the ordinary dictionary, and how often each counts at most.
+TRAINING_WINDOWS, MOST_TIMES = 60_000, 20
+#: Partitions of the sample.
+FIT_PARTS = 32
 #: Ends every window: zstandard looks for no match in the last bytes of an input.
 PAD = b" " * 12
 #: How many times likelier in toxic texts, in how many of them and in what share of them a toxic window is.
@@ -137,54 +139,33 @@ def beginnings(word: bytes) -> list[bytes]:
     return [b" " + word[:i] for i in range(BEGINNING, min(len(word), 9))] + [b" " + word + b" "]
 
 
-def without_copies(samples: list[tuple[int, int, list[int], list[bytes]]]) -> list[tuple[int, int, list[bytes]]]:
-    """One of each group of (near) copies: texts that share a minimum hash of their shingles."""
+def without_copies(sketches: list[tuple]) -> list:
+    """Names of (label, half, name, shingle minima) but those that share a minimum with one before: (near) copies count once."""
     seen: set[tuple[int, int]] = set()
     out = []
-    for y, half, sketch, words in samples:
+    for _, _, name, sketch in sketches:
         own = set(enumerate(sketch))
         if not own & seen:
-            out.append((y, half, words))
+            out.append(name)
         seen |= own
     return out
 
 
-def fit_model(samples: list[tuple[int, int, list[int], list[bytes]]]) -> Model | None:
-    """A model from (label, half, shingle minima, different windows) of labelled texts; None without both labels."""
-    samples = without_copies(samples)
-    learn = [(y, w) for y, half, w in samples if half == 0]
-    check = [(y, w) for y, half, w in samples if half == 1]
-    if not all({y for y, _ in part} == {0, 1} for part in (learn, check)):
-        return None
-    held = {0: Counter(), 1: Counter()}
-    begun = {0: Counter(), 1: Counter()}
-    n = {y: sum(1 for z, _ in learn if z == y) for y in (0, 1)}
-    for y, words in learn:
-        held[y].update(words)
-        if y == 1:
-            begun[1].update({p for w in words for p in beginnings(w)})
-    # only what enough toxic texts hold is counted in ordinary ones
-    often = {p for p, c in begun[1].items() if c >= max(TEXTS, SHARE * n[1])}
-    for y, words in learn:
-        if y == 0:
-            begun[0].update({p for w in words for p in beginnings(w) if p in often})
-    odds = lambda p: ((begun[1][p] + 0.5) / (n[1] + 1)) / ((begun[0][p] + 0.5) / (n[0] + 1))
-    telling = {p for p in often if odds(p) >= TIMES}
-    # in the order of the texts, so that each stretch that training picks holds different windows
-    toxic_text = [max(own, key=len) for y, words in learn if y == 1 for w in words if (own := [p for p in beginnings(w) if p in telling])]
-    common = held[0].most_common(TRAINING_WINDOWS)
-    ordinary_text = [b" " + w + b" " for w, c in sorted(common) for _ in range(min(c, 20))]
+def train(ordinary_words: list[tuple[bytes, int]], toxic_text: list[bytes]) -> tuple[bytes, bytes]:
+    """The two dictionaries, from counted ordinary windows and the telling strings of toxic texts in their order."""
+    ordinary_text = [b" " + w + b" " for w, c in sorted(ordinary_words) for _ in range(min(c, MOST_TIMES))]
     ordinary, toxic = _train(ordinary_text, ORDINARY_SIZE), _train(toxic_text, TOXIC_SIZE)
     # training leaves out strings that its segments do not reach: they follow, the most frequent last
     left = [p for p, _ in Counter(toxic_text).most_common() if p not in toxic]
     kept = [p for p, end in zip(left, np.cumsum([len(p) for p in left]).tolist(), strict=True) if len(toxic) + end <= TOXIC_SIZE]
-    toxic += b"".join(reversed(kept))
-    words = sorted({w for _, own in check for w in own})
-    cell = dict(zip(words, cells(words, _compressor(ordinary), _compressor(toxic)).tolist(), strict=True))
-    y = np.array([y for y, _ in check])
-    own = [np.array([cell[w] for w in words], np.int64) for _, words in check]
-    evidence = _evidence(list(zip(y.tolist(), own, strict=True)))
-    told = [np.array([evidence.get(c, 0) for c in v.tolist()] or [0]) for v in own]
+    return ordinary, toxic + b"".join(reversed(kept))
+
+
+def calibrated(ordinary: bytes, toxic: bytes, found: list[tuple[int, list[int]]]) -> Model:
+    """The model of two dictionaries, from (label, different cells) of texts that trained neither."""
+    y = np.array([y for y, _ in found])
+    evidence = _evidence([(z, np.array(own, np.int64)) for z, own in found])
+    told = [np.array([evidence.get(c, 0) for c in own] or [0]) for _, own in found]
     largest = np.array([v.max() for v in told])
     threshold = max(range(5, 61, 5), key=lambda t: ((largest >= t) == (y == 1)).mean())
     past = np.array([(v >= threshold).sum() for v in told])
@@ -200,18 +181,55 @@ def _minima(hashes: np.ndarray) -> list[int]:
     return [int(mix(shingles ^ np.uint64(i)).min() >> np.uint64(1)) for i in range(1, 5)]
 
 
-def _kinds(rows):
-    """Shingle minima and the different windows of each labelled text."""
+def _own_windows(batch: pa.RecordBatch) -> tuple[list[list[bytes]], list[list[int]]]:
+    """The different windows of each text, and the minima of its shingles."""
+    low, starts, ends, text = windows(*utf8(batch["text"]))
+    raw = low.tobytes()
+    hashes = _hashes(low, starts, ends)
+    bounds = np.searchsorted(text, np.arange(batch.num_rows + 1))
+    own: list[set[bytes]] = [set() for _ in range(batch.num_rows)]
+    for a, b, i in zip(starts.tolist(), ends.tolist(), text.tolist(), strict=True):
+        own[i].add(raw[a:b])
+    return [sorted(w) for w in own], [_minima(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _sketches(rows):
+    for batch in batches(rows, SLICE, "text"):
+        yield pa.RecordBatch.from_arrays([batch["toxic"], batch["half"], batch["name"], pa.array(_own_windows(batch)[1], pa.list_(pa.int64()))], names=["toxic", "half", "name", "sketch"])
+
+
+def _strings(rows):
+    """Windows of each text (``whole``), and their beginnings."""
     for batch in batches(rows, SLICE, "text"):
-        low, starts, ends, text = windows(*utf8(batch["text"]))
-        raw = low.tobytes()
-        hashes = _hashes(low, starts, ends)
-        bounds = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        sketches = [_minima(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        own: list[set[bytes]] = [set() for _ in range(batch.num_rows)]
-        for a, b, i in zip(starts.tolist(), ends.tolist(), text.tolist(), strict=True):
-            own[i].add(raw[a:b])
-        yield pa.RecordBatch.from_arrays([batch["toxic"], batch["half"], pa.array(sketches, pa.list_(pa.int64())), pa.array([sorted(w) for w in own], pa.list_(pa.binary()))], names=["toxic", "half", "sketch", "words"])
+        out = []
+        for y, own in zip(batch["toxic"].to_pylist(), _own_windows(batch)[0], strict=True):
+            out += [(y, True, w) for w in own]
+            out += [(y, False, p) for p in {p for w in own for p in beginnings(w)}]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=["toxic", "whole", "p"])
+
+
+def _told(telling: frozenset[bytes]):
+    """The longest telling string of each window of each text."""
+
+    def work(rows):
+        for batch in batches(rows, SLICE, "text"):
+            found = [[max(own, key=len) for w in words if (own := [p for p in beginnings(w) if p in telling])] for words in _own_windows(batch)[0]]
+            yield pa.RecordBatch.from_arrays([batch["name"], pa.array(found, pa.list_(pa.binary()))], names=["name", "found"])
+
+    return work
+
+
+def _cells(ordinary: bytes, toxic: bytes):
+    """The different cells of each text."""
+
+    def work(rows):
+        pair = _compressor(ordinary), _compressor(toxic)
+        for batch in batches(rows, SLICE, "text"):
+            found = [np.unique(cells(words, *pair)).tolist() for words in _own_windows(batch)[0]]
+            yield pa.RecordBatch.from_arrays([batch["toxic"], batch["name"], pa.array(found, pa.list_(pa.int64()))], names=["toxic", "name", "found"])
+
+    return work
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model | None:
@@ -229,15 +247,27 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # at most fit_rows numbers go through this window
     so_far = F.sum("size").over(Window.orderBy(order, key).rowsBetween(Window.unboundedPreceding, 0))
     within = rows.select(key, F.octet_length("text").cast("long").alias("size")).withColumn("so_far", so_far).where(F.col("so_far") <= fit_bytes)
-    rows = rows.join(F.broadcast(within.select(key)), key)
-    found = rows.select("toxic", "half", "text").mapInArrow(_kinds, "toxic int, half int, sketch array<long>, words array<binary>")
-    shared: dict[bytes, bytes] = {}  # one object for each different window keeps the sample small
-    samples = []
-    for r in found.toLocalIterator():
-        own = (bytes(w) for w in r.words)
-        samples.append((r.toxic, r.half, list(r.sketch), [shared.setdefault(w, w) for w in own]))
-    del shared
-    return fit_model(sorted(samples))
+    rows = rows.join(F.broadcast(within.select(key)), key).select(F.col(key).cast("string").alias("name"), "toxic", "half", "text").repartition(FIT_PARTS, "name")
+    sketches = rows.mapInArrow(_sketches, "toxic int, half int, name string, sketch array<long>").collect()
+    names = without_copies(sorted((r.toxic, r.half, r.name, list(r.sketch)) for r in sketches))
+    known = docs.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    rows = written(rows.join(F.broadcast(known), "name"), "fit")
+    sizes = {(r.toxic, r.half): r["count"] for r in rows.groupBy("toxic", "half").count().collect()}
+    if len(sizes) < 4:
+        return None
+    learn, check = rows.where("half = 0"), rows.where("half = 1")
+    # strings are counted in Spark; the telling ones and the commonest come to the driver
+    strings = learn.mapInArrow(_strings, "toxic int, whole boolean, p binary").groupBy("whole", "p")
+    counted = written(strings.agg(F.sum(F.col("toxic").cast("long")).alias("c1"), F.sum(1 - F.col("toxic").cast("long")).alias("c0")), "strings")
+    odds = ((F.col("c1") + 0.5) / (sizes[1, 0] + 1)) / ((F.col("c0") + 0.5) / (sizes[0, 0] + 1))
+    often = counted.where(~F.col("whole") & (F.col("c1") >= max(TEXTS, SHARE * sizes[1, 0])) & (odds >= TIMES))
+    telling = frozenset(bytes(r.p) for r in often.select("p").collect())  # 100 times the windows of a toxic text at most, by SHARE
+    common = counted.where("whole AND c0 > 0").orderBy(F.desc("c0"), "p").limit(TRAINING_WINDOWS).select("p", "c0").collect()
+    told = learn.where("toxic = 1").mapInArrow(_told(telling), "name string, found array<binary>").collect()
+    toxic_text = [bytes(p) for r in sorted(told, key=lambda r: r.name) for p in r.found]
+    ordinary, toxic = train([(bytes(r.p), r.c0) for r in common], toxic_text)
+    found = check.mapInArrow(_cells(ordinary, toxic), "toxic int, name string, found array<long>").collect()
+    return calibrated(ordinary, toxic, [(r.toxic, list(r.found)) for r in sorted(found, key=lambda r: r.name)])
 
 
 def held_out(key):
