@@ -15,10 +15,8 @@ def has_iceberg(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.catalog.lake", None) is not None
 
 
-def new_table(spark: SparkSession, name: str) -> str:
-    """A place for a table: a name in the catalog, or a path in the shared folder."""
-    if has_iceberg(spark):
-        return f"lake.{name}_{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for checkpoints, models and copies."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
@@ -28,8 +26,25 @@ def new_table(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def new_table(spark: SparkSession, name: str) -> str:
+    """A place for a table: a name in the catalog, or a path in the shared folder."""
+    return f"lake.{name.replace('-', '_')}_{uuid.uuid4().hex}" if has_iceberg(spark) else new_path(spark, name)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read again, for what is used several times."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, key: str = "txn_id", files: int = 4) -> DataFrame:
+    """Rows of a date go to at most ``files`` tasks, and so to as many files."""
+    return df.repartition(PARTITION, F.pmod(F.xxhash64(key), F.lit(files)))
+
+
 def append(df: DataFrame, table: str) -> None:
-    """Adds rows, partitioned by date (S1). Rows of a date go to one task's file, so files stay few."""
+    """Adds rows, partitioned by date (S1); see ``dealt`` for their files."""
     if has_iceberg(df.sparkSession):
         writer = df.writeTo(table)
         writer.append() if df.sparkSession.catalog.tableExists(table) else writer.partitionedBy(F.col(PARTITION)).create()
@@ -88,12 +103,12 @@ def read_as_of(spark: SparkSession, table: str, snapshot: int) -> DataFrame:
 
 
 def compact(spark: SparkSession, table: str, day: str) -> None:
-    """Rewrites the small files of a date as one."""
+    """Rewrites the small files of a date as a few."""
     if has_iceberg(spark):
         spark.sql(f"CALL lake.system.rewrite_data_files(table => '{table}', where => \"{PARTITION} = DATE '{day}'\")")
         return
     rows = read_range(spark, table, day, day)
-    copy = new_table(spark, "compact")
+    copy = new_path(spark, "compact")
     rows.write.partitionBy(PARTITION).parquet(copy)
-    again = spark.read.schema(rows.schema).parquet(copy).repartition(PARTITION)
+    again = dealt(spark.read.schema(rows.schema).parquet(copy))
     again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(table)

@@ -53,7 +53,7 @@ def _asof(s: SparkSession, d: str) -> DataFrame:
 
 def _stored(s: SparkSession, d: str) -> str:
     table = S.new_table(s, "transactions")
-    S.append(_txn(s, d).select(*_ALL).repartition("event_date"), table)
+    S.append(S.dealt(_txn(s, d).select(*_ALL)), table)
     return table
 
 
@@ -75,7 +75,7 @@ def _store_pruned(s: SparkSession, d: str) -> DataFrame:
 
 def _store_evolve(s: SparkSession, d: str) -> DataFrame:
     """Older rows are stored without the category, newer ones with it."""
-    table, txn = S.new_table(s, "evolving"), _txn(s, d).select(*_ALL).repartition("event_date")
+    table, txn = S.new_table(s, "evolving"), S.dealt(_txn(s, d).select(*_ALL))
     S.append(txn.where("event_date < '2024-01-15'").drop("category"), table)
     S.append(txn.where("event_date >= '2024-01-15'"), table)
     return S.add_column(s, table, "category", "string").select("txn_id", "event_date", "category", "amount_cents")
@@ -101,16 +101,16 @@ def _scores(s: SparkSession, d: str) -> DataFrame:
 
 
 def _model_scores(s: SparkSession, d: str) -> DataFrame:
-    rows = T.planted_set(s, d)
+    rows = S.kept(T.planted_set(s, d), "planted")
     return P.score(rows, T.fit(rows.where(F.col("event_us") < T.T1_US))).select("txn_id", "label", "score")
 
 
 def _model_scores_stream(s: SparkSession, d: str) -> DataFrame:
     """Features written to the store, then read as a stream and scored by the saved model."""
-    rows = T.planted_set(s, d)
-    path = S.new_table(s, "models")
+    rows = S.kept(T.planted_set(s, d), "planted")
+    path = S.new_path(s, "models")
     T.save(T.fit(rows.where(F.col("event_us") < T.T1_US)), path, "planted")
-    live = S.new_table(s, "live")
+    live = S.new_path(s, "live")
     rows.write.parquet(live)
     stream = s.readStream.schema(s.read.parquet(live).schema).parquet(live)
     return X.drained(P.score_stream(stream, T.load(path, "planted")).select("txn_id", "label", "score"), "model-scores")
@@ -118,7 +118,7 @@ def _model_scores_stream(s: SparkSession, d: str) -> DataFrame:
 
 def _fit_model(s: SparkSession, d: str) -> DataFrame:
     """How well each algorithm ranks the planted label after the time of training."""
-    rows = T.planted_set(s, d)
+    rows = S.kept(T.planted_set(s, d), "planted")
     out = None
     for algo in ("logistic", "forest", "boosted"):
         model = T.fit(rows.where(F.col("event_us") < T.T1_US), algo)
@@ -176,6 +176,7 @@ def queries() -> dict[str, Query]:
         "decide": lambda s, d: P.decide(_scores(s, d), 20, 60).select("txn_id", "score", "decision"),
         "alert_budget": lambda s, d: P.top_alerts(_scores(s, d)).select("event_date", "txn_id", "score", "rank"),
         "serve_rules": P.serve_rules,
+        "serve_model": P.serve_model,
     }
 
 
@@ -250,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
         "training_set": "SELECT txn_id, amount_cents, cnt_1h, cnt_24h, cnt_168h, sum_168h, avg_168h, max_168h, gap_us, label FROM ripe",
         "temporal_split": f"SELECT txn_id, {part} AS part, label FROM known",
         "class_weights": f"SELECT label, n, CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n) AS weight FROM (SELECT label, count(*) AS n FROM known WHERE {part} = 'train' GROUP BY label)",
-        "evaluate": f"SELECT round(CAST(sum(p * (2 * below + n)) AS DOUBLE) / nullif(2 * sum(p) * sum(n), 0), 9) AS roc_auc, CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives FROM (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ({by_score}))",
+        "evaluate": f"SELECT round(CAST(sum(n * (2 * tp - p)) AS DOUBLE) / nullif(2 * sum(p) * sum(n), 0), 9) AS roc_auc, round(sum(p * tp / CAST(tp + fp AS DOUBLE)) / nullif(sum(p), 0), 9) AS pr_auc, CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives FROM (SELECT *, sum(p) OVER d AS tp, sum(n) OVER d AS fp FROM ({by_score}) WINDOW d AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))",
         "threshold_sweep": f"SELECT threshold, tp, fp, CAST(pos - tp AS BIGINT) AS fn, CAST(neg - fp AS BIGINT) AS tn, round(tp / CAST(tp + fp AS DOUBLE), 9) AS precision, round(tp / CAST(nullif(pos, 0) AS DOUBLE), 9) AS recall FROM (SELECT score AS threshold, CAST(sum(p) OVER d AS BIGINT) AS tp, CAST(sum(n) OVER d AS BIGINT) AS fp, sum(p) OVER () AS pos, sum(n) OVER () AS neg FROM ({by_score}) WINDOW d AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))",
         "decide": f"SELECT txn_id, score, {decided(20, 60)} FROM scores",
         "alert_budget": "SELECT event_date, txn_id, score, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_date ORDER BY score DESC, txn_id) AS r FROM scores) WHERE r <= 10",

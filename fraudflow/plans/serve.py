@@ -8,14 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudflow.operators.enrich import enrich
-from fraudflow.plans.train import numbers
-from fraudflow.sources.transactions import read_cards, stream_path, stream_transactions
+from fraudflow.operators.store import kept
+from fraudflow.plans.train import NUMBERS, T1_US, fit, numbers, planted_set
+from fraudflow.sources.transactions import read_cards, stream_path, stream_valid
 from fraudflow.streaming.streams import dedup_stream, drained, rolling_stream, with_rocksdb
 
 
-def score(df: DataFrame, model: PipelineModel) -> DataFrame:
+#: Features that a stream can make itself.
+SERVED = ["amount_cents", "cnt_168h", "sum_168h"]
+
+
+def score(df: DataFrame, model: PipelineModel, columns: list[str] = NUMBERS) -> DataFrame:
     """Adds the probability of fraud, rounded so that ties are ties everywhere; batch or stream."""
-    return model.transform(numbers(df)).withColumn("score", F.round(vector_to_array("probability")[1], 9)).select(*df.columns, "score")
+    return model.transform(numbers(df, columns)).withColumn("score", F.round(vector_to_array("probability")[1], 9)).select(*df.columns, "score")
 
 
 score_stream = score
@@ -37,13 +42,32 @@ def top_alerts(scored: DataFrame, k: int = 10, column: str = "score") -> DataFra
 
 
 def serve_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source to scores as one stream: deduplicate, roll, enrich, decide, write.
+    """Source to scores as one stream: validate, deduplicate, roll, enrich, decide, write.
 
     Scores by rule (10 for each transaction of the last 24 hours), so results
     can be checked without a model.
     """
     with_rocksdb(spark)
-    stream = dedup_stream(stream_transactions(spark, stream_path(sf_dir)))
+    stream = dedup_stream(stream_valid(spark, stream_path(sf_dir)))
     rolled = enrich(rolling_stream(stream), read_cards(spark, sf_dir))
     scored = rolled.withColumn("score", F.least(F.lit(100), 10 * F.col("cnt")).cast("int"))
     return drained(decide(scored, 20, 50), "scores").select("txn_id", "card_id", "event_us", "cnt", "sum_cents", "segment", "nation", "score", "decision")
+
+
+def serving(transactions: DataFrame, cards: DataFrame, model: PipelineModel) -> DataFrame:
+    """Deduplicated, rolled, enriched, scored and decided transactions of a stream."""
+    rolled = rolling_stream(dedup_stream(transactions), 168).withColumnsRenamed({"cnt": "cnt_168h", "sum_cents": "sum_168h"})
+    scored = score_stream(enrich(rolled, cards), model, SERVED)
+    return decide(scored, 0.5, 0.9)
+
+
+def serve_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain with a model fitted on history: files to decisions as one stream.
+
+    A live service starts the same frame with ``sink(..., every="1 second")``.
+    """
+    with_rocksdb(spark)
+    history = kept(planted_set(spark, sf_dir), "history")
+    model = fit(history.where(F.col("event_us") < T1_US), columns=SERVED, category=None)
+    served = serving(stream_valid(spark, stream_path(sf_dir)), read_cards(spark, sf_dir), model)
+    return drained(served, "served").select("txn_id", "card_id", "event_us", "cnt_168h", "sum_168h", "segment", "nation", "score", "decision")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fraudflow.operators.features import all_features
 from fraudflow.operators.labels import HORIZON_US, attach_labels, mature, weights
+from fraudflow.operators.store import kept
 from fraudflow.sources.transactions import read_transactions
 
 T1_US, T2_US = 1_705_708_800_000_000, 1_706_140_800_000_000  # 2024-01-20, 2024-01-25
@@ -34,32 +35,36 @@ def planted_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_features(read_transactions(spark, sf_dir)).withColumn("label", F.coalesce(label, F.lit(False)).cast("int"))
 
 
-def encoder() -> list:
+def encoder(columns: list[str] = NUMBERS, category: str | None = "category") -> list:
     """Category index and one-hot, cold nulls filled, one vector."""
+    own = [f"{c}_f" for c in columns]
+    filled = Imputer(inputCols=[f"{c}_d" for c in columns], outputCols=own)
+    if category is None:
+        return [filled, VectorAssembler(inputCols=own, outputCol="features")]
     return [
-        StringIndexer(inputCol="category", outputCol="category_i", handleInvalid="keep"),
+        StringIndexer(inputCol=category, outputCol="category_i", handleInvalid="keep"),
         OneHotEncoder(inputCols=["category_i"], outputCols=["category_v"]),
-        Imputer(inputCols=[f"{c}_d" for c in NUMBERS], outputCols=[f"{c}_f" for c in NUMBERS]),
-        VectorAssembler(inputCols=["category_v", *(f"{c}_f" for c in NUMBERS)], outputCol="features"),
+        filled,
+        VectorAssembler(inputCols=["category_v", *own], outputCol="features"),
     ]
 
 
-def numbers(df: DataFrame) -> DataFrame:
+def numbers(df: DataFrame, columns: list[str] = NUMBERS) -> DataFrame:
     """The numeric features as doubles, the type that imputation takes; large amounts on a log scale."""
-    scaled = {c: F.log1p(F.col(c).cast("double")) if c.endswith(("cents", "us")) or c[:3] in ("avg", "max") else F.col(c).cast("double") for c in NUMBERS}
+    scaled = {c: F.log1p(F.col(c).cast("double")) if c.endswith(("cents", "us")) or c[:3] in ("avg", "max") else F.col(c).cast("double") for c in columns}
     return df.withColumns({f"{c}_d": v for c, v in scaled.items()})
 
 
-def fit(train: DataFrame, algo: str = "logistic", seed: int = 7) -> PipelineModel:
+def fit(train: DataFrame, algo: str = "logistic", seed: int = 7, columns: list[str] = NUMBERS, category: str | None = "category") -> PipelineModel:
     """A pipeline of encoder and classifier, classes balanced by weight."""
-    rows = numbers(train).join(F.broadcast(weights(train).select("label", "weight")), "label")
+    rows = numbers(train, columns).join(F.broadcast(weights(train).select("label", "weight")), "label")
     common = {"labelCol": "label", "weightCol": "weight"}
     model = {
         "logistic": lambda: LogisticRegression(maxIter=50, regParam=0.01, **common),
         "forest": lambda: RandomForestClassifier(numTrees=30, maxDepth=6, seed=seed, **common),
         "boosted": lambda: GBTClassifier(maxIter=20, maxDepth=4, seed=seed, **common),
     }[algo]()
-    return Pipeline(stages=[*encoder(), model]).fit(rows)
+    return Pipeline(stages=[*encoder(columns, category), model]).fit(rows)
 
 
 def save(model: PipelineModel, path: str, model_id: str) -> str:
@@ -72,25 +77,38 @@ def load(path: str, model_id: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/{model_id}")
 
 
-def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Area under the ROC curve, ties counted half.
+def _running(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """(s, p, n, tp, fp): positives and negatives of each score, and of all at or above it.
 
-    Rows are counted per score first; the running sum is over the different
-    scores, so rounded scores keep it small.
+    Scores are dealt by range, so each task sums its own; the sums of the ranges,
+    as many as there are partitions, are added by a small join.
     """
     by = scored.groupBy(F.col(score).alias("s")).agg(F.sum(label).cast("long").alias("p"), F.sum(1 - F.col(label)).cast("long").alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    twice = by.select((F.col("p") * (2 * below + F.col("n"))).alias("w"), "p", "n")
-    total = twice.agg(F.sum("w").alias("w"), F.sum("p").alias("p"), F.sum("n").alias("n"))
-    return total.select(F.round(F.col("w").cast("double") / F.nullif(2 * F.col("p") * F.col("n"), F.lit(0)), 9).alias("roc_auc"), F.col("p").alias("positives"), F.col("n").alias("negatives"))
+    by = kept(by.repartitionByRange(F.desc("s")).withColumn("part", F.spark_partition_id()), "scores")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = by.groupBy("part").agg(F.sum("p").alias("pp"), F.sum("n").alias("nn"))
+    parts = parts.select("part", F.coalesce(F.sum("pp").over(before), F.lit(0)).alias("p0"), F.coalesce(F.sum("nn").over(before), F.lit(0)).alias("n0"))
+    down = Window.partitionBy("part").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    return by.join(parts, "part").select("s", "p", "n", (F.col("p0") + F.sum("p").over(down)).alias("tp"), (F.col("n0") + F.sum("n").over(down)).alias("fp"))
+
+
+def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Areas under the ROC curve, ties counted half, and under precision and recall by steps."""
+    by = _running(scored, score, label)
+    # a negative of this score loses to all positives above it, and half to those of its own
+    twice = by.select((F.col("n") * (2 * F.col("tp") - F.col("p"))).alias("w"), (F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp")).cast("double")).alias("a"), "p", "n")
+    total = twice.agg(F.sum("w").alias("w"), F.sum("a").alias("a"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+    return total.select(
+        F.round(F.col("w").cast("double") / F.nullif(2 * F.col("p") * F.col("n"), F.lit(0)), 9).alias("roc_auc"),
+        F.round(F.col("a") / F.nullif(F.col("p"), F.lit(0)), 9).alias("pr_auc"), F.col("p").alias("positives"), F.col("n").alias("negatives"),
+    )
 
 
 def sweep(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Confusion counts, precision and recall if all at or above each score are declined."""
-    by = scored.groupBy(F.col(score).alias("threshold")).agg(F.sum(label).cast("long").alias("p"), F.sum(1 - F.col(label)).cast("long").alias("n"))
-    down, everything = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
-    out = by.select("threshold", F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("fp"), F.sum("p").over(everything).alias("pos"), F.sum("n").over(everything).alias("neg"))
-    return out.select(
+    by = _running(scored, score, label)
+    total = by.agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
+    return by.withColumnRenamed("s", "threshold").join(F.broadcast(total)).select(
         "threshold", "tp", "fp", (F.col("pos") - F.col("tp")).alias("fn"), (F.col("neg") - F.col("fp")).alias("tn"),
         F.round(F.col("tp") / (F.col("tp") + F.col("fp")).cast("double"), 9).alias("precision"), F.round(F.col("tp") / F.nullif(F.col("pos"), F.lit(0)).cast("double"), 9).alias("recall"),
     )

@@ -93,3 +93,8 @@ def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): canonical good rows, and bad raw rows with the reason (I5). Every row is in one of them."""
     judged = with_reason(raw)
     return conform(judged.where("reason IS NULL").drop("reason")), judged.where("reason IS NOT NULL")
+
+
+def stream_valid(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+    """The valid transactions of a stream of files."""
+    return split_valid(spark.readStream.schema(RAW).option("maxFilesPerTrigger", max_files).parquet(path))[0]

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from fraudflow.functions.columns import HOUR_US
-from fraudflow.operators.store import new_table
+from fraudflow.operators.store import has_iceberg, new_path, new_table
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -39,7 +39,10 @@ class Rolling(StatefulProcessor):
     """Count and sum of a card's trailing hours for each row, from a sorted buffer.
 
     A feature is what was known when the row was processed: late rows enter the
-    buffer and change later rows only. The buffer keeps the trailing hours.
+    buffer and change later rows only. A row without an amount counts but adds
+    nothing, as in batch. The buffer keeps the trailing hours of each card and
+    does not expire: a time to live needs processing-time mode, in which a
+    stream that stops when it has read everything never stops.
     """
 
     def __init__(self, hours: int):
@@ -50,22 +53,22 @@ class Rolling(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True).sort_values(["event_us", "txn_id"], kind="stable")
-        held = sorted((int(t), int(a)) for t, a in self.buffer.get()) if self.buffer.exists() else []
+        amounts = [None if pd.isna(a) else int(a) for a in new["amount_cents"]]
+        held = [(int(t), a) for t, a in self.buffer.get()] if self.buffer.exists() else []
         # held and new rows in one order; equal instants do not count for each other
-        times = sorted([t for t, _ in held] + new["event_us"].tolist())
-        pairs = sorted(held + list(zip(new["event_us"].tolist(), new["amount_cents"].tolist(), strict=True)))
-        sums = [0]
+        pairs = sorted(held + list(zip(new["event_us"].tolist(), amounts, strict=True)), key=lambda p: p[0])
+        times = [t for t, _ in pairs]
+        sums, known = [0], [0]
         for _, amount in pairs:
-            sums.append(sums[-1] + amount)
+            sums.append(sums[-1] + (amount or 0))
+            known.append(known[-1] + (amount is not None))
         counts, totals = [], []
         for t in new["event_us"].tolist():
             low, high = bisect_left(times, t - self.span), bisect_right(times, t - 1)
             counts.append(high - low)
-            totals.append(sums[high] - sums[low])
-        keep = bisect_left(times, times[-1] - self.span)
-        self.buffer.put([(int(t), int(a)) for t, a in pairs[keep:]])
-        total = [s if n else None for s, n in zip(totals, counts, strict=True)]
-        yield pd.DataFrame({"txn_id": new["txn_id"], "card_id": key[0], "event_us": new["event_us"], "amount_cents": new["amount_cents"], "cnt": counts, "sum_cents": pd.array(total, dtype="Int64")})
+            totals.append(sums[high] - sums[low] if known[high] > known[low] else None)
+        self.buffer.put(pairs[bisect_left(times, times[-1] - self.span) :])
+        yield pd.DataFrame({"txn_id": new["txn_id"], "card_id": key[0], "event_us": new["event_us"], "amount_cents": pd.array(amounts, dtype="Int64"), "cnt": counts, "sum_cents": pd.array(totals, dtype="Int64")})
 
     def close(self) -> None:
         pass
@@ -84,21 +87,33 @@ def with_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def sink(stream: DataFrame, table: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
-    """Writes each batch to its own partition; a batch that is replayed replaces itself."""
+def sink(stream: DataFrame, table: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, every: str | None = None) -> StreamingQuery:
+    """Writes each batch to its own partition; a batch that is replayed replaces itself.
+
+    ``every`` is the interval of a live stream; without it the stream ends when
+    it has read what is there. In an Iceberg catalog the partition of a batch is
+    overwritten in one commit.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        prepare(batch).write.mode("overwrite").parquet(f"{table}/batch_id={number}")
+        out = prepare(batch)
+        if not has_iceberg(batch.sparkSession):
+            out.write.mode("overwrite").parquet(f"{table}/batch_id={number}")
+            return
+        writer = out.withColumn("batch_id", F.lit(number).cast("long")).writeTo(table)
+        exists = batch.sparkSession.catalog.tableExists(table)
+        writer.overwrite(F.col("batch_id") == number) if exists else writer.partitionedBy(F.col("batch_id")).create()
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    started = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (started.trigger(processingTime=every) if every else started.trigger(availableNow=True)).start()
 
 
 def drained(stream: DataFrame, name: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Runs a stream over all that is there, through the sink, and reads the table."""
     spark = stream.sparkSession
-    table, checkpoint = new_table(spark, name), new_table(spark, f"{name}-checkpoint")
-    sink(stream, table, checkpoint, prepare).awaitTermination()
-    return spark.read.parquet(table).drop("batch_id")
+    table = new_table(spark, name)
+    sink(stream, table, new_path(spark, f"{name}-checkpoint"), prepare).awaitTermination()
+    return (spark.table(table) if has_iceberg(spark) else spark.read.parquet(table)).drop("batch_id")
 
 
 def closed_windows(stream: DataFrame, delay: str = "2 days", size: str = "1 day") -> DataFrame:

@@ -1,8 +1,10 @@
 """Semantics on small planted inputs."""
 
 import datetime
+import os
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
 from fraudflow.functions.columns import HOUR_US
@@ -68,6 +70,12 @@ def test_decisions_at_the_edges(spark):
 def test_auc_counts_ties_half(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (2, 1)], "score int, label int")
     assert train.auc(df).first().roc_auc == 0.875
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    many = spark.range(400).selectExpr("CAST(pmod(xxhash64(id), 97) AS DOUBLE) AS score", "CAST(pmod(xxhash64(id), 97) + pmod(hash(id), 90) > 120 AS INT) AS label")
+    own = train.auc(many).first()
+    of = lambda metric: BinaryClassificationEvaluator(rawPredictionCol="score", metricName=metric).evaluate(many)
+    assert abs(own.roc_auc - of("areaUnderROC")) < 1e-6 and abs(own.pr_auc - of("areaUnderPR")) < 0.02
 
 
 def test_pruned_read_opens_only_its_partitions(spark):
@@ -99,3 +107,75 @@ def test_rate_source_and_late_audit(spark):
     query.awaitTermination()
     stats = streams.progress_stats(query)
     assert sum(s["rows"] for s in stats) == 5 and all(s["late"] >= 0 for s in stats)
+
+
+def raw_files(spark, name, slices):
+    """Raw events in files, one written after the other, in the order of their times of change."""
+    path = store.new_path(spark, name)
+    for i, rows in enumerate(slices):
+        spark.createDataFrame(rows, transactions.RAW).coalesce(1).write.mode("append").parquet(path)
+        folder = path.removeprefix("file://")
+        for file in os.listdir(folder):
+            if file.endswith(".parquet") and not file.startswith("seen-"):
+                os.rename(f"{folder}/{file}", f"{folder}/seen-{i}-{file}")
+                os.utime(f"{folder}/seen-{i}-{file}", (1_700_000_000 + 10 * i,) * 2)
+    return path
+
+
+def event(i, card, hour, value=1.0):
+    return (i, datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=hour), card, "purchase", value, '{"k": 1}')
+
+
+def test_stream_over_several_batches_equals_batch(spark):
+    """Repeats, a bad row and a row without an amount are planted; stream and batch agree over five files."""
+    streams.with_rocksdb(spark)
+    rows = [event(i, i % 3, i * 2 + i % 2, float(i % 7)) for i in range(50)]
+    slices = [rows[10 * i : 10 * i + 10] for i in range(5)]
+    slices[2] = [*slices[2], rows[15], rows[22], event(99, 1, 47, -1.0), event(98, 1, 47, None)]
+    path = raw_files(spark, "served", slices)
+    live = streams.drained(streams.rolling_stream(streams.dedup_stream(transactions.stream_valid(spark, path)), 168), "out")
+    batch = transactions.conform(spark.createDataFrame(rows, transactions.RAW))
+    want = features.rolling_amount(features.velocity(batch))
+    got = {r.txn_id: (r.cnt, r.sum_cents) for r in live.collect()}
+    assert got == {r.txn_id: (r.cnt_168h, r.sum_168h) for r in want.collect()} and live.count() == 50
+    unjudged = streams.drained(streams.rolling_stream(transactions.conform(spark.readStream.schema(transactions.RAW).parquet(path))), "nulls")
+    assert unjudged.where("amount_cents IS NULL").count() == 1
+
+
+def test_late_rows_are_counted_exactly(spark):
+    slices = [[event(1, 1, 0)], [event(2, 1, 24 * 10)], [event(3, 1, 24 * 20)], [event(4, 1, 24), event(5, 1, 25), event(6, 1, 24 * 21)]]
+    stream = streams.dedup_stream(transactions.stream_valid(spark, raw_files(spark, "late", slices)))
+    query = streams.sink(stream, store.new_path(spark, "o"), store.new_path(spark, "k"))
+    query.awaitTermination()
+    stats = streams.progress_stats(query)
+    assert sum(s["late"] for s in stats) == 2 and sum(s["rows"] for s in stats) == 6
+
+
+def test_restart_after_a_lost_commit(spark):
+    """The sink replaces the batch that is written again; a plain append repeats it."""
+    path = raw_files(spark, "restart", [[event(i, 1, i)] for i in range(4)])
+
+    def run(write):
+        checkpoint = store.new_path(spark, "restart-checkpoint")
+        for _ in range(2):
+            write(transactions.stream_valid(spark, path), checkpoint)
+            folder = checkpoint.removeprefix("file://") + "/commits"
+            last = max(int(f) for f in os.listdir(folder) if f.isdigit())
+            for f in (str(last), f".{last}.crc"):
+                if os.path.exists(f"{folder}/{f}"):
+                    os.remove(f"{folder}/{f}")
+
+    table, control = store.new_path(spark, "t"), store.new_path(spark, "c")
+    run(lambda stream, checkpoint: streams.sink(stream, table, checkpoint).awaitTermination())
+    append = lambda batch, _: batch.write.mode("append").parquet(control)
+    run(lambda stream, checkpoint: stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    assert spark.read.parquet(table).count() == 4 and spark.read.parquet(control).count() == 5
+
+
+def test_served_scores_equal_batch_scores(spark):
+    streams.with_rocksdb(spark)
+    history = store.kept(train.planted_set(spark, SF), "history")
+    model = train.fit(history.where(history.event_us < train.T1_US), columns=serve.SERVED, category=None)
+    want = {r.txn_id: r.score for r in serve.score(history.select("txn_id", *serve.SERVED), model, serve.SERVED).collect()}
+    got = {r.txn_id: r.score for r in serve.serve_model(spark, SF).collect()}
+    assert len(got) == len(want) and all(abs(got[i] - want[i]) < 1e-6 for i in want)
