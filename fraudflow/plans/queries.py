@@ -92,6 +92,13 @@ def _labelled(s: SparkSession, d: str) -> DataFrame:
     return T.purchases_with_labels(s, d).select("txn_id", "card_id", "event_us", "label", "label_us")
 
 
+def _labelled_stream(s: SparkSession, d: str) -> DataFrame:
+    """Purchases whose label is closed, from two streams of the same files."""
+    reports = _stream(s, d).where("category = 'error'").select("card_id", F.col("event_us").alias("report_us"), F.col("event_ts").alias("report_ts"))
+    closed = L.attach_labels_stream(_stream(s, d).where("category = 'purchase'"), reports)
+    return X.drained(closed.select("txn_id", "card_id", "event_us", "label", "label_us"), "labels")
+
+
 def _scored(s: SparkSession, d: str) -> DataFrame:
     return T.training_set(s, d).withColumn("score", rule_score())
 
@@ -164,6 +171,7 @@ def queries() -> dict[str, Query]:
         "store_evolve": _store_evolve,
         "store_compact": _store_compact,
         "label_delayed": _labelled,
+        "label_stream": _labelled_stream,
         "label_maturity": lambda s, d: L.mature(_labelled(s, d)),
         "training_set": lambda s, d: T.training_set(s, d).select("txn_id", "amount_cents", "cnt_1h", "cnt_24h", "cnt_168h", "sum_168h", "avg_168h", "max_168h", "gap_us", "label"),
         "temporal_split": lambda s, d: L.split(_labelled(s, d), T.T1_US, T.T2_US).select("txn_id", "part", "label"),
@@ -247,6 +255,7 @@ def oracle_sql() -> dict[str, str]:
     }
     deep = {
         "label_delayed": "SELECT txn_id, card_id, event_us, label, label_us FROM known",
+        "label_stream": f"SELECT txn_id, card_id, event_us, label, label_us FROM known WHERE event_us < (SELECT least(max(event_us) FILTER (category = 'purchase'), max(event_us) FILTER (category = 'error')) FROM txn) // 1000 * 1000 - {2 * day + L.HORIZON_US}",
         "label_maturity": "SELECT txn_id, card_id, event_us, label, label_us FROM ripe",
         "training_set": "SELECT txn_id, amount_cents, cnt_1h, cnt_24h, cnt_168h, sum_168h, avg_168h, max_168h, gap_us, label FROM ripe",
         "temporal_split": f"SELECT txn_id, {part} AS part, label FROM known",

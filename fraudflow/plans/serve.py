@@ -49,14 +49,14 @@ def serve_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     with_rocksdb(spark)
     stream = dedup_stream(stream_valid(spark, stream_path(sf_dir)))
-    rolled = enrich(rolling_stream(stream), read_cards(spark, sf_dir))
+    rolled = enrich(rolling_stream(stream, expires=True), read_cards(spark, sf_dir))
     scored = rolled.withColumn("score", F.least(F.lit(100), 10 * F.col("cnt")).cast("int"))
     return drained(decide(scored, 20, 50), "scores").select("txn_id", "card_id", "event_us", "cnt", "sum_cents", "segment", "nation", "score", "decision")
 
 
 def serving(transactions: DataFrame, cards: DataFrame, model: PipelineModel) -> DataFrame:
     """Deduplicated, rolled, enriched, scored and decided transactions of a stream."""
-    rolled = rolling_stream(dedup_stream(transactions), 168).withColumnsRenamed({"cnt": "cnt_168h", "sum_cents": "sum_168h"})
+    rolled = rolling_stream(dedup_stream(transactions), 168, expires=True).withColumnsRenamed({"cnt": "cnt_168h", "sum_cents": "sum_168h"})
     scored = score_stream(enrich(rolled, cards), model, SERVED)
     return decide(scored, 0.5, 0.9)
 

@@ -40,15 +40,18 @@ class Rolling(StatefulProcessor):
 
     A feature is what was known when the row was processed: late rows enter the
     buffer and change later rows only. A row without an amount counts but adds
-    nothing, as in batch. The buffer keeps the trailing hours of each card and
-    does not expire: a time to live needs processing-time mode, in which a
-    stream that stops when it has read everything never stops.
+    nothing, as in batch. The buffer keeps the trailing hours of each card. With
+    ``expires`` an event-time timer clears it when the watermark is past the
+    trailing hours of its last row, so idle cards hold no state and no result
+    changes.
     """
 
-    def __init__(self, hours: int):
+    def __init__(self, hours: int, expires: bool = False):
         self.span = hours * HOUR_US
+        self.expires = expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.buffer = handle.getListState("buffer", "event_us long, amount_cents long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -68,18 +71,29 @@ class Rolling(StatefulProcessor):
             counts.append(high - low)
             totals.append(sums[high] - sums[low] if known[high] > known[low] else None)
         self.buffer.put(pairs[bisect_left(times, times[-1] - self.span) :])
+        if self.expires:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer((times[-1] + self.span) // 1000 + 1)
         yield pd.DataFrame({"txn_id": new["txn_id"], "card_id": key[0], "event_us": new["event_us"], "amount_cents": pd.array(amounts, dtype="Int64"), "cnt": counts, "sum_cents": pd.array(totals, dtype="Int64")})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.buffer.clear()
+        yield pd.DataFrame()
+
     def close(self) -> None:
         pass
 
 
-def rolling_stream(stream: DataFrame, hours: int = 24) -> DataFrame:
-    """R1 and R2 for each event of a stream (R13). Needs the RocksDB state store."""
+def rolling_stream(stream: DataFrame, hours: int = 24, expires: bool = False) -> DataFrame:
+    """R1 and R2 for each event of a stream (R13). Needs the RocksDB state store; ``expires`` needs a watermark on event_ts, and drops what is later."""
+    columns = ["card_id", "txn_id", "event_us", "amount_cents", *(["event_ts"] if expires else [])]
     return (
-        stream.select("card_id", "txn_id", "event_us", "amount_cents")
+        stream.select(*columns)
         .groupBy("card_id")
-        .transformWithStateInPandas(Rolling(hours), "txn_id long, card_id long, event_us long, amount_cents long, cnt long, sum_cents long", "append", "None")
+        .transformWithStateInPandas(
+            Rolling(hours, expires), "txn_id long, card_id long, event_us long, amount_cents long, cnt long, sum_cents long", "append", "EventTime" if expires else "None"
+        )
     )
 
 

@@ -3,6 +3,7 @@
 import datetime
 import os
 
+import pandas as pd
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -179,3 +180,46 @@ def test_served_scores_equal_batch_scores(spark):
     want = {r.txn_id: r.score for r in serve.score(history.select("txn_id", *serve.SERVED), model, serve.SERVED).collect()}
     got = {r.txn_id: r.score for r in serve.serve_model(spark, SF).collect()}
     assert len(got) == len(want) and all(abs(got[i] - want[i]) < 1e-6 for i in want)
+
+
+def test_state_of_idle_cards_expires(spark, monkeypatch):
+    """A card that comes back after its trailing hours counts from none; its old buffer was cleared before."""
+    streams.with_rocksdb(spark)
+    slices = [[event(1, 1, 0), event(2, 2, 1)], [event(3, 2, 24 * 5)], [event(4, 2, 24 * 10)], [event(5, 1, 24 * 10 + 1), event(6, 2, 24 * 10 + 2)]]
+    path = raw_files(spark, "idle", slices)
+
+    class Told(streams.Rolling):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            held = len(list(self.buffer.get()))
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+            yield pd.DataFrame({"txn_id": [-1], "card_id": [key[0]], "event_us": [0], "amount_cents": [0], "cnt": [held if not self.buffer.exists() else -1], "sum_cents": [0]})
+
+    monkeypatch.setattr(streams, "Rolling", Told)
+    for expires in (False, True):
+        stream = transactions.stream_valid(spark, path).withWatermark("event_ts", "1 hour")
+        out = streams.drained(streams.rolling_stream(stream, 24, expires), "idle-out").collect()
+        assert {r.txn_id: r.cnt for r in out if r.txn_id > 0} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
+        cleared = [(r.card_id, r.cnt) for r in out if r.txn_id < 0]
+        assert ((1, 1) in cleared and all(n > 0 for _, n in cleared)) if expires else not cleared
+
+
+def test_labels_with_null_and_repeated_keys(spark):
+    rows = [(1, 7, 0, "a", 1), (1, 7, 0, "a", 1), (2, 7, 10 * HOUR_US, "a", 1), (3, None, 0, "a", 1), (4, 7, None, "a", 1), (5, 8, 0, "a", 1), (6, 7, 5 * HOUR_US, "a", 1)]
+    reports = spark.createDataFrame([(7, HOUR_US), (7, 6 * HOUR_US + 1), (7, 10 * HOUR_US), (None, HOUR_US), (7, None), (8, 6 * HOUR_US)], "card_id long, report_us long")
+    out = labels.attach_labels(frame(spark, rows), reports).collect()
+    assert sorted((r.txn_id, r.label_us) for r in out if r.label) == [(1, HOUR_US), (1, HOUR_US), (5, 6 * HOUR_US), (6, 6 * HOUR_US + 1)] and len(out) == 7
+
+
+def test_label_streams_equal_batch(spark):
+    """Over four files: rows older than the watermark less the horizon come out once, with the label of the batch."""
+    rows = [event(i, i % 4, i * 3) for i in range(80)]
+    path = raw_files(spark, "labels", [rows[20 * i : 20 * i + 20] for i in range(4)])
+    live = transactions.stream_valid(spark, path)
+    as_reports = lambda df: df.where("txn_id % 5 = 0").select(F.col("card_id"), F.col("event_us").alias("report_us"), F.col("event_ts").alias("report_ts"))
+    horizon = 30 * HOUR_US
+    got = streams.drained(labels.attach_labels_stream(live, as_reports(transactions.stream_valid(spark, path)), horizon, "10 hours"), "label-out")
+    batch = transactions.conform(spark.createDataFrame(rows, transactions.RAW))
+    want = labels.attach_labels(batch, as_reports(batch), horizon)
+    end = batch.where("txn_id % 5 = 0").agg(F.max("event_us")).first()[0] - 40 * HOUR_US
+    closed = {(r.txn_id, r.label_us) for r in want.where(F.col("event_us") < end).collect()}
+    assert sorted((r.txn_id, r.label_us or 0) for r in got.collect()) == sorted((t, u or 0) for t, u in closed) and closed
