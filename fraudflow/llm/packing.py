@@ -6,9 +6,9 @@ a bitset has a bit for each amount of free space that some open bin has, so the
 best fit is the lowest set bit at or above the piece's length. The number of
 open bins is fixed; when one too many is open, the fullest closes.
 
-Spark deals the pieces (a short row each, never the tokens) to as many tasks as
-their number asks for, longest first within a task, and each task packs its
-own. A task ends with at most ``open_bins`` bins that are not full.
+Spark deals the pieces (a short row each, never the tokens) evenly, whatever
+their ids, to as many tasks as their number asks for, longest first within a
+task, and each task packs its own. A task ends with at most ``open_bins`` bins that are not full.
 """
 
 from __future__ import annotations
@@ -247,7 +247,7 @@ def pack_documents(
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long"
     pieces = written(rows.mapInArrow(_tokenise(path or tokenizer_path(), size, end_id), schema), "pieces")
     tasks = -(-pieces.count() // PIECES_A_TASK) or 1
-    dealt = pieces.repartition(tasks, "id", "piece") if tasks > 1 else pieces.coalesce(1)
+    dealt = pieces.repartition(tasks) if tasks > 1 else pieces.coalesce(1)
     ordered = dealt.sortWithinPartitions(F.desc("length"), "id", "piece", "ids_crc32")
     out = ordered.mapInArrow(_pack(size, open_bins), f"{schema}, sequence_id long, offset long")
     return out.withColumnRenamed("id", key)

@@ -193,6 +193,14 @@ def test_packing_is_exact_gapless_and_tight(docs, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_pieces_of_one_id_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_A_TASK", 100)
+    rows = spark.createDataFrame([(None, "the same text")] * 400, "doc_id long, text string")
+    tasks = Counter(r.sequence_id >> 40 for r in packing.pack_documents(rows, size=64).collect())
+    assert sum(tasks.values()) == 400
+    assert len(tasks) == 4 and max(tasks.values()) <= 150
+
+
 def test_words_fall_back_to_the_whole_tokenizer():
     import pyarrow as pa
     from tokenizers import Tokenizer
