@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup(df: DataFrame, key: list[str] | str = "txn_id", order: list[str] | None = None) -> DataFrame:
-    """The first row of each key; ties go by all other columns, so the choice is fixed."""
+def dedup(df: DataFrame, key: list[str] | str = "txn_id", order: list[str] | None = None, last: bool = False) -> DataFrame:
+    """The first row of each key by ``order``, or the ``last``; ties go by all other columns, so the choice is fixed."""
     keys = [key] if isinstance(key, str) else key
     rest = [c for c in df.columns if c not in keys and c not in (order or [])]
-    w = Window.partitionBy(*keys).orderBy(*(order or []), *rest)
+    w = Window.partitionBy(*keys).orderBy(*(F.desc(c) if last else c for c in order or []), *rest)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 

@@ -2,11 +2,15 @@
 
 Per-card frames end before the current instant, so no transaction sees itself
 or one of the same instant. Frames with the same key and order are made in one
-select, hence with one shuffle and one sort.
+select, hence with one shuffle and one sort. A window partition is one task;
+``spread`` cuts cards with very many rows into time buckets, with what their
+frames reach before each bucket as a halo.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,6 +127,53 @@ def top_cards(df: DataFrame, k: int = 3) -> DataFrame:
     return daily.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def hot_cards(df: DataFrame, rows: int) -> DataFrame:
+    """Cards (card_id) with more than ``rows`` rows: those that one task should not hold."""
+    return df.groupBy("card_id").agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") > rows) & F.col("card_id").isNotNull()).select("card_id")
+
+
+def _bucket(size: int) -> Column:
+    return F.expr(f"(event_us - pmod(event_us, {size})) div {size}")
+
+
+def spread(df: DataFrame, hours: int, add: Callable[[DataFrame], DataFrame], bucket_hours: int | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """``add(df)`` with the cards in ``hot`` (all, if None) cut into time buckets.
+
+    ``add`` may make any frames of ``trailing`` up to ``hours``. Each row goes to
+    the bucket of its time, and as a halo to the next ones that its frames can
+    reach: once more at most where a bucket is as long as the frames, the
+    default. Halo rows fill frames and do not come out. What ``add`` partitions
+    by the card is partitioned by card and bucket, so the rows of a card are
+    spread over as many tasks as it has buckets, still in one shuffle.
+    """
+    reach, size = hours * HOUR_US, (bucket_hours or hours) * HOUR_US
+    own = _bucket(size)
+    inside = F.filter(F.sequence(F.lit(0), F.lit(-(-reach // size))), lambda k: (k == 0) | ((own + k) * size - F.col("event_us") <= reach))
+    if hot is None:
+        rows = df.withColumn("_hot", F.lit(True))
+    else:
+        rows = df.join(hot.select("card_id", F.lit(True).alias("_hot")), "card_id", "left").select(*df.columns, F.coalesce("_hot", F.lit(False)).alias("_hot"))
+    # a row without a time has no bucket, and keeps its one place
+    rows = rows.withColumn("_k", F.explode(F.when(F.col("_hot") & F.col("event_us").isNotNull(), inside).otherwise(F.array(F.lit(0)))))
+    rows = rows.withColumn("card_id", F.struct("card_id", F.when(F.col("_hot"), own + F.col("_k")).alias("bucket")))
+    return add(rows).where("_k = 0").withColumn("card_id", F.col("card_id.card_id")).drop("_k", "_hot")
+
+
+def spread_features(df: DataFrame, hot: DataFrame | None = None, hours: int = 168) -> DataFrame:
+    """``all_features`` with the cards in ``hot`` (all, if None) cut into time buckets.
+
+    The gap to a transaction before the halo comes from the last one of each
+    earlier bucket: one row for each bucket of a card.
+    """
+    size = hours * HOUR_US
+    made = spread(df, hours, all_features, hot=hot).withColumn("_bucket", _bucket(size))
+    cut = df if hot is None else df.join(hot, "card_id", "left_semi")
+    ends = cut.groupBy("card_id", _bucket(size).alias("_bucket")).agg(F.max("event_us").alias("_end"))
+    before = ends.withColumn("_end", F.lag("_end").over(Window.partitionBy("card_id").orderBy("_bucket"))).where("_end IS NOT NULL")
+    out = made.join(before, ["card_id", "_bucket"], "left").withColumn("gap_us", F.coalesce("gap_us", F.col("event_us") - F.col("_end")))
+    return out.drop("_bucket", "_end")
+
+
 def all_features(df: DataFrame) -> DataFrame:
     """What the model and the rule score use, with one shuffle."""
     return df.withColumns({**velocity_columns(), **amount_columns(), "gap_us": F.col("event_us") - F.lag("event_us").over(_by_time())})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,20 @@ from fraudflow.operators import store as S
 from fraudflow.plans import serve as P
 from fraudflow.plans import train as T
 from fraudflow.sources import transactions as I
+from fraudflow.streaming import joins as J
+from fraudflow.streaming import panes as N
 from fraudflow.streaming import streams as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ALL = ["txn_id", "card_id", "event_us", "event_date", "category", "amount_cents", "attr_k"]
+_TRAINING = ["txn_id", "amount_cents", "cnt_1h", "cnt_24h", "cnt_168h", "sum_168h", "avg_168h", "max_168h", "gap_us", "label"]
+_STREAMED = ["cnt_1h", "cnt_24h", "cnt_168h", "sum_168h", "avg_168h", "min_168h", "max_168h", "gap_us", "categories_168h", "avg_last_10", "is_first_in_category"]
+#: Dates that an upsert empties.
+_MOVED = (datetime.date(2024, 1, 5), datetime.date(2024, 1, 11))
+#: Dates of the training slice.
+_SLICE = ("2024-01-15", "2024-01-24")
+#: Rows that make a card hot: more than about half of the cards have.
+_HOT = 66
 _CARD = ["segment", "nation", "region", "acctbal_cents"]
 
 
@@ -62,9 +73,10 @@ def _store_append(s: SparkSession, d: str) -> DataFrame:
 
 
 def _store_upsert(s: SparkSession, d: str) -> DataFrame:
-    """Errors lose their amount, and every signup is added once more under a negative id."""
+    """Errors lose their amount, every signup is added once more under a negative id, and all of two dates move to a later one."""
     txn = _txn(s, d).select(*_ALL)
-    changed = txn.where("category = 'error'").withColumn("amount_cents", F.lit(0).cast("long"))
+    moved = F.when(F.col("event_date").isin(*_MOVED), F.date_add("event_date", 60)).otherwise(F.col("event_date"))
+    changed = txn.where((F.col("category") == "error") | F.col("event_date").isin(*_MOVED)).withColumn("amount_cents", F.when(F.col("category") == "error", 0).otherwise(F.col("amount_cents"))).withColumn("event_date", moved)
     added = txn.where("category = 'signup'").withColumn("txn_id", -F.col("txn_id") - 1)
     return S.upsert(changed.unionByName(added), _stored(s, d)).select(*_ALL)
 
@@ -88,6 +100,48 @@ def _store_compact(s: SparkSession, d: str) -> DataFrame:
     return S.read(s, table).select(*_ALL)
 
 
+def _spoiled(raw: DataFrame) -> DataFrame:
+    """Raw events of which many break a rule, some of them two."""
+    spoil = lambda every, c, bad: F.when(F.col("event_id") % every == 0, bad).otherwise(F.col(c))
+    return raw.withColumns({
+        "user_id": spoil(19, "user_id", F.lit(None).cast("long")), "ts": spoil(17, "ts", F.lit(None).cast("timestamp_ntz")),
+        "value": F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 11 == 0, -F.col("value")).otherwise(F.col("value")), "props": spoil(13, "props", F.lit("{broken")),
+    })
+
+
+def _dead_letters(s: SparkSession, d: str) -> DataFrame:
+    """What a stream accepts and what it rejects, from the two tables that its sink writes."""
+    X.with_rocksdb(s)
+    good, bad = I.split_valid(_spoiled(I.stream_raw(s, I.stream_path(d))))
+    taken, rejected = X.drained_with_rejected(X.with_rejected(X.dedup_stream(good).select("txn_id", "event_date", "amount_cents"), bad), "letters")
+    told = rejected.select(F.get_json_object("rejected", "$.event_id").cast("long").alias("event_id"), "reason", F.lit(None).cast("long").alias("amount_cents"))
+    return taken.select(F.col("txn_id").alias("event_id"), F.lit("ok").alias("reason"), "amount_cents").unionByName(told)
+
+
+def _asof_stream(s: SparkSession, d: str) -> DataFrame:
+    """Purchases with the card's latest view, from two streams of the same files."""
+    views = _stream(s, d).where("category = 'view'").select("card_id", F.col("event_us").alias("view_us"), "amount_cents")
+    bought = _stream(s, d).where("category = 'purchase'").select("txn_id", "card_id", "event_us")
+    return X.drained(J.asof_stream(bought, views, "card_id", "event_us", "view_us", ["view_us", "amount_cents"]), "asof").select("txn_id", "asof_view_us", "asof_amount_cents")
+
+
+def _alert_stream(s: SparkSession, d: str) -> DataFrame:
+    """Alerts of a stream by rule score that are in force when all is read."""
+    scored = N.features_stream(_stream(s, d)).withColumn("event_date", F.to_date(F.timestamp_micros("event_us"))).withColumn("score", rule_score())
+    return J.in_force(X.drained(J.alert_stream(scored).withColumnRenamed("event_date", "day"), "alerts").withColumnRenamed("day", "event_date"))
+
+
+def _training_from_store(s: SparkSession, d: str) -> DataFrame:
+    """A slice of the table that a stream has written by date."""
+    table = S.new_table(s, "history")
+    X.sink(_stream(s, d).select(*_ALL), table, S.new_path(s, "history-checkpoint")).awaitTermination()
+    return T.training_slice(s, table, *_SLICE).select(*_TRAINING)
+
+
+def _frames(df: DataFrame) -> DataFrame:
+    return R.distinct_categories(R.amount_vs_history(R.rolling_dispersion(R.rolling_amount(R.velocity(df)))))
+
+
 def _labelled(s: SparkSession, d: str) -> DataFrame:
     return T.purchases_with_labels(s, d).select("txn_id", "card_id", "event_us", "label", "label_us")
 
@@ -163,6 +217,11 @@ def queries() -> dict[str, Query]:
         "sliding": lambda s, d: R.sliding(_txn(s, d)).select(*tumble),
         "session": lambda s, d: R.session(_txn(s, d)).select(*tumble),
         "rolling_stream": lambda s, d: X.drained(X.rolling_stream(_stream(s, d)), "rolling").select("txn_id", "cnt", "sum_cents"),
+        "features_stream": lambda s, d: X.drained(N.features_stream(_stream(s, d)), "features").select("txn_id", *_STREAMED),
+        "spread_frames": _feature(lambda df: R.spread(df, 168, _frames), "cnt_1h", "cnt_24h", "cnt_168h", "sum_168h", "avg_168h", "min_168h", "max_168h", "std_168h", "amount_ratio", "amount_z", "categories_168h"),
+        "spread_hot": lambda s, d: R.spread_features(_txn(s, d), S.kept(R.hot_cards(_txn(s, d), _HOT), "hot")).select("txn_id", "cnt_1h", "cnt_24h", "cnt_168h", "sum_168h", "max_168h", "gap_us"),
+        "asof_stream": _asof_stream,
+        "dead_letters": _dead_letters,
         "top_cards": lambda s, d: R.top_cards(_txn(s, d)).select("event_date", "card_id", "sum_cents", "rank"),
         "store_append": _store_append,
         "store_stream": lambda s, d: X.drained(_stream(s, d).select(*_ALL), "store"),
@@ -173,7 +232,8 @@ def queries() -> dict[str, Query]:
         "label_delayed": _labelled,
         "label_stream": _labelled_stream,
         "label_maturity": lambda s, d: L.mature(_labelled(s, d)),
-        "training_set": lambda s, d: T.training_set(s, d).select("txn_id", "amount_cents", "cnt_1h", "cnt_24h", "cnt_168h", "sum_168h", "avg_168h", "max_168h", "gap_us", "label"),
+        "training_set": lambda s, d: T.training_set(s, d).select(*_TRAINING),
+        "training_from_store": _training_from_store,
         "temporal_split": lambda s, d: L.split(_labelled(s, d), T.T1_US, T.T2_US).select("txn_id", "part", "label"),
         "class_weights": lambda s, d: L.weights(L.split(_labelled(s, d), T.T1_US, T.T2_US).where("part = 'train'")),
         "fit_model": _fit_model,
@@ -183,6 +243,7 @@ def queries() -> dict[str, Query]:
         "score_stream": _model_scores_stream,
         "decide": lambda s, d: P.decide(_scores(s, d), 20, 60).select("txn_id", "score", "decision"),
         "alert_budget": lambda s, d: P.top_alerts(_scores(s, d)).select("event_date", "txn_id", "score", "rank"),
+        "alert_stream": _alert_stream,
         "serve_rules": P.serve_rules,
         "serve_model": P.serve_model,
     }
@@ -245,10 +306,15 @@ def oracle_sql() -> dict[str, str]:
         "sliding": _grouped("start", f"(SELECT *, (event_us // {6 * _H} - k) * {6 * _H} AS start FROM txn, range(4) AS s(k))", day),
         "session": f"SELECT card_id, min(event_us) AS start_us, max(event_us) + {2 * _H} AS end_us, count(*) AS cnt, CAST(sum(amount_cents) AS BIGINT) AS sum_cents FROM (SELECT *, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY card_id ORDER BY event_us, txn_id) AS g FROM (SELECT *, coalesce(event_us - lag(event_us) OVER (PARTITION BY card_id ORDER BY event_us, txn_id) >= {2 * _H}, true) AS new FROM txn)) GROUP BY card_id, g",
         "rolling_stream": f"SELECT txn_id, count(*) OVER w24 AS cnt, CAST(sum(amount_cents) OVER w24 AS BIGINT) AS sum_cents FROM txn {_WINDOWS}",
+        "features_stream": f"SELECT txn_id, count(*) OVER w1 AS cnt_1h, count(*) OVER w24 AS cnt_24h, count(*) OVER w7 AS cnt_168h, {_SUM} AS sum_168h, {_AVG} AS avg_168h, min(amount_cents) OVER w7 AS min_168h, max(amount_cents) OVER w7 AS max_168h, event_us - lag(event_us) OVER o AS gap_us, count(DISTINCT category) OVER w7 AS categories_168h, CAST(sum(amount_cents) OVER w10 AS DOUBLE) / nullif(count(*) OVER w10, 0) AS avg_last_10, row_number() OVER oc = 1 AS is_first_in_category FROM txn {_WINDOWS}, o AS (PARTITION BY card_id ORDER BY event_us, txn_id), oc AS (PARTITION BY card_id, category ORDER BY event_us, txn_id), w10 AS (PARTITION BY card_id ORDER BY event_us, txn_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)",
+        "spread_frames": f"SELECT txn_id, count(*) OVER w1 AS cnt_1h, count(*) OVER w24 AS cnt_24h, count(*) OVER w7 AS cnt_168h, {_SUM} AS sum_168h, {_AVG} AS avg_168h, min(amount_cents) OVER w7 AS min_168h, max(amount_cents) OVER w7 AS max_168h, round({_STD}, 6) AS std_168h, round(amount_cents / nullif({_AVG}, 0), 6) AS amount_ratio, round((amount_cents - {_AVG}) / nullif({_STD}, 0), 6) AS amount_z, count(DISTINCT category) OVER w7 AS categories_168h FROM txn {_WINDOWS}",
+        "spread_hot": f"SELECT txn_id, count(*) OVER w1 AS cnt_1h, count(*) OVER w24 AS cnt_24h, count(*) OVER w7 AS cnt_168h, {_SUM} AS sum_168h, max(amount_cents) OVER w7 AS max_168h, event_us - lag(event_us) OVER (PARTITION BY card_id ORDER BY event_us, txn_id) AS gap_us FROM txn {_WINDOWS}",
+        "asof_stream": f"SELECT p.txn_id, v.event_us AS asof_view_us, v.amount_cents AS asof_amount_cents FROM (SELECT * FROM txn WHERE category = 'purchase') p ASOF LEFT JOIN (SELECT * FROM txn WHERE category = 'view') v ON p.card_id = v.card_id AND p.event_us >= v.event_us WHERE (p.event_us // {_H} + 1) * {_H} <= (SELECT max(event_us) FROM txn WHERE category IN ('view', 'purchase')) // 1000 * 1000 - {48 * _H}",
+        "dead_letters": "SELECT event_id, CASE WHEN event_id IS NULL OR user_id IS NULL OR event_id % 19 = 0 THEN 'no key' WHEN ts IS NULL OR event_id % 17 = 0 THEN 'no time' WHEN value IS NULL OR event_id % 7 = 0 THEN 'no amount' WHEN event_id % 11 = 0 THEN 'negative amount' WHEN event_id % 13 = 0 THEN 'bad attributes' ELSE 'ok' END AS reason, CASE WHEN event_id % 19 != 0 AND event_id % 17 != 0 AND event_id % 7 != 0 AND event_id % 11 != 0 AND event_id % 13 != 0 THEN CAST(round(value * 100) AS BIGINT) END AS amount_cents FROM events",
         "top_cards": "SELECT event_date, card_id, sum_cents, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_date ORDER BY sum_cents DESC, card_id) AS r FROM (SELECT event_date, card_id, CAST(sum(amount_cents) AS BIGINT) AS sum_cents FROM txn GROUP BY ALL)) WHERE r <= 3",
         "store_append": f"SELECT {_COLUMNS} FROM txn",
         "store_stream": f"SELECT {_COLUMNS} FROM txn",
-        "store_upsert": "SELECT txn_id, card_id, event_us, event_date, category, CASE WHEN category = 'error' THEN 0 ELSE amount_cents END AS amount_cents, attr_k FROM txn UNION ALL SELECT -txn_id - 1, card_id, event_us, event_date, category, amount_cents, attr_k FROM txn WHERE category = 'signup'",
+        "store_upsert": "SELECT txn_id, card_id, event_us, CASE WHEN event_date IN ('2024-01-05', '2024-01-11') THEN CAST(event_date + 60 AS DATE) ELSE event_date END AS event_date, category, CASE WHEN category = 'error' THEN 0 ELSE amount_cents END AS amount_cents, attr_k FROM txn UNION ALL SELECT -txn_id - 1, card_id, event_us, event_date, category, amount_cents, attr_k FROM txn WHERE category = 'signup'",
         "store_pruned_read": f"SELECT {_COLUMNS} FROM txn WHERE event_date BETWEEN '2024-01-10' AND '2024-01-19'",
         "store_evolve": "SELECT txn_id, event_date, CASE WHEN event_date >= '2024-01-15' THEN category END AS category, amount_cents FROM txn",
         "store_compact": f"SELECT {_COLUMNS} FROM txn UNION ALL SELECT -txn_id - 1, card_id, event_us, event_date, category, amount_cents, attr_k FROM txn WHERE category = 'error'",
@@ -258,6 +324,7 @@ def oracle_sql() -> dict[str, str]:
         "label_stream": f"SELECT txn_id, card_id, event_us, label, label_us FROM known WHERE event_us < (SELECT least(max(event_us) FILTER (category = 'purchase'), max(event_us) FILTER (category = 'error')) FROM txn) // 1000 * 1000 - {2 * day + L.HORIZON_US}",
         "label_maturity": "SELECT txn_id, card_id, event_us, label, label_us FROM ripe",
         "training_set": "SELECT txn_id, amount_cents, cnt_1h, cnt_24h, cnt_168h, sum_168h, avg_168h, max_168h, gap_us, label FROM ripe",
+        "alert_stream": "SELECT event_date, txn_id, score FROM scores QUALIFY row_number() OVER (PARTITION BY event_date ORDER BY score DESC, txn_id) <= 10",
         "temporal_split": f"SELECT txn_id, {part} AS part, label FROM known",
         "class_weights": f"SELECT label, n, CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n) AS weight FROM (SELECT label, count(*) AS n FROM known WHERE {part} = 'train' GROUP BY label)",
         "evaluate": f"SELECT round(CAST(sum(n * (2 * tp - p)) AS DOUBLE) / nullif(2 * sum(p) * sum(n), 0), 9) AS roc_auc, round(sum(p * tp / CAST(tp + fp AS DOUBLE)) / nullif(sum(p), 0), 9) AS pr_auc, CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives FROM (SELECT *, sum(p) OVER d AS tp, sum(n) OVER d AS fp FROM ({by_score}) WINDOW d AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))",
@@ -266,4 +333,7 @@ def oracle_sql() -> dict[str, str]:
         "alert_budget": "SELECT event_date, txn_id, score, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_date ORDER BY score DESC, txn_id) AS r FROM scores) WHERE r <= 10",
         "serve_rules": f"SELECT txn_id, card_id, event_us, cnt_24h AS cnt, CAST(sum_24h AS BIGINT) AS sum_cents, segment, nation, score, {decided(20, 50)} FROM (SELECT txn_id, card_id, event_us, count(*) OVER w24 AS cnt_24h, sum(amount_cents) OVER w24 AS sum_24h, CAST(least(100, 10 * count(*) OVER w24) AS INT) AS score FROM txn {_WINDOWS}) LEFT JOIN cards USING (card_id)",
     }
-    return {k: f"{_BASE} {q}" for k, q in plain.items()} | {k: f"{_BASE}{_FEATURES}{_LABELS} {q}" for k, q in deep.items()}
+    # eight days before the slice and one after it are read
+    read = _BASE.replace("FROM events)", f"FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{_SLICE[0]}' - 8 AND DATE '{_SLICE[1]}' + 1)")
+    sliced = {"training_from_store": f"SELECT {', '.join(_TRAINING)} FROM ripe WHERE event_date BETWEEN '{_SLICE[0]}' AND '{_SLICE[1]}'"}
+    return {k: f"{base} {q}" for base, found in ((_BASE, plain), (f"{_BASE}{_FEATURES}{_LABELS}", deep), (f"{read}{_FEATURES}{_LABELS}", sliced)) for k, q in found.items()}

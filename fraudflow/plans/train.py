@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -9,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudflow.operators.features import all_features
-from fraudflow.operators.labels import HORIZON_US, attach_labels, mature, weights
-from fraudflow.operators.store import kept
+from fraudflow.operators.labels import CUTOFF_US, HORIZON_US, attach_labels, mature, weights
+from fraudflow.operators.store import Files, kept, read_range
 from fraudflow.sources.transactions import read_transactions
 
 T1_US, T2_US = 1_705_708_800_000_000, 1_706_140_800_000_000  # 2024-01-20, 2024-01-25
@@ -19,7 +22,11 @@ NUMBERS = ["amount_cents", "cnt_1h", "cnt_24h", "cnt_168h", "avg_168h", "max_168
 
 def purchases_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases with features as of each, and labels from later ``error`` reports."""
-    txn = read_transactions(spark, sf_dir)
+    return labelled(read_transactions(spark, sf_dir))
+
+
+def labelled(txn: DataFrame) -> DataFrame:
+    """The same of any transactions."""
     reports = txn.where("category = 'error'").select("card_id", F.col("event_us").alias("report_us"))
     return attach_labels(all_features(txn).where("category = 'purchase'"), reports, HORIZON_US)
 
@@ -29,6 +36,27 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mature(purchases_with_labels(spark, sf_dir))
 
 
+def training_slice(spark: SparkSession, table: str, first: str, last: str, cutoff_us: int = CUTOFF_US, warm_up_days: int = 8) -> DataFrame:
+    """The training set of the dates ``first`` to ``last`` from a stored table, also one that a stream has written.
+
+    Only folders of these dates are opened, of ``warm_up_days`` before, which the
+    frames need, and of the day after, where reports of the last purchases are.
+    A gap that is longer than the warm-up is null.
+    """
+    day = datetime.timedelta(days=1)
+    begin, end = (datetime.date.fromisoformat(d) for d in (first, last))
+    rows = read_range(spark, table, str(begin - warm_up_days * day), str(end + day))
+    inside = F.col("event_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return mature(labelled(rows).where(inside), cutoff_us)
+
+
+def run(spark: SparkSession, table: str, first: str, last: str, path: str, model_id: str, cutoff_us: int = CUTOFF_US, algo: str = "logistic", seed: int = 7) -> str:
+    """Trains on a slice of a stored table and stores the model with what it was made from."""
+    rows = kept(training_slice(spark, table, first, last, cutoff_us), "slice")
+    model = fit(rows, algo, seed)
+    return save(model, path, model_id, NUMBERS, cutoff_us=cutoff_us, seed=seed, algo=algo, table=table, first=first, last=last)
+
+
 def planted_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All transactions with a label that follows from their features: tests that training can learn."""
     label = (F.col("amount_cents") > 3 * F.col("avg_168h")) & (F.col("cnt_24h") >= 2)
@@ -67,16 +95,49 @@ def fit(train: DataFrame, algo: str = "logistic", seed: int = 7, columns: list[s
     return Pipeline(stages=[*encoder(columns, category), model]).fit(rows)
 
 
-def save(model: PipelineModel, path: str, model_id: str) -> str:
-    """Stores a fitted pipeline under its id."""
+META, CURRENT = "fraudflow.json", "current"
+
+
+def save(model: PipelineModel, path: str, model_id: str, columns: list[str] = NUMBERS, **made_from) -> str:
+    """Stores a fitted pipeline under its id, with its features and what it was made from: cutoff, seed and so on.
+
+    The description is written last, so a model that was saved in part has none.
+    """
+    spark = SparkSession.getActiveSession()
+    files = Files(spark, f"{path}/{model_id}")
+    files.delete(META)
     model.write().overwrite().save(f"{path}/{model_id}")
+    files.write(META, json.dumps({"model_id": model_id, "columns": columns, **made_from}))
     return f"{path}/{model_id}"
 
 
-def load(path: str, model_id: str) -> PipelineModel:
+def described(path: str, model_id: str) -> dict:
+    """What is known of a stored model."""
+    text = Files(SparkSession.getActiveSession(), f"{path}/{model_id}").read(META)
+    if text is None:
+        raise ValueError(f"no whole model {model_id} in {path}")
+    return json.loads(text)
+
+
+def load(path: str, model_id: str, columns: list[str] = NUMBERS) -> PipelineModel:
+    """A stored pipeline; refused if it was fitted on other features than ``columns``."""
+    wants = described(path, model_id)["columns"]
+    if wants != columns:
+        raise ValueError(f"model {model_id} takes {wants}, not {columns}")
     return PipelineModel.load(f"{path}/{model_id}")
 
 
+def promote(path: str, model_id: str) -> None:
+    """Makes a whole stored model the current one, at once for all who look."""
+    described(path, model_id)
+    Files(SparkSession.getActiveSession(), path).write(CURRENT, model_id)
+
+
+def current(path: str) -> str | None:
+    """The id of the current model."""
+    return Files(SparkSession.getActiveSession(), path).read(CURRENT)
+
+
 def _running(scored: DataFrame, score: str, label: str) -> DataFrame:
     """(s, p, n, tp, fp): positives and negatives of each score, and of all at or above it.
 
@@ -114,4 +175,4 @@ def sweep(scored: DataFrame, score: str = "score", label: str = "label") -> Data
     )
 
 
-__all__ = ["auc", "encoder", "fit", "load", "numbers", "planted_set", "purchases_with_labels", "save", "sweep", "training_set"]
+__all__ = ["auc", "encoder", "fit", "load", "labelled", "numbers", "planted_set", "promote", "purchases_with_labels", "run", "save", "sweep", "training_set", "training_slice"]

@@ -95,6 +95,11 @@ def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return conform(judged.where("reason IS NULL").drop("reason")), judged.where("reason IS NOT NULL")
 
 
-def stream_valid(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """The valid transactions of a stream of files."""
-    return split_valid(spark.readStream.schema(RAW).option("maxFilesPerTrigger", max_files).parquet(path))[0]
+def stream_raw(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+    """Raw events from files as they arrive."""
+    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def stream_valid(spark: SparkSession, path: str, max_files: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a stream of files, as ``split_valid``; a sink with ``rejected`` writes both."""
+    return split_valid(stream_raw(spark, path, max_files))

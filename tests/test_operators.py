@@ -12,7 +12,7 @@ from fraudflow.functions.columns import HOUR_US
 from fraudflow.operators import enrich, features, labels, store
 from fraudflow.plans import serve, train
 from fraudflow.sources import transactions
-from fraudflow.streaming import streams
+from fraudflow.streaming import panes, streams
 
 SCHEMA = "txn_id long, card_id long, event_us long, category string, amount_cents long"
 
@@ -134,7 +134,7 @@ def test_stream_over_several_batches_equals_batch(spark):
     slices = [rows[10 * i : 10 * i + 10] for i in range(5)]
     slices[2] = [*slices[2], rows[15], rows[22], event(99, 1, 47, -1.0), event(98, 1, 47, None)]
     path = raw_files(spark, "served", slices)
-    live = streams.drained(streams.rolling_stream(streams.dedup_stream(transactions.stream_valid(spark, path)), 168), "out")
+    live = streams.drained(streams.rolling_stream(streams.dedup_stream(transactions.stream_valid(spark, path)[0]), 168), "out")
     batch = transactions.conform(spark.createDataFrame(rows, transactions.RAW))
     want = features.rolling_amount(features.velocity(batch))
     got = {r.txn_id: (r.cnt, r.sum_cents) for r in live.collect()}
@@ -145,7 +145,7 @@ def test_stream_over_several_batches_equals_batch(spark):
 
 def test_late_rows_are_counted_exactly(spark):
     slices = [[event(1, 1, 0)], [event(2, 1, 24 * 10)], [event(3, 1, 24 * 20)], [event(4, 1, 24), event(5, 1, 25), event(6, 1, 24 * 21)]]
-    stream = streams.dedup_stream(transactions.stream_valid(spark, raw_files(spark, "late", slices)))
+    stream = streams.dedup_stream(transactions.stream_valid(spark, raw_files(spark, "late", slices))[0])
     query = streams.sink(stream, store.new_path(spark, "o"), store.new_path(spark, "k"))
     query.awaitTermination()
     stats = streams.progress_stats(query)
@@ -159,7 +159,7 @@ def test_restart_after_a_lost_commit(spark):
     def run(write):
         checkpoint = store.new_path(spark, "restart-checkpoint")
         for _ in range(2):
-            write(transactions.stream_valid(spark, path), checkpoint)
+            write(transactions.stream_valid(spark, path)[0], checkpoint)
             folder = checkpoint.removeprefix("file://") + "/commits"
             last = max(int(f) for f in os.listdir(folder) if f.isdigit())
             for f in (str(last), f".{last}.crc"):
@@ -173,33 +173,28 @@ def test_restart_after_a_lost_commit(spark):
     assert spark.read.parquet(table).count() == 4 and spark.read.parquet(control).count() == 5
 
 
-def test_served_scores_equal_batch_scores(spark):
-    streams.with_rocksdb(spark)
-    history = store.kept(train.planted_set(spark, SF), "history")
-    model = train.fit(history.where(history.event_us < train.T1_US), columns=serve.SERVED, category=None)
-    want = {r.txn_id: r.score for r in serve.score(history.select("txn_id", *serve.SERVED), model, serve.SERVED).collect()}
-    got = {r.txn_id: r.score for r in serve.serve_model(spark, SF).collect()}
-    assert len(got) == len(want) and all(abs(got[i] - want[i]) < 1e-6 for i in want)
-
-
 def test_state_of_idle_cards_expires(spark, monkeypatch):
-    """A card that comes back after its trailing hours counts from none; its old buffer was cleared before."""
+    """A card that comes back after its trailing hours counts from none; its old panes were dropped before, its last time was not."""
     streams.with_rocksdb(spark)
     slices = [[event(1, 1, 0), event(2, 2, 1)], [event(3, 2, 24 * 5)], [event(4, 2, 24 * 10)], [event(5, 1, 24 * 10 + 1), event(6, 2, 24 * 10 + 2)]]
     path = raw_files(spark, "idle", slices)
 
-    class Told(streams.Rolling):
+    class Told(panes.CardFeatures):
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            held = len(list(self.buffer.get()))
+            self._opened()
+            held = sum(t[0] for t in self.totals.values())
             yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
-            yield pd.DataFrame({"txn_id": [-1], "card_id": [key[0]], "event_us": [0], "amount_cents": [0], "cnt": [held if not self.buffer.exists() else -1], "sum_cents": [0]})
+            self._opened()
+            row = {"txn_id": -1, "card_id": key[0], "event_us": 0, "category": "", "amount_cents": 0} | {n: False if k == "boolean" else 0 for n, k in panes._columns(self.hours, self.last_n)}
+            yield pd.DataFrame([row | {"cnt_24h": held if not self.totals else -1}])
 
-    monkeypatch.setattr(streams, "Rolling", Told)
+    monkeypatch.setattr(panes, "CardFeatures", Told)
     for expires in (False, True):
-        stream = transactions.stream_valid(spark, path).withWatermark("event_ts", "1 hour")
-        out = streams.drained(streams.rolling_stream(stream, 24, expires), "idle-out").collect()
-        assert {r.txn_id: r.cnt for r in out if r.txn_id > 0} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
-        cleared = [(r.card_id, r.cnt) for r in out if r.txn_id < 0]
+        stream = transactions.stream_valid(spark, path)[0].withWatermark("event_ts", "1 hour")
+        out = streams.drained(panes.features_stream(stream, (24,), expires=expires), "idle-out").collect()
+        assert {r.txn_id: r.cnt_24h for r in out if r.txn_id > 0} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
+        assert {r.txn_id: r.gap_us and r.gap_us // HOUR_US for r in out if r.txn_id > 0} == {1: None, 2: None, 3: 119, 4: 120, 5: 241, 6: 2}
+        cleared = [(r.card_id, r.cnt_24h) for r in out if r.txn_id < 0]
         assert ((1, 1) in cleared and all(n > 0 for _, n in cleared)) if expires else not cleared
 
 
@@ -214,10 +209,10 @@ def test_label_streams_equal_batch(spark):
     """Over four files: rows older than the watermark less the horizon come out once, with the label of the batch."""
     rows = [event(i, i % 4, i * 3) for i in range(80)]
     path = raw_files(spark, "labels", [rows[20 * i : 20 * i + 20] for i in range(4)])
-    live = transactions.stream_valid(spark, path)
+    live = transactions.stream_valid(spark, path)[0]
     as_reports = lambda df: df.where("txn_id % 5 = 0").select(F.col("card_id"), F.col("event_us").alias("report_us"), F.col("event_ts").alias("report_ts"))
     horizon = 30 * HOUR_US
-    got = streams.drained(labels.attach_labels_stream(live, as_reports(transactions.stream_valid(spark, path)), horizon, "10 hours"), "label-out")
+    got = streams.drained(labels.attach_labels_stream(live, as_reports(transactions.stream_valid(spark, path)[0]), horizon, "10 hours"), "label-out")
     batch = transactions.conform(spark.createDataFrame(rows, transactions.RAW))
     want = labels.attach_labels(batch, as_reports(batch), horizon)
     end = batch.where("txn_id % 5 = 0").agg(F.max("event_us")).first()[0] - 40 * HOUR_US
