@@ -170,8 +170,9 @@ def spread_features(df: DataFrame, hot: DataFrame | None = None, hours: int = 16
     cut = df if hot is None else df.join(hot, "card_id", "left_semi")
     ends = cut.groupBy("card_id", _bucket(size).alias("_bucket")).agg(F.max("event_us").alias("_end"))
     before = ends.withColumn("_end", F.lag("_end").over(Window.partitionBy("card_id").orderBy("_bucket"))).where("_end IS NOT NULL")
-    out = made.join(before, ["card_id", "_bucket"], "left").withColumn("gap_us", F.coalesce("gap_us", F.col("event_us") - F.col("_end")))
-    return out.drop("_bucket", "_end")
+    before = before.select(F.col("card_id").alias("_card"), F.col("_bucket").alias("_at"), "_end")
+    out = made.join(before, F.col("card_id").eqNullSafe(F.col("_card")) & (F.col("_bucket") == F.col("_at")), "left")
+    return out.withColumn("gap_us", F.coalesce("gap_us", F.col("event_us") - F.col("_end"))).select(*df.columns, *(c for c in made.columns if c not in df.columns and c != "_bucket"))
 
 
 def all_features(df: DataFrame) -> DataFrame:

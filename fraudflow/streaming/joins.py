@@ -134,7 +134,10 @@ class TopK(StatefulProcessor):
                 held.append(row)
             out.append((*row, "add"))
         self.heap.update((json.dumps(best),))
-        yield pd.DataFrame({"event_date": [key[0]] * len(out), "txn_id": [-t for _, t, _ in out], "score": [s for s, _, _ in out], "action": [a for *_, a in out], "turn": range(len(out))})
+        if out:
+            yield pd.DataFrame({"event_date": [key[0]] * len(out), "txn_id": [-t for _, t, _ in out], "score": [s for s, _, _ in out], "action": [a for *_, a in out], "turn": range(len(out))})
+        else:
+            yield pd.DataFrame()
 
     def close(self) -> None:
         pass
