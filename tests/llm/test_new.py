@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fraudflow.llm import fill_middle, filter_audit, language_id
+from fraudflow.llm import fill_middle, filter_audit, html_text, language_id
 
 
 def audited(rows, labels):
@@ -226,3 +226,33 @@ def test_languages_of_held_out_rows(spark):
     assert {r.lang_pred for r in language_id.identified(table, None).collect()} == {"und"}
     digits = spark.createDataFrame([(i, "12 34", "en") for i in range(9)], "doc_id long, text string, lang string")
     assert language_id.fit(digits) is None
+
+
+def test_extraction_from_frames_of_something_else():
+    story = [f"Paragraph {i} of the story, which is long enough to be one." + " More of it." * 20 for i in range(6)]
+    plain = "".join(f"<p>{x}</p>" for x in story)
+    wanted = "\n".join(story)
+    menu = '<ul class="menu"><li><a href=x>One</a><li><a href=y>Two</a></ul>'
+    for page in (
+        f'<body><form id="aspnetForm">{menu}{plain}<footer>foot</footer></form></body>', f"<body><nav><a href=x>One</a> <a href=y>Two</a>{plain}</body>", f'<div class="social">{plain}</div>',
+        f'<div id="search">{plain}</div>', f'<section class="legal-content">{plain}</section>', f'<div class="related"><div class="ad">Buy</div>{plain}</div>', f"<div><nav>{menu}</div><div>{plain}</div>",
+        f'<form><div class="login"><div class="related">{plain}</div><p>Your name</p></div></form>'.replace("<p>Your name</p>", ""),
+    ):
+        assert html_text.main_text(page) == wanted
+    # long comments, notices and adverts are no frame, nor is anything where enough text is outside
+    other = "".join(f"<p>{x}</p>" for x in reversed(story))
+    for mark in ('class="comments"', 'id="cookie-notice"', 'class="ads"', "hidden"):
+        assert html_text.main_text(f"<p>Short news of today.</p><div {mark}>{other * 3}</div>") == "Short news of today."
+    assert html_text.main_text(f'<div class="related">{other}</div>{plain}') == wanted
+    assert html_text.main_text(f"<footer>{plain}</footer>") == "" == html_text.main_text("<nav>a</nav>")
+
+
+def test_extraction_of_headings_headers_and_inline_form_parts():
+    plain = "<p>" + "Some words of the story. " * 30 + "</p>"
+    text = ("Some words of the story. " * 30).strip()
+    assert html_text.main_text(f"<body><header>Site</header><article><header><h1>Title</h1></header>{plain}</article></body>") == f"Title\n{text}"
+    assert html_text.main_text(f'<h2 id="related">Related work</h2>{plain}<h2 id="legal">Legal</h2>{plain}') == f"Related work\n{text}\nLegal\n{text}"
+    assert html_text.main_text(f'{plain}<h2 class="comments">Nine comments</h2>') == text
+    assert html_text.main_text("<p>A line <button type=x>Copy</button>with a <label for=a>mark</label>part and <span hidden>nothing</span>extra<wbr>ordinary ends</p>") == "A line with a part and extraordinary ends"
+    # an end without a beginning, a button that never ends, items without ends
+    assert html_text.main_text(f"</div></nav>{plain}<p>x <button>y</p>{plain}<ul><li>one<li class=ad>two<li>three</ul>").split("\n") == [text, "x", text, "one", "three"]
