@@ -1,9 +1,11 @@
 """The corpus pipeline: five stages over ``documents``, each written before the next reads it.
 
 Toxicity, near duplicates, benchmark decontamination, personal data, packing.
-All but the last stage return the columns of ``documents``. Each decision
-depends on a row's own text and the tables, so null keys, repeated rows, empty
-tables and extra columns pass through as the operators define it.
+All but the last stage return the columns of ``documents``, and more if there are
+more, whatever their names. Each decision depends on a row's own text and the
+tables. A null text is empty; null ids name nothing, so such rows are told apart
+by their texts; an empty table stays empty; texts of any length are read whole.
+Rows that repeat an id and a text become one at the second stage.
 """
 
 from __future__ import annotations
@@ -37,9 +39,10 @@ def _kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
     The names are written first, so Spark knows their size when it plans the join:
     it broadcasts a small table and shuffles for a large one.
     """
-    gone = written(gone.select(F.col("name.id").alias("_gone"), F.col("name.k1").alias("_gone1"), F.col("name.k2").alias("_gone2")).distinct(), "gone")
-    k1, k2 = text_keys(F.coalesce("text", F.lit("")))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (k1 == F.col("_gone1")) & (k2 == F.col("_gone2")), "left_anti")
+    gone = written(gone.select(F.col("name.id").alias("id"), F.col("name.k1").alias("k1"), F.col("name.k2").alias("k2")).distinct(), "gone")
+    k1, k2 = text_keys(F.coalesce(docs["text"], F.lit("")))
+    # columns of their frames: docs may have columns of these names
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]) & (k1 == gone["k1"]) & (k2 == gone["k2"]), "left_anti")
 
 
 def _beside(docs: DataFrame) -> DataFrame:
@@ -56,16 +59,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id (and text keys) of each class; rows that repeat it count as one."""
+    """The document with the least id (and text keys) of each class; of rows that repeat id and text the least by all columns stays."""
     ship_package(spark)
     classes = near_duplicates(_named(docs), key="name")
     kept = _kept(docs, classes.where("name != class_id"))
-    hashes = dict(zip(("_k1", "_k2"), text_keys(F.coalesce("text", F.lit(""))), strict=True))
-    marked = kept.withColumns(hashes)
-    again = written(marked.groupBy("doc_id", *hashes).count().where("count > 1"), "again")
+    k1, k2 = text_keys(F.coalesce("text", F.lit("")))
+    rows = kept.select(F.struct(*kept.columns).alias("row"), F.struct("doc_id", k1, k2).alias("named"))
+    again = written(rows.groupBy("named").count().where("count > 1"), "again")
     if again.isEmpty():
         return kept
-    return marked.dropDuplicates(["doc_id", *hashes]).drop(*hashes)
+    return rows.groupBy("named").agg(F.min("row").alias("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
