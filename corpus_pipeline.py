@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudflow.llm.common import read_table, scratch_path, text_keys, written
-from fraudflow.llm.decontaminate import contamination
+from fraudflow.llm.decontaminate import BROADCAST_BYTES, contamination
 from fraudflow.llm.near_dedup import near_duplicates
 from fraudflow.llm.packing import pack_documents
 from fraudflow.llm.pii import pseudonyms
@@ -36,10 +36,13 @@ def _named(docs: DataFrame) -> DataFrame:
 def _kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` but those whose id and text are named in ``gone`` (name).
 
-    The names are written first, so Spark knows their size when it plans the join:
-    it broadcasts a small table and shuffles for a large one.
+    The names are written first. They are broadcast below ``BROADCAST_BYTES``, so
+    texts stay where they are; beyond it Spark shuffles both sides.
     """
     gone = written(gone.select(F.col("name.id").alias("id"), F.col("name.k1").alias("k1"), F.col("name.k2").alias("k2")).distinct(), "gone")
+    size = F.sum(F.coalesce(F.octet_length(F.col("id").cast("string")), F.lit(0)) + 32)
+    if (gone.agg(size.alias("bytes")).first().bytes or 0) <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
     k1, k2 = text_keys(F.coalesce(docs["text"], F.lit("")))
     # columns of their frames: docs may have columns of these names
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["id"]) & (k1 == gone["k1"]) & (k2 == gone["k2"]), "left_anti")
@@ -63,11 +66,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     classes = near_duplicates(_named(docs), key="name")
     kept = _kept(docs, classes.where("name != class_id"))
-    k1, k2 = text_keys(F.coalesce("text", F.lit("")))
-    rows = kept.select(F.struct(*kept.columns).alias("row"), F.struct("doc_id", k1, k2).alias("named"))
-    again = written(rows.groupBy("named").count().where("count > 1"), "again")
+    # rows of one name stay or go together, so the names of all rows tell whether any repeats; no text is moved for it
+    again = _named(docs).groupBy("name").count().where("count > 1")
     if again.isEmpty():
         return kept
+    k1, k2 = text_keys(F.coalesce("text", F.lit("")))
+    rows = kept.select(F.struct(*kept.columns).alias("row"), F.struct("doc_id", k1, k2).alias("named"))
     return rows.groupBy("named").agg(F.min("row").alias("row")).select("row.*")
 
 
