@@ -59,8 +59,9 @@ def discard(*tables: DataFrame) -> None:
 
 
 def text_keys(text: Column) -> list[Column]:
-    """Two independent 64-bit hashes that together identify a text."""
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
+    """Two halves of 128 bits of its SHA-256 digest, which identify a text."""
+    digest = F.sha2(text, 256)
+    return [F.conv(F.substring(digest, at, 16), 16, -10).cast("long").alias(name) for name, at in (("k1", 1), ("k2", 17))]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

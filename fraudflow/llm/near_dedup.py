@@ -50,7 +50,6 @@ LONG_BANDS, LONG_ROWS = 56, 7
 #: Logarithm of the width of a length class.
 GRID = 0.02
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BYTES = 5
 
 
 def _nth(i: int) -> np.uint64:
@@ -138,16 +137,16 @@ def _signatures(bands: int, rows: int):
 
 
 def _sets(batches_):
-    """Sorted 40-bit ids of the shingles of a text, their number and its long bands; the same shingle again has another id."""
+    """Sorted 64-bit ids of the shingles of a text, their number and its long bands; the same shingle again has another id."""
     for batch in batches(batches_, SLICE, "text"):
         own, hashes = shingles(*word_hashes(*utf8(batch["text"])))
         own, hashes, weight = weighted(own, hashes)
         bands = band_hashes(signatures(own, hashes, weight, batch.num_rows, LONG_BANDS * LONG_ROWS), LONG_BANDS, LONG_ROWS).view(np.int64)
         again = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
         own = np.repeat(own, weight)
-        ids = mix(np.repeat(hashes, weight) + again.astype(np.uint64) * _STEP) >> np.uint64(64 - 8 * _BYTES)
+        ids = mix(np.repeat(hashes, weight) + again.astype(np.uint64) * _STEP)
         order = np.lexsort((ids, own))
-        packed = np.ascontiguousarray(ids[order]).view(np.uint8).reshape(-1, 8)[:, :_BYTES]
+        packed = ids[order]
         ends = np.searchsorted(own[order], np.arange(batch.num_rows + 1))
         yield pa.RecordBatch.from_arrays(
             [batch["k1"], batch["k2"], pa.array([packed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()), pa.array(np.diff(ends)), pa.array(list(bands), pa.list_(pa.int64()))],
@@ -157,9 +156,7 @@ def _sets(batches_):
 
 def unpacked(ids: bytes) -> np.ndarray:
     """The ids of a packed set."""
-    own = np.zeros((len(ids) // _BYTES, 8), np.uint8)
-    own[:, :_BYTES] = np.frombuffer(ids, np.uint8).reshape(-1, _BYTES)
-    return own.reshape(-1).view(np.int64)
+    return np.frombuffer(ids, np.int64)
 
 
 def overlap(a: bytes, b: bytes) -> int:
@@ -183,7 +180,7 @@ def _linked(similarity: float):
             for a, b in zip(batch["ids_a"], batch["ids_b"], strict=True):
                 x, y = a.as_py(), b.as_py()
                 common = overlap(x, y)
-                keep.append(common >= similarity * ((len(x) + len(y)) // _BYTES - common) - 1e-9)
+                keep.append(common >= similarity * ((len(x) + len(y)) // 8 - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return work

@@ -39,18 +39,10 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def copies(rows: DataFrame) -> DataFrame:
-    """For each different text, how many rows have it and the least id of them."""
-    return rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("first"))
-
-
-def first_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """One row (or identical ones) for each different text, joined with ``groups``.
-
-    ``first`` is the least id, null if all are. Put as an order, the condition
-    is no join key, so this join has the keys of ``with_spans`` and the texts are
-    shuffled once for both.
-    """
-    return rows.join(groups, ["k1", "k2"]).where(F.coalesce(F.col("id") <= F.col("first"), F.col("first").isNull()))
+    """For each different text how many rows have it (``c``), the least id of them and how many have that too (``again``); written."""
+    ids = rows.groupBy("k1", "k2", "id").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.struct(F.col("id").isNull(), F.col("id").alias("first"), F.col("n").alias("again"))).alias("least")
+    return written(ids.groupBy("k1", "k2").agg(F.sum("n").alias("c"), least).select("k1", "k2", "c", "least.first", "least.again"), "copies")
 
 
 def cuts_of(batch: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,9 +124,9 @@ def kinds(segments_: DataFrame) -> DataFrame:
 
 
 def mixed(kinds_: DataFrame) -> DataFrame:
-    """The first segment of each kind where a minimiser has several, with the number of the windows of all (``windows``)."""
-    groups = kinds_.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("first.n").cast("long")).alias("windows")).where("kinds > 1").select("m", "windows")
-    return kinds_.join(groups, "m").select("m", "windows", "first.*")
+    """The first segment of each kind where a minimiser has several, with the number of these (``kinds``) and of their windows."""
+    groups = kinds_.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("first.n").cast("long")).alias("windows")).where("kinds > 1")
+    return kinds_.join(groups, "m").select("m", "kinds", "windows", "first.*")
 
 
 def whole_spans(segments_: DataFrame, kinds_: DataFrame, window: int) -> DataFrame:
@@ -144,10 +136,17 @@ def whole_spans(segments_: DataFrame, kinds_: DataFrame, window: int) -> DataFra
 
 
 def cut_rows(rows: DataFrame, groups: DataFrame, listed: DataFrame) -> DataFrame:
-    """Texts that hold the listed segments, with the list of them: never more than the text has places."""
+    """One row for each different text that holds listed segments, with the list of them: never more than the text has places.
+
+    ``first`` is the least id, null if all are. Put as an order, the condition
+    is no join key, so this join has the keys of ``with_spans`` and the texts are
+    shuffled once for both. Rows that repeat id and text become one where there are any.
+    """
     lists = listed.groupBy("k1", "k2").agg(F.collect_list(F.struct("m", "pos", "n", "place")).alias("cuts"))
     cuts = lists.join(groups, ["k1", "k2"]).select("k1", "k2", "first", "cuts")
-    return first_rows(rows, cuts).select("text", "k1", "k2", "cuts")
+    found = rows.join(cuts, ["k1", "k2"]).where(F.coalesce(F.col("id") <= F.col("first"), F.col("first").isNull()))
+    found = found.select("text", "k1", "k2", "cuts")
+    return found if groups.where("again > 1").isEmpty() else found.dropDuplicates(["k1", "k2"])
 
 
 def runs(spans: DataFrame) -> DataFrame:

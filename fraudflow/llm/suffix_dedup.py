@@ -30,8 +30,8 @@ from .hashing import BYTE_WORDS, powers, prefix, range_hash
 SLICE = 1 << 20
 #: Suffixes that are sorted at once in a task, and bytes that hold them (besides one open group).
 BLOCK, BLOCK_BYTES = 200_000, 4 << 20
-#: Windows of a group that one task looks into, some places at a time; a larger group is cut anew.
-GROUP = 2_000_000
+#: Windows of a group that one task looks into, some places at a time, and bytes of its segments; a larger group is cut anew.
+GROUP, GROUP_BYTES = 2_000_000, 8 << 20
 _CUT = "m long, k1 long, k2 long, pos long, place int, text binary"
 _FOUND = "k1 long, k2 long, pos long, end long"
 
@@ -275,9 +275,10 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
         spans = whole if spans is None else spans.unionByName(whole)
         if size == window:  # a group is one window: what is mixed here differs
             break
-        few = mixed.where(F.col("windows") <= GROUP)
+        fits = (F.col("windows") <= GROUP) & (F.col("windows") + F.col("kinds") * (window - 1) <= GROUP_BYTES)
+        few = mixed.where(fits)
         small = few if small is None else small.unionByName(few)
-        large = mixed.where(F.col("windows") > GROUP)
+        large = mixed.where(~fits)
         if large.isEmpty():
             break
         source = repeats.cut_rows(rows, groups, large)

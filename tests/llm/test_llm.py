@@ -9,8 +9,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
-from fraudflow.llm import debruijn_dedup, decontaminate, html_text, near_dedup, packing, pii, quality, registry, suffix_dedup, toxicity, warc
+from fraudflow.llm import common, debruijn_dedup, decontaminate, html_text, near_dedup, packing, pii, quality, registry, repeats, suffix_dedup, toxicity, warc
 
 SQL = registry.oracle_sql()
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,6 +71,37 @@ def test_suffix_dedup_equals_brute_force(spark, docs, empty, group, monkeypatch)
     assert suffix_dedup.remove_repeated_bytes(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [1_000, 200])
+def test_suffix_dedup_bounds_groups_by_bytes(spark, docs, most, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", most)
+    want = sorted(hashlib.sha256(bytes(k)).hexdigest() for k in brute([r.text for r in docs.collect()], lambda t: list(t.encode()), 200))
+    assert sorted(r.kept_sha256 for r in suffix_dedup.remove_repeated_bytes(docs).collect()) == want
+
+
+def test_copies_without_ids_are_cut_once(spark):
+    shared, rng = "".join(chr(97 + i * i % 23) + str(i) for i in range(150)), np.random.default_rng(3)
+    own = ["".join(map(chr, rng.integers(97, 123, 300))) for _ in range(2)]
+    rows = [(None, own[0] + shared)] * 1000 + [(7, own[1] + shared)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = repeats.keyed(docs, "doc_id", "text")
+    groups = repeats.copies(keyed)
+    assert sorted((r.c, r.first, r.again) for r in groups.collect()) == [(3, 7, 3), (1000, None, 1000)]
+    met, _ = repeats.met(keyed.select("text", "k1", "k2").mapInArrow(suffix_dedup._segments(200, 40), repeats.SEGMENT))
+    listed = repeats.mixed(repeats.kinds(met))
+    assert repeats.cut_rows(keyed, groups, listed).count() == listed.select("k1", "k2").distinct().count() == 2
+    assert repeats.cut_rows(keyed, groups, listed).mapInArrow(suffix_dedup._cut(200), suffix_dedup._CUT).count() == listed.count()
+    got = suffix_dedup.remove_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed").distinct().collect()
+    assert all(r.n_bytes == r.n_removed for r in got) and len(got) == 2
+
+
+def test_text_keys_are_the_digest(spark):
+    texts = ["", "a", "\u03c3\u03c2", "a" * 5000]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", *common.text_keys(F.col("text"))).collect()
+    for r in got:
+        digest = hashlib.sha256(r.text.encode()).digest()[:16]
+        assert (r.k1, r.k2) == tuple(int.from_bytes(digest[i : i + 8], "big", signed=True) for i in (0, 8))
+
+
 def test_suffix_blocks_of_many_short_near_copies(monkeypatch):
     import pyarrow as pa
 
