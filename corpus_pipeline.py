@@ -23,6 +23,9 @@ from fraudflow.llm.pii import pseudonyms
 from fraudflow.llm.toxicity import fit, scored
 from fraudflow.session import ship_package
 
+#: Key of the pseudonyms where the session sets none: published, so good for made-up tables only.
+OPEN_KEY = "made-up tables"
+
 #: SQL cannot express compression distances, signatures, Feistel networks or tokenizers: the stages are tested against brute force.
 ORACLE_SQL = None
 
@@ -85,7 +88,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal data; their length is counted again."""
     ship_package(spark)
-    done = pseudonyms(_beside(docs), key="row")
+    done = pseudonyms(_beside(docs), key="row", secret_key=spark.conf.get("spark.fraudflow.pii.key", OPEN_KEY))
     text = F.col("new_text")
     values = {"text": text, "n_chars": F.length(text).cast("long")}
     return done.select(*(values.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns))
