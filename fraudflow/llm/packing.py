@@ -31,14 +31,11 @@ CACHED = 600_000
 PIECES_A_TASK = 50_000
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json", folder: str = "/opt/tokenizers") -> str:
-    """The place of a public vocabulary file, asked of the folder's own module."""
-    import importlib
-
-    try:
-        return importlib.import_module("public_tokenizers").path(name)
-    except ModuleNotFoundError:
-        return f"{folder}/{name}"
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public vocabulary file, asked of the module that holds them; another file is passed by its path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _byte_classes() -> np.ndarray:

@@ -2,14 +2,16 @@
 
 Method: a keyed Feistel network permutes the digits of a number within its
 format. Validated numbers keep their shape and stay valid: a card number keeps
-its length, its Luhn check and its grouping; an IPv4 address stays an address;
-a phone number keeps its country and area code and its signs; a national identity number
+its length, its Luhn check and its grouping; an account number (IBAN) keeps its
+country, the kinds of its characters, its grouping and its check digits' validity; an
+IPv4 address stays an address, an IPv6 address keeps its first group; a phone
+number keeps its country and area code and its signs; a national identity number
 keeps its grouping and validity rules; a date stays a date in the same
 notation. Equal values get equal pseudonyms in all documents, other values
 other ones (a permutation has no collisions), so links between documents stay.
 The local part of an e-mail address becomes letters from a keyed hash, its
 digits are permuted; a secret is replaced by keyed hexadecimal digits of its
-length.
+length, a service's token behind its prefix by keyed characters of the same kinds.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import bisect
 import datetime
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable
 
@@ -28,6 +31,10 @@ from pyspark.sql import functions as F
 from .common import batches, read_table
 
 SLICE = 2 << 20
+#: The session's setting that holds the key.
+KEY_SETTING = "spark.fraudflow.pii.key"
+#: Published, so good for made-up tables only.
+OPEN_KEY = "made-up tables"
 ROUNDS = 8
 
 
@@ -107,6 +114,48 @@ def ipv4(found: str, key: bytes) -> str | None:
     return ".".join(map(str, new.to_bytes(4)))
 
 
+def ipv6(found: str, key: bytes) -> str | None:
+    """Public, local and link-local addresses: all but the first group is permuted and written in full; others stay."""
+    try:
+        value = int(ipaddress.IPv6Address(found))
+    except ValueError:
+        return None
+    first, rest = divmod(value, 1 << 112)
+    if not (first >> 13 == 1 or first >> 9 == 0b1111110 or first >> 6 == 0b1111111010):  # 2000::/3, fc00::/7, fe80::/10
+        return None
+    value = first << 112 | feistel(rest, 1 << 112, key, f"ipv6{first}")
+    new = ":".join(f"{value >> 16 * i & 0xFFFF:x}" for i in range(7, -1, -1))
+    return new.upper() if found.upper() == found and found.lower() != found else new
+
+
+def iban(found: str, key: bytes) -> str | None:
+    """A valid account number: the part behind the check digits is permuted within its kinds, the check digits follow.
+
+    What stands behind it, words in capitals or other numbers, is left off.
+    """
+    while True:
+        plain = found.replace(" ", "")
+        if 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+            break
+        found = found.rpartition(" ")[0]
+        if not found:
+            return None
+    value, size = 0, 1
+    for c in plain[4:]:
+        base = 10 if c.isdigit() else 26
+        value, size = value * base + int(c, 36) - (0 if base == 10 else 10), size * base
+    kinds = "".join("9" if c.isdigit() else "A" for c in plain[4:])
+    value = feistel(value, size, key, f"iban{plain[:2]}{kinds}")
+    body = []
+    for k in reversed(kinds):
+        value, c = divmod(value, 10 if k == "9" else 26)
+        body.append("0123456789"[c] if k == "9" else _LETTERS[c].upper())
+    body = "".join(reversed(body))
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{plain[:2]}00")) % 97
+    new = iter(f"{plain[:2]}{check:02d}{body}")
+    return "".join(c if c == " " else next(new) for c in found)
+
+
 #: Numbers of the first group that no identity number has (fixed values).
 _NO_AREA = {0, 666}
 
@@ -131,7 +180,10 @@ _LATE = [d for d in range(_DAYS) if datetime.date.fromordinal(d + _FIRST).day >
 
 
 def date(found: str, key: bytes) -> str | None:
-    """Dates of 1900 to 2099 as yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy or, if the day says so, mm/dd/yyyy."""
+    """Dates of 1900 to 2099 as yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy or, if the day says so, mm/dd/yyyy.
+
+    Where a day or month has one digit, the new ones have no leading zeros either.
+    """
     sign = next(c for c in found if not c.isdigit())
     parts = found.split(sign)
     order = [0, 1, 2] if len(parts[0]) == 4 else [2, 1, 0]
@@ -146,7 +198,8 @@ def date(found: str, key: bytes) -> str | None:
     # one permutation for all notations, of days up to 12 and of days over 12 among themselves: dd/mm and mm/dd stay what they are
     days = _EARLY if datetime.date.fromordinal(day + _FIRST).day <= 12 else _LATE
     new = datetime.date.fromordinal(days[feistel(bisect.bisect_left(days, day), len(days), key, "date")] + _FIRST)
-    values = dict(zip(order, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"), strict=True))
+    width = min(len(p) for p in parts)
+    values = dict(zip(order, (f"{new.year:04d}", f"{new.month:0{width}d}", f"{new.day:0{width}d}"), strict=True))
     return sign.join(values[i] for i in range(3))
 
 
@@ -166,8 +219,24 @@ def email(found: str, key: bytes) -> str:
     return f"{_letters(found.lower(), max(10, len(local)), key)}@{domain}"
 
 
+#: Beginnings of tokens by which services mark them (fixed values).
+_MARKS = r"(?:sk|pk|rk)_(?:live|test)_(?=[0-9A-Za-z]{16})|gh[opsur]_(?=[0-9A-Za-z]{36})|A[KS]IA(?=[0-9A-Z]{16}(?![0-9A-Za-z]))|xox[abeprs]-"
+_MARK = re.compile(_MARKS)
+
+
 def secret(found: str, key: bytes) -> str:
-    """As many keyed hexadecimal digits, in the same case."""
+    """As many keyed hexadecimal digits, in the same case; behind a mark, keyed digits, capitals and small letters for such."""
+    mark = _MARK.match(found)
+    if mark:
+        stream = hashlib.shake_256(key + f"token|{found}".encode()).digest(2 * len(found))
+        out = list(found)
+        for i in range(mark.end(), len(found)):
+            n = stream[2 * i] << 8 | stream[2 * i + 1]
+            if found[i].isdigit():
+                out[i] = "0123456789"[n % 10]
+            elif found[i].isalpha():
+                out[i] = (_LETTERS if found[i].islower() else _LETTERS.upper())[n % 26]
+        return "".join(out)
     out, i = "", 0
     while len(out) < len(found):
         out += hmac.new(key, f"secret|{i}|{found}".encode(), hashlib.sha256).hexdigest()
@@ -179,18 +248,20 @@ def secret(found: str, key: bytes) -> str:
 #: Kinds in the order in which they are looked for; what one has found is not looked at again.
 KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}", email),
-    ("secret", r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])", secret),
+    ("secret", rf"(?<![0-9A-Za-z])(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}|(?:(?:{_MARKS})[0-9A-Za-z]{{16,255}}|xox[abeprs]-[0-9A-Za-z-]{{16,255}}))(?![0-9A-Za-z])", secret),
+    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])", iban),
+    ("ipv6", r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,7}(?::[0-9A-Fa-f]{1,4}){1,6})(?!\w|:[0-9A-Fa-f]|\.\d)", ipv6),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", ipv4),
-    ("date", r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)", date),
+    ("date", r"(?<![\d/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)", date),
     ("identity", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", identity),
-    ("phone", r"\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?P<sep>[ .-]?)\d{2,4}(?:(?P=sep)\d{2,4}){1,3}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[-.]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", phone),
-    ("card", r"(?<![\w.-])(?:\d{4}[ -]){3}\d{1,7}(?![\w-])|(?<![\w.-])\d{4}[ -]\d{6}[ -]\d{5}(?![\w-])|(?<![\w.])\d{13,19}(?!\w)", card),
+    ("phone", r"\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?P<sep>[ .-]?)\d{2,4}(?:(?P=sep)\d{2,8}){1,3}(?!\d)|(?<![\w.-])1(?P<sign>[ .-])[2-9]\d\d(?P=sign)\d{3}(?P=sign)\d{4}(?![\w-])|(?<![\d(])\(\d{3}\) ?\d{3}[-.]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])", phone),
+    ("card", r"(?<![\w.-])(?:\d{4}[ .-]){3}\d{1,7}(?![\w-]|\.\d)|(?<![\w.-])\d{4}[ .-]\d{6}[ .-]\d{5}(?![\w-]|\.\d)|(?<![\w.])\d{13,19}(?!\w)", card),
 ]
 _ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS), re.ASCII)
 _WORK = {name: work for name, _, work in KINDS}
 NAMES = [name for name, _, _ in KINDS]
 #: Every value has one of these; lines without are passed over.
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@_]|A[KS]IA|xox|::")
 
 
 def pseudonymised(text: str, key: bytes) -> tuple[str, dict[str, int]]:
@@ -199,16 +270,21 @@ def pseudonymised(text: str, key: bytes) -> tuple[str, dict[str, int]]:
     if not _HINT.search(text):
         return text, counts
 
-    def put(found: re.Match) -> str:
-        kind = found.lastgroup
-        new = _WORK[kind](found[0], key)
-        if new is None:
-            return found[0]
-        counts[kind] += 1
-        return new
+    def changed(line: str) -> str:
+        out, done, at = [], 0, 0
+        while found := _ANY.search(line, at):
+            kind = found.lastgroup
+            new = _WORK[kind](found[0], key)
+            if new is None:  # what looks like an account number may be one word before a card number
+                at = found.start() + 4 if kind == "iban" else found.end()
+                continue
+            counts[kind] += 1
+            out += [line[done : found.start()], new]
+            done = at = found.start() + len(new) if kind == "iban" else found.end()
+        return "".join(out) + line[done:]
 
     # no value spans a line
-    return "\n".join(_ANY.sub(put, line) if _HINT.search(line) else line for line in text.split("\n")), counts
+    return "\n".join(changed(line) if _HINT.search(line) else line for line in text.split("\n")), counts
 
 
 def _replace(key: bytes):
@@ -227,15 +303,17 @@ def pseudonyms(docs: DataFrame, key: str = "doc_id", text: str = "text", secret_
     """(key, text, new_text, n_email, n_secret, ...) of every row of ``docs``.
 
     ``secret_key`` decides the permutations; if it is not given, it is the
-    session's setting ``spark.fraudflow.pii.key``, and without one a fixed key
-    that is good for tests only. Values that do not
+    session's setting ``spark.fraudflow.pii.key``; without either this raises
+    ``ValueError``. Values that do not
     validate (an address with a part over 255, the 31st of February) stay. A
     null text stays null, an empty one empty; repeated rows get equal results; a
     null key stays null; an empty table gives no rows. No shuffle: a text is
     rewritten where it is read. Other columns of ``docs`` are ignored.
     """
     kind = docs.schema[key].dataType.simpleString()
-    secret_key = secret_key or docs.sparkSession.conf.get("spark.fraudflow.pii.key", "tests only")
+    secret_key = secret_key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not secret_key:
+        raise ValueError(f"no key: pass secret_key or set {KEY_SETTING}")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     counts = ", ".join(f"n_{k} long" for k in NAMES)
     out = rows.mapInArrow(_replace(hashlib.sha256(secret_key.encode()).digest()), f"id {kind}, text string, new_text string, {counts}")
@@ -243,7 +321,8 @@ def pseudonyms(docs: DataFrame, key: str = "doc_id", text: str = "text", secret_
 
 
 def op3_pii_pseudonyms(spark, sf_dir: str) -> DataFrame:
-    """``pseudonyms`` of ``documents``: the new text, its digest and the counts."""
-    out = pseudonyms(read_table(spark, sf_dir, "documents")).withColumnRenamed("text", "old")
+    """``pseudonyms`` of ``documents``: the new text, its digest and the counts, under ``OPEN_KEY`` if the session sets no key."""
+    secret_key = spark.conf.get(KEY_SETTING, OPEN_KEY)
+    out = pseudonyms(read_table(spark, sf_dir, "documents"), secret_key=secret_key).withColumnRenamed("text", "old")
     new = F.sha2(F.coalesce("new_text", F.lit("")).cast("binary"), 256)
     return out.select("doc_id", F.col("new_text").alias("text"), new.alias("text_sha256"), *(f"n_{k}" for k in NAMES))
