@@ -267,6 +267,10 @@ _LABELS = f""", labelled AS (SELECT p.*, (SELECT min(e.event_us) FROM txn e WHER
   AND e.event_us <= p.event_us + {6 * _H}) AS label_us FROM scores p WHERE category = 'purchase'),
 known AS (SELECT *, CASE WHEN label_us IS NULL THEN 0 ELSE 1 END AS label FROM labelled), ripe AS (SELECT * FROM known WHERE event_us + {6 * _H} <= {L.CUTOFF_US})"""
 _COLUMNS = ", ".join(_ALL)
+_REASON = "CASE WHEN event_id IS NULL OR user_id IS NULL THEN 'no key' WHEN ts IS NULL THEN 'no time' WHEN value IS NULL OR isnan(value) THEN 'no amount' WHEN value < 0 THEN 'negative amount' WHEN NOT coalesce(json_valid(props), false) OR json_extract_string(props, '$.k') IS NULL THEN 'bad attributes' ELSE 'ok' END"
+# an amount of zero stays zero when its sign is turned, so it is no negative one
+_SPOILED = """SELECT event_id, CASE WHEN event_id % 19 = 0 THEN NULL ELSE user_id END AS user_id, CASE WHEN event_id % 17 = 0 THEN NULL ELSE ts END AS ts,
+  CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN -value ELSE value END AS value, CASE WHEN event_id % 13 = 0 THEN '{broken' ELSE props END AS props FROM events"""
 
 
 def _grouped(start: str, source: str, size: int) -> str:
@@ -283,7 +287,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_batch": f"SELECT {_COLUMNS} FROM txn",
         "ingest_stream": f"SELECT {_COLUMNS} FROM txn",
         "conform": "SELECT txn_id, event_us, amount_cents, attr_k FROM txn",
-        "quarantine": "SELECT event_id, CASE WHEN event_id IS NULL OR user_id IS NULL THEN 'no key' WHEN ts IS NULL THEN 'no time' WHEN value IS NULL OR isnan(value) THEN 'no amount' WHEN value < 0 THEN 'negative amount' WHEN NOT coalesce(json_valid(props), false) OR json_extract_string(props, '$.k') IS NULL THEN 'bad attributes' ELSE 'ok' END AS reason FROM events",
+        "quarantine": f"SELECT event_id, {_REASON} AS reason FROM events",
         "dedup_batch": "SELECT o_custkey, CAST(o_orderdate AS DATE) AS o_date, min(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL",
         "dedup_stream": "SELECT txn_id, card_id, event_us FROM txn",
         "enrich_dim": "SELECT txn_id, card_id, segment, nation, region, acctbal_cents FROM txn LEFT JOIN cards USING (card_id)",
@@ -310,7 +314,7 @@ def oracle_sql() -> dict[str, str]:
         "spread_frames": f"SELECT txn_id, count(*) OVER w1 AS cnt_1h, count(*) OVER w24 AS cnt_24h, count(*) OVER w7 AS cnt_168h, {_SUM} AS sum_168h, {_AVG} AS avg_168h, min(amount_cents) OVER w7 AS min_168h, max(amount_cents) OVER w7 AS max_168h, round({_STD}, 6) AS std_168h, round(amount_cents / nullif({_AVG}, 0), 6) AS amount_ratio, round((amount_cents - {_AVG}) / nullif({_STD}, 0), 6) AS amount_z, count(DISTINCT category) OVER w7 AS categories_168h FROM txn {_WINDOWS}",
         "spread_hot": f"SELECT txn_id, count(*) OVER w1 AS cnt_1h, count(*) OVER w24 AS cnt_24h, count(*) OVER w7 AS cnt_168h, {_SUM} AS sum_168h, max(amount_cents) OVER w7 AS max_168h, event_us - lag(event_us) OVER (PARTITION BY card_id ORDER BY event_us, txn_id) AS gap_us FROM txn {_WINDOWS}",
         "asof_stream": f"SELECT p.txn_id, v.event_us AS asof_view_us, v.amount_cents AS asof_amount_cents FROM (SELECT * FROM txn WHERE category = 'purchase') p ASOF LEFT JOIN (SELECT * FROM txn WHERE category = 'view') v ON p.card_id = v.card_id AND p.event_us >= v.event_us WHERE (p.event_us // {_H} + 1) * {_H} <= (SELECT max(event_us) FROM txn WHERE category IN ('view', 'purchase')) // 1000 * 1000 - {48 * _H}",
-        "dead_letters": "SELECT event_id, CASE WHEN event_id IS NULL OR user_id IS NULL OR event_id % 19 = 0 THEN 'no key' WHEN ts IS NULL OR event_id % 17 = 0 THEN 'no time' WHEN value IS NULL OR event_id % 7 = 0 THEN 'no amount' WHEN event_id % 11 = 0 THEN 'negative amount' WHEN event_id % 13 = 0 THEN 'bad attributes' ELSE 'ok' END AS reason, CASE WHEN event_id % 19 != 0 AND event_id % 17 != 0 AND event_id % 7 != 0 AND event_id % 11 != 0 AND event_id % 13 != 0 THEN CAST(round(value * 100) AS BIGINT) END AS amount_cents FROM events",
+        "dead_letters": f"SELECT event_id, reason, CASE WHEN reason = 'ok' THEN CAST(round(value * 100) AS BIGINT) END AS amount_cents FROM (SELECT *, {_REASON} AS reason FROM ({_SPOILED}))",
         "top_cards": "SELECT event_date, card_id, sum_cents, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_date ORDER BY sum_cents DESC, card_id) AS r FROM (SELECT event_date, card_id, CAST(sum(amount_cents) AS BIGINT) AS sum_cents FROM txn GROUP BY ALL)) WHERE r <= 3",
         "store_append": f"SELECT {_COLUMNS} FROM txn",
         "store_stream": f"SELECT {_COLUMNS} FROM txn",

@@ -13,6 +13,25 @@ def test_equals_sql(agree, name):
     agree(plans.queries()[name], SQL[name])
 
 
+def test_dead_letters_of_zero_amounts_equal_sql(spark, tmp_path):
+    """Amounts of zero under ids whose sign is turned (22), of one that is negative (3) and one that is turned back (33)."""
+    import datetime
+
+    import duckdb
+
+    from fraudflow.sources.transactions import RAW
+
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(i, at, 1, "view", v, '{"k": 1}') for i, v in ((1, 5.0), (2, 0.0), (3, -4.0), (22, 0.0), (33, -6.0), (44, 6.0), (7, 1.0), (13, 1.0), (17, 1.0), (19, 1.0))]
+    spark.createDataFrame(rows, RAW).coalesce(1).write.parquet(f"file://{tmp_path}/events.parquet")
+    found = plans.queries()["dead_letters"](spark, f"file://{tmp_path}").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    want = con.execute(SQL["dead_letters"]).fetchall()
+    assert sorted((r.event_id, r.reason, r.amount_cents) for r in found) == sorted(want)
+    assert {22: "ok", 3: "negative amount", 33: "ok", 44: "negative amount"}.items() <= {r.event_id: r.reason for r in found}.items()
+
+
 def test_models_rank_the_planted_label(spark):
     for row in plans.queries()["fit_model"](spark, SF).collect():
         assert row.roc_auc > 0.9
