@@ -7,6 +7,11 @@ pane is an entry of its own, packed, and a batch reads and writes those panes
 only in which its events and the beginnings of their windows lie; between those
 two a window is made of totals. So a card with very many rows never has its
 whole state in memory.
+
+The features of a card whose rows are all beside the totals are made by numpy
+over all its new rows at once. What a card gives crosses to Spark as one packed
+row, and ``_unpacked`` makes columns of many cards at once: a frame of its own
+for each card costs far more than its features.
 """
 
 from __future__ import annotations
@@ -17,14 +22,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fraudflow.functions.columns import HOUR_US
 
 #: Rows of a card that lie beside the totals; more go to entries of their own.
 INLINE = 512
+#: Rows and categories of a card up to which its features are made at once.
+AT_ONCE, KINDS_AT_ONCE = 1 << 16, 64
+#: Rows of a card in one packed row.
+PACKED = 4096
 _FAR = (1 << 63) - 1
+#: Stands for a null time or id.
+_NULL = -(1 << 62)
+
+
+def _extremes(values: np.ndarray, start: np.ndarray, stop: np.ndarray, pick, none: int) -> np.ndarray:
+    """The least or largest of each range of ``values``, from ranges whose lengths are powers of two."""
+    out, n, width = np.full(len(start), none), stop - start, 1
+    longest = int(n.max(initial=0))
+    while width <= longest:
+        own = np.flatnonzero((n >= width) & (n < 2 * width))
+        out[own] = pick(values[start[own]], values[stop[own] - width])
+        if 2 * width <= longest:
+            values = pick(values[:-width], values[width:])
+        width *= 2
+    return out
 
 
 class Pane:
@@ -87,26 +112,46 @@ class CardFeatures(StatefulProcessor):
         self.head = handle.getValueState("head", "held string")
         self.rows = handle.getMapState("rows", "pane long", "held binary")
 
-    def _opened(self) -> None:
-        found = self.head.get() if self.head.exists() else None
-        known = json.loads(found[0]) if found else {"panes": [], "before": None, "tail": [], "kinds": [], "firsts": [], "timer": None, "inline": [], "stored": []}
+    def _loaded(self) -> None:
+        """What is in the value of the card, its rows still in one array."""
+        found = self.head.get()
+        known = json.loads(found[0]) if found else {"panes": [], "before": None, "tail": [], "kinds": [], "firsts": [], "timer": None, "inline": [[]] * 5, "stored": []}
         self.totals = {p: t for p, t in known["panes"]}
         self.before, self.tail, self.kinds, self.timer = known["before"], known["tail"], known["kinds"], known["timer"]
         self.firsts = {k: tuple(v) for k, v in known["firsts"]}
-        self.held = {p: Pane(np.array(rows, np.int64)) for p, rows in known["inline"]}
+        self.flat, self.held = np.array(known["inline"], np.int64), {}
         self.stored = set(known["stored"])
 
+    def _opened(self) -> None:
+        """The same, with its rows in panes."""
+        self._loaded()
+        self._cut()
+
+    def _cut(self) -> set[int]:
+        """Panes from the rows in one array; tells which."""
+        numbers = self.flat[0] // self.size
+        found = set(np.unique(numbers).tolist())
+        for p in found:
+            self.held[p] = Pane(self.flat[:, numbers == p])
+            self.totals[p] = self.held[p].totals()
+        self.flat = self.flat[:, :0]
+        return found
+
     def _closed(self, touched: set[int]) -> None:
         """Writes the head, and the entries of those panes that changed or are too much for it."""
-        inline = [p for p in self.totals if p not in self.stored]
+        inline = sorted(p for p in self.totals if p not in self.stored)
         if sum(self.totals[p][0] for p in inline) > INLINE:
             self.stored |= set(inline)
             touched, inline = touched | set(inline), []
         for p in touched & self.stored:
             self.rows.updateValue((p,), (self.held[p].held.tobytes(),))
-        self.head.update((json.dumps({"panes": sorted(self.totals.items()), "before": self.before, "tail": self.tail, "kinds": self.kinds, "firsts": sorted(self.firsts.items()), "timer": self.timer, "inline": [(p, self.held[p].held.tolist()) for p in inline], "stored": sorted(self.stored)}),))
+        self._write(np.concatenate([self.flat, *(self.held[p].held for p in inline)], axis=1))
         self.held = {}
 
+    def _write(self, inline: np.ndarray) -> None:
+        panes = sorted((p, t) for p, t in self.totals.items() if p in self.stored)
+        self.head.update((json.dumps({"panes": panes, "before": self.before, "tail": self.tail, "kinds": self.kinds, "firsts": sorted(self.firsts.items()), "timer": self.timer, "inline": inline.tolist(), "stored": sorted(self.stored)}),))
+
     def _pane(self, number: int) -> Pane:
         if number not in self.held:
             self.held[number] = Pane.of(bytes(self.rows.getValue((number,))[0]))
@@ -162,42 +207,125 @@ class CardFeatures(StatefulProcessor):
         return n, known, total, least, most, kinds
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["event_us", "txn_id"], kind="stable", ignore_index=True)
-        self._opened()
+        new = pd.concat(list(rows), ignore_index=True)
+        known = new["amount_cents"].notna()
+        packed = np.stack([new["event_us"].fillna(_NULL), new["txn_id"].fillna(_NULL), new["amount_cents"].fillna(0), known]).astype(np.int64)
+        yield self._frame(key, *self.taken(packed, [None if pd.isna(c) else str(c) for c in new["category"]]))
+
+    def _frame(self, key, new: np.ndarray, made: list[tuple]) -> pd.DataFrame:
+        whole = lambda values, missing: pd.arrays.IntegerArray(values.astype(np.int64), missing)
+        out = pd.DataFrame({
+            "txn_id": whole(new[1], new[1] == _NULL), "card_id": key[0], "event_us": whole(new[0], new[0] == _NULL),
+            "category": [self.kinds[c] if c >= 0 else None for c in new[4].tolist()], "amount_cents": whole(new[2], new[3] == 0),
+        })
+        for (name, kind), (values, missing) in zip(_columns(self.hours, self.last_n), made, strict=True):
+            out[name] = whole(values, missing) if kind == "long" else np.where(missing, np.nan, values) if kind == "double" else values
+        return out
+
+    def taken(self, packed: np.ndarray, names: list[str | None]) -> tuple[np.ndarray, list[tuple]]:
+        """New rows (time, id, amount, whether it is known, category), in order, and their features: values and where there is none."""
+        self._loaded()
+        order = np.lexsort((packed[1], packed[0]))
+        names = [names[i] for i in order.tolist()]
         kind_of = {k: i for i, k in enumerate(self.kinds)}
-        names = [None if pd.isna(c) else str(c) for c in new["category"]]
         codes = [-1 if c is None else kind_of.setdefault(c, len(kind_of)) for c in names]
         self.kinds = list(kind_of)
-        known = new["amount_cents"].notna()
-        packed = np.stack([new["event_us"], new["txn_id"], new["amount_cents"].fillna(0), known, codes]).astype(np.int64)
-        numbers = packed[0] // self.size
+        new = np.concatenate([packed[:, order], np.array([codes], np.int64)])
+        kinds, first, kind = np.unique(new[4], return_index=True, return_inverse=True)
+        for k, us, txn in zip(kinds.tolist(), *new[:2, first].tolist(), strict=True):
+            self.firsts[k] = min(self.firsts.get(k, (us, txn)), (us, txn))
+        if not self.stored and self.flat.shape[1] + new.shape[1] <= AT_ONCE and len(self.kinds) <= KINDS_AT_ONCE:
+            made, newest, touched = self._at_once(new)
+        else:
+            made, newest, touched = self._by_panes(new)
+        firsts = np.array([self.firsts[k] for k in kinds.tolist()], np.int64)[kind]
+        made.append(((firsts[:, 0] == new[0]) & (firsts[:, 1] == new[1]), np.zeros(len(kind), bool)))
+        if self.expires:
+            timer = (newest + self.span) // 1000 + 1
+            if timer != self.timer:
+                if self.timer is not None:
+                    self.handle.deleteTimer(self.timer)
+                self.handle.registerTimer(timer)
+                self.timer = timer
+        if touched is None:
+            self._write(self.flat)
+        else:
+            self._closed(touched)
+        return new, made
+
+    def _at_once(self, new: np.ndarray) -> tuple[list[tuple], int, set[int] | None]:
+        """Features of all new rows of a card whose rows are in one array; the panes to write if it outgrows that."""
+        both = np.concatenate([self.flat, new], axis=1)
+        order = np.lexsort((both[1], both[0]))
+        both = both[:, order]
+        us, ids, amount, known, codes = both
+        n = len(us)
+        fresh = np.ones(n, bool)
+        fresh[1:] = (us[1:] != us[:-1]) | (ids[1:] != ids[:-1])
+        place = np.empty(n, np.int64)
+        place[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+        place = place[n - new.shape[1] :]
+        at = new[0]
+        stop, start = np.searchsorted(us, at), np.searchsorted(us, at - self.span)
+        some = known != 0
+        knowns, sums = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        np.cumsum(some, out=knowns[1:])
+        np.cumsum(np.where(some, amount, 0), out=sums[1:])
+        never = np.zeros(len(at), bool)
+        made = [(stop - np.searchsorted(us, at - h * HOUR_US), never) for h in self.hours]
+        in_window, total = knowns[stop] - knowns[start], sums[stop] - sums[start]
+        none = in_window == 0
+        least = _extremes(np.where(some, amount, _FAR), start, stop, np.minimum, _FAR)
+        most = _extremes(np.where(some, amount, -_FAR), start, stop, np.maximum, -_FAR)
+        made += [(total, none), (total / np.maximum(in_window, 1), none), (least, none), (most, none)]
+        cold = place == 0
+        previous = np.where(cold, 0 if self.before is None else self.before, us[place - 1])
+        made.append((at - previous, (cold if self.before is None else never) | (previous > at)))
+        kinds, seen = np.zeros(len(at), np.int64), np.zeros(n + 1, np.int64)
+        for k in range(len(self.kinds)):
+            np.cumsum(codes == k, out=seen[1:])
+            kinds += seen[stop] > seen[start]
+        made.append((kinds, never))
+        low = np.maximum(place - self.last_n, 0)
+        recent, recent_sum = knowns[place] - knowns[low], sums[place] - sums[low]
+        for i in np.flatnonzero(place < self.last_n).tolist() if self.tail else []:
+            key = [int(at[i]), int(new[1, i])]
+            more = [a for *k, a in self.tail if k < key][-(self.last_n - int(place[i])) :]
+            recent[i] += sum(a is not None for a in more)
+            recent_sum[i] += sum(a or 0 for a in more)
+        made.append((recent_sum / np.maximum(recent, 1), recent == 0))
+        newest = int(us[-1])
+        gone = int(np.searchsorted(us, (newest - self.span) // self.size * self.size))
+        if gone:
+            self.before = max(int(us[gone - 1]), int(us[gone - 1]) if self.before is None else self.before)
+            rows = [[u, i, a if k else None] for u, i, a, k in both[:4, max(0, gone - self.last_n) : gone].T.tolist()]
+            self.tail = sorted(self.tail + rows, key=lambda r: r[:2])[-self.last_n :]
+        self.flat = both[:, gone:]
+        return made, newest, self._cut() if n - gone > INLINE else None
+
+    def _by_panes(self, new: np.ndarray) -> tuple[list[tuple], int, set[int]]:
+        """Features of the new rows of a card with many, from the panes that they touch, which are to be written."""
+        self._cut()
+        numbers = new[0] // self.size
         for p in np.unique(numbers).tolist():
-            own = packed[:, numbers == p]
+            own = new[:, numbers == p]
             pane = self._pane(p).with_rows(own) if p in self.totals else Pane(own)
             self.held[p], self.totals[p] = pane, pane.totals()
-        for kind, us, txn in zip(codes, *packed[:2].tolist(), strict=True):
-            self.firsts[kind] = min(self.firsts.get(kind, (us, txn)), (us, txn))
         order = sorted(self.totals)
-        made = [self._features(us, txn, kind, order) for us, txn, kind in zip(*packed[:2].tolist(), codes, strict=True)]
+        rows = [self._features(us, txn, order) for us, txn in new[:2].T.tolist()]
         touched = set(numbers.tolist())
         newest = max(t[5] for t in self.totals.values())
         for p in order:
             if (p + 1) * self.size <= newest - self.span:
                 self._drop(p)
                 touched.discard(p)
-        if self.expires:
-            if self.timer is not None:
-                self.handle.deleteTimer(self.timer)
-            self.timer = (newest + self.span) // 1000 + 1
-            self.handle.registerTimer(self.timer)
-        self._closed(touched)
-        out = pd.DataFrame({"txn_id": new["txn_id"], "card_id": key[0], "event_us": new["event_us"], "category": names, "amount_cents": pd.array([a if k else None for a, k in zip(packed[2].tolist(), known, strict=True)], dtype="Int64")})
-        for i, (name, kind) in enumerate(_columns(self.hours, self.last_n)):
-            values = [m[i] for m in made]
-            out[name] = pd.array(values, dtype="Int64") if kind == "long" else values
-        yield out
-
-    def _features(self, us: int, txn: int, kind: int, order: list[int]) -> list:
+        made = []
+        for (_, kind), values in zip(_columns(self.hours, self.last_n), zip(*rows, strict=True), strict=False):
+            missing = np.array([v is None for v in values])
+            made.append((np.array([0 if v is None else v for v in values], float if kind == "double" else np.int64), missing))
+        return made, newest, touched
+
+    def _features(self, us: int, txn: int, order: list[int]) -> list:
         number = us // self.size
         pane = self._pane(number)
         place, start = pane.place(us, txn), bisect_left(pane.us, us)
@@ -213,7 +341,7 @@ class CardFeatures(StatefulProcessor):
         amounts = [total, total / known, least, most] if known else [None] * 4
         return [
             *counts, *amounts, us - previous if previous is not None and previous <= us else None, len(kinds - {-1}),
-            recent_sum / recent if recent else None, self.firsts[kind] == (us, txn),
+            recent_sum / recent if recent else None,
         ]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -234,6 +362,69 @@ def _columns(hours: tuple[int, ...], last_n: int) -> list[tuple[str, str]]:
     return [*counts, (f"sum_{h}h", "long"), (f"avg_{h}h", "double"), (f"min_{h}h", "long"), (f"max_{h}h", "long"), ("gap_us", "long"), (f"categories_{h}h", "long"), (f"avg_last_{last_n}", "double"), ("is_first_in_category", "boolean")]
 
 
+class Packed(StatefulProcessor):
+    """A ``CardFeatures`` that gives packed rows: the new rows with their features as one matrix, and the names of the categories."""
+
+    def __init__(self, cards: CardFeatures):
+        self.cards = cards
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.cards.init(handle)
+
+    def _rows(self, card, new: np.ndarray, made: list[tuple], kinds: list[str]) -> Iterator[Row]:
+        flags = np.zeros(new.shape[1], np.int64)
+        for i, (_, missing) in enumerate(made):
+            flags |= missing.astype(np.int64) << i
+        whole = [v.view(np.int64) if v.dtype == np.float64 else v.astype(np.int64) for v, _ in made]
+        matrix = np.stack([*new, *whole, flags])
+        for low in range(0, matrix.shape[1], PACKED):
+            yield Row(card_id=card, kinds=kinds, packed=matrix[:, low : low + PACKED].tobytes())
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rows = list(rows)
+        held = dict(zip(rows[0].__fields__, zip(*rows, strict=True), strict=True))
+        whole = lambda name, null: [null if v is None else v for v in held[name]]
+        amounts = held["amount_cents"]
+        packed = np.array([whole("event_us", _NULL), whole("txn_id", _NULL), whole("amount_cents", 0), [a is not None for a in amounts]], np.int64)
+        new, made = self.cards.taken(packed, list(held["category"]))
+        yield from self._rows(key[0], new, made, self.cards.kinds)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        for out in self.cards.handleExpiredTimer(key, timerValues, expiredTimerInfo):
+            if len(out):
+                kinds = sorted(set(out["category"].dropna()))
+                codes = [kinds.index(c) if c in kinds else -1 for c in out["category"]]
+                own = [out["event_us"], out["txn_id"], out["amount_cents"].fillna(0), out["amount_cents"].notna(), codes]
+                names = _columns(self.cards.hours, self.cards.last_n)
+                made = [(out[n].fillna(0).to_numpy(float if k == "double" else np.int64), out[n].isna().to_numpy()) for n, k in names]
+                yield from self._rows(key[0], np.array(own, np.int64), made, kinds)
+
+    def close(self) -> None:
+        self.cards.close()
+
+
+def _unpacked(columns: list[tuple[str, str]]):
+    def work(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = [np.frombuffer(b, np.int64).reshape(len(columns) + 6, -1) for b in batch["packed"].to_pylist()]
+            row = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
+            us, ids, amount, known, code, *values, flags = np.concatenate(parts, axis=1)
+            kinds = batch["kinds"]
+            begin = np.cumsum([0, *kinds.value_lengths().to_pylist()])[row]
+            out = [
+                pa.array(ids, mask=ids == _NULL), batch["card_id"].take(pa.array(row)), pa.array(us, mask=us == _NULL),
+                kinds.flatten().take(pa.array(begin + code, mask=code < 0)), pa.array(amount, mask=known == 0),
+            ]
+            for i, ((_, kind), v) in enumerate(zip(columns, values, strict=True)):
+                own = v.view(np.float64) if kind == "double" else v != 0 if kind == "boolean" else v
+                out.append(pa.array(own, mask=(flags >> i & 1) != 0))
+            yield pa.RecordBatch.from_arrays(out, names=["txn_id", "card_id", "event_us", "category", "amount_cents", *(n for n, _ in columns)])
+
+    return work
+
+
 def features_stream(stream: DataFrame, hours: tuple[int, ...] = (1, 24, 168), last_n: int = 10, expires: bool = False) -> DataFrame:
     """R1, R2 and R5 to R8 for each event of a stream, named as in batch.
 
@@ -243,4 +434,6 @@ def features_stream(stream: DataFrame, hours: tuple[int, ...] = (1, 24, 168), la
     columns = ["card_id", "txn_id", "event_us", "amount_cents", "category", *(["event_ts"] if expires else [])]
     schema = "txn_id long, card_id long, event_us long, category string, amount_cents long, " + ", ".join(f"{n} {k}" for n, k in _columns(hours, last_n))
     rows = stream.select(*columns).groupBy("card_id")
-    return rows.transformWithStateInPandas(CardFeatures(hours, last_n, expires=expires), schema, "append", "EventTime" if expires else "None")
+    processor = Packed(CardFeatures(hours, last_n, expires=expires))
+    made = rows.transformWithState(processor, "card_id long, kinds array<string>, packed binary", "append", "EventTime" if expires else "None")
+    return made.mapInArrow(_unpacked(_columns(hours, last_n)), schema)

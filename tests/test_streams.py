@@ -116,6 +116,42 @@ def test_pane_state_equals_brute_force(inline, monkeypatch):
                 assert values == pytest.approx(brute(rows, got["event_us"], got["txn_id"], kinds[got["txn_id"]]))
 
 
+@pytest.mark.parametrize("at_once", [1 << 16, 0])
+def test_packed_rows_equal_brute_force(at_once, monkeypatch):
+    """A card's features cross as one packed row, made by numpy or pane by pane; nulls come back as nulls."""
+    from pyspark.sql import Row
+
+    monkeypatch.setattr(panes, "AT_ONCE", at_once)
+    rng = random.Random(3)
+    columns = panes._columns((1, 24, 168), 10)
+    processor, rows, at, txn = opened(panes.Packed(panes.CardFeatures((1, 24, 168)))), [], 0, 0
+    schema = pa.schema([("card_id", pa.int64()), ("kinds", pa.list_(pa.string())), ("packed", pa.binary())])
+    for _ in range(6):
+        batch = []
+        for _ in range(40):
+            txn += 1
+            at += rng.choice([0, 1, HOUR_US // 2, 9 * HOUR_US])
+            batch.append((at, txn, rng.choice([None, 5, -3, 10**12]), rng.choice(["a", "b", None])))
+        at += 1
+        rows += batch
+        fed = [Row(card_id=7, txn_id=t, event_us=u, amount_cents=a, category=c) for u, t, a, c in rng.sample(batch, 40)]
+        packed = [r.asDict() for r in processor.handleInputRows((7,), iter(fed), None)]
+        assert len(packed) == 1
+        (out,) = panes._unpacked(columns)([pa.RecordBatch.from_pylist([*packed, *packed], schema)])
+        assert out.num_rows == 80
+        for got, (u, t, a, c) in zip(out.to_pylist()[40:], batch, strict=True):
+            assert [got[n] for n in ("event_us", "txn_id", "amount_cents", "category", "card_id")] == [u, t, a, c, 7]
+            assert [got[n] for n, _ in columns] == pytest.approx(brute(rows, u, t, c))
+    cold = panes.Packed(panes.CardFeatures((24,)))
+    opened(cold)
+    fed = [Row(card_id=None, txn_id=None, event_us=None, amount_cents=1, category="a"), *(Row(card_id=None, txn_id=i, event_us=i, amount_cents=1, category="a") for i in range(5000))]
+    packed = [r.asDict() for r in cold.handleInputRows((None,), iter(fed), None)]
+    (out,) = panes._unpacked(panes._columns((24,), 10))([pa.RecordBatch.from_pylist(packed, schema)])
+    first, last = out.slice(0, 1).to_pylist()[0], out.slice(5000).to_pylist()[0]
+    assert len(packed) == 2 and (first["card_id"], first["txn_id"], first["event_us"], first["cnt_24h"]) == (None, None, None, 0)
+    assert (last["txn_id"], last["cnt_24h"], last["is_first_in_category"]) == (4999, 4999, False)
+
+
 def test_late_rows_change_later_rows_only():
     processor = opened(panes.CardFeatures((1, 24, 168)))
     make = lambda *rows: iter([pd.DataFrame([(h * HOUR_US, i, 10, "a") for i, h in rows], columns=["event_us", "txn_id", "amount_cents", "category"])])
