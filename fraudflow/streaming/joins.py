@@ -6,7 +6,9 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,18 +145,34 @@ class TopK(StatefulProcessor):
         pass
 
 
+def _best(k: int):
+    """The rows of each record batch that are among its ``k`` best of their day; no other can be among those of the day."""
+
+    def work(batches):
+        for batch in batches:
+            day = batch["event_date"].cast(pa.int32()).fill_null(-(1 << 31)).to_numpy(zero_copy_only=False)
+            order = np.lexsort((batch["txn_id"].to_numpy(zero_copy_only=False), -batch["score"].to_numpy(zero_copy_only=False), day))
+            first = np.flatnonzero(np.diff(day[order], prepend=day[order[:1]] - 1))
+            sizes = np.diff(first, append=len(order))
+            yield batch.take(pa.array(order[np.arange(len(order)) - np.repeat(first, sizes) < k]))
+
+    return work
+
+
 def alert_stream(scored: DataFrame, k: int = 10, parts: int = 16, column: str = "score") -> DataFrame:
     """(event_date, txn_id, score, action, turn) of a stream: alerts as they come, at most ``k`` of a day in force.
 
     An alert is ``add``ed when its score is among the day's ``k`` highest so far,
     and ``drop``ped when a higher one takes its place; those in force when all is
-    read are ``top_alerts``. A day's rows are spread over ``parts`` heaps first,
+    read are ``top_alerts``. Rows that are not among the ``k`` best of their day
+    in their own record batch go no further; a day's others are spread over ``parts`` heaps first,
     so only what enters one of them meets the heap of the day. ``turn`` is the
     order of a day's actions within a batch. Ids are unique, as after
     deduplication; rows without a score are never alerts.
     """
     schema = f"event_date date, txn_id long, score {scored.schema[column].dataType.simpleString()}, action string, turn long"
     rows = scored.where(F.col(column).isNotNull()).select("event_date", "txn_id", F.col(column).alias("score"), F.pmod(F.xxhash64("txn_id"), F.lit(parts)).alias("part"))
+    rows = rows.mapInArrow(_best(k), rows.schema)
     near = rows.groupBy("event_date", "part").transformWithStateInPandas(TopK(k, False), schema, "append", "None")
     return near.select("event_date", "txn_id", "score").groupBy("event_date").transformWithStateInPandas(TopK(k, True), schema, "append", "None")
 

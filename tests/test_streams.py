@@ -231,6 +231,16 @@ def test_alerts_never_exceed_the_budget():
             assert force == best if both else force >= best
 
 
+def test_rows_that_cannot_be_alerts_go_no_further():
+    rng = random.Random(4)
+    days = [None, datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)]
+    rows = [(rng.choice(days), i, rng.randint(0, 9), 0) for i in range(200)] + [(datetime.date(2024, 1, 3), 999, 1, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["event_date", "txn_id", "score", "part"])
+    got = [tuple(r.values()) for b in joins._best(5)([batch, batch.slice(0, 0)]) for r in b.to_pylist()]
+    want = [r for d in [*days, datetime.date(2024, 1, 3)] for r in sorted((r for r in rows if r[0] == d), key=lambda r: (-r[2], r[1]))[:5]]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(got) == 16
+
+
 def test_alerts_over_several_files_equal_batch(spark):
     streams.with_rocksdb(spark)
     path = raw_files(spark, "alerts", [[event(50 * i + j, j, 5 * i, float((j * 37 + i) % 60)) for j in range(50)] for i in range(4)])
