@@ -228,6 +228,22 @@ def test_languages_of_held_out_rows(spark):
     assert language_id.fit(digits) is None
 
 
+def test_languages_know_every_learning_row_and_are_calibrated_by_all_that_were_kept_back(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choice("abcé" if i % 2 else "defg") for _ in range(4)) for _ in range(6)), "xy"[i % 2]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    checked, plain = [], language_id.calibrate
+    monkeypatch.setattr(language_id, "calibrate", lambda model, rows: checked.append(rows.count()) or plain(model, rows))
+    model, part = language_id.fit(docs, whole=True), language_id.fit(docs)
+    learned = docs.where(~language_id.held_out(F.col("doc_id"))).withColumn("check", F.pmod(F.xxhash64(F.lit("check"), F.col("doc_id").cast("string")), F.lit(8)) == 0).collect()
+    assert checked == [sum(r.check for r in learned)] * 2 and checked[0] > 10
+    p = kneser_ney([w for r in learned if r.lang == "x" for w in r.text.split()], language_id.ORDER)
+    codes, _ = language_id.coded(["defg", "gg", "fedd"])
+    got = language_id.probability(model.orders[0], codes, model.floor)
+    assert np.allclose(got, [p("".join(map(chr, row)), model.floor) for row in codes.tolist()])
+    assert np.allclose(model.usual, part.usual) and model.usual.min() > 1 and model.limit == part.limit < 5 and np.array_equal(model.weights, part.weights)
+
+
 def test_extraction_from_frames_of_something_else():
     story = [f"Paragraph {i} of the story, which is long enough to be one." + " More of it." * 20 for i in range(6)]
     plain = "".join(f"<p>{x}</p>" for x in story)
