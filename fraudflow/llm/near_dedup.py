@@ -241,17 +241,17 @@ def across(members: DataFrame, sets: DataFrame, similarity: float) -> tuple[Data
     all that are similar enough among the texts that share a long band.
     """
     spark = members.sparkSession
-    banded = written(members.join(sets.select("v", "n", "long"), "v").select("v", "c", "n", F.explode("long").alias("b")), "long-bands")
-    meeting = banded.groupBy("b").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("b")
-    met = written(banded.join(meeting, "b"), "met")
-    if met.isEmpty():
-        discard(banded, met)
-        return spark.createDataFrame([], f"a {_V}, b {_V}"), sets
+    banded = members.join(sets.select("v", "n", "long"), "v").select("v", "c", "n", F.explode("long").alias("b"))
     # the lengths, by class, that a text meets and that are near enough to its own
     own = _class(F.col("n"))
-    lengths = met.groupBy("b").agg(F.collect_set(own).alias("classes"))
+    bucket = Window.partitionBy("b")
+    seen = banded.select("v", "c", "n", F.min("c").over(bucket).alias("low"), F.max("c").over(bucket).alias("high"), F.collect_set(own).over(bucket).alias("classes")).where("low != high")
     near = F.filter("classes", lambda c: F.abs(c - own) <= F.lit(int(-math.log(similarity) / GRID) + 1))
-    seekers = met.join(lengths, "b").groupBy("v", "c", "n").agg(F.array_distinct(F.flatten(F.collect_set(near))).alias("classes"))
+    met = written(seen.select("v", "c", "n", near.alias("near")), "met")
+    if met.isEmpty():
+        discard(met)
+        return spark.createDataFrame([], f"a {_V}, b {_V}"), sets
+    seekers = met.groupBy("v", "c", "n").agg(F.array_distinct(F.flatten(F.collect_set("near"))).alias("classes"))
     held = written(seekers.join(sets.select("v", "ids"), "v"), "seekers")
     listed = written(held.select("v", "c", "ids").mapInArrow(_listed, f"v {_V}, c long, id long"), "listed")
     common = listed.groupBy("id").agg(F.count(F.lit(1)).alias("df"), (F.min("c") != F.max("c")).alias("shared"))
@@ -266,7 +266,7 @@ def across(members: DataFrame, sets: DataFrame, similarity: float) -> tuple[Data
     y = first.select("id", F.explode(shorter_ones).alias("s"), own.alias("l"), F.col("v").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("py"))
     met_at = x.join(y, ["id", "s", "l"]).where("cx != cy AND nx <= ny").where((F.col("px") <= _reach(F.col("nx"), F.col("ny"), similarity)) & (F.col("py") <= _reach(F.col("ny"), F.col("nx"), similarity)))
     pairs = written(_ordered(met_at, "x", "y"), "across")
-    discard(banded, met, listed, first)
+    discard(met, listed, first)
     return pairs, held
 
 
@@ -290,12 +290,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     signed = written(all_rows.mapInArrow(_signatures(bands, rows), f"id {kind}, k1 long, k2 long, bands array<long>"), "signatures")
     texts = signed.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"))
     banded = texts.select(v, F.explode("bands").alias("b"))
-    full = banded.groupBy("b").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
-    buckets = written(banded.join(full, "b"), "buckets")
+    # what is told of a bucket is told beside its rows, as they lie: one pass and no join
+    bucket = Window.partitionBy("b")
+    buckets = written(banded.withColumn("met", F.count(F.lit(1)).over(bucket)).where("met > 1"), "buckets")
     weights = buckets.groupBy("v").agg(F.sum("met").alias("meets"))
     ranked = buckets.join(weights, "v").select("b", "v", F.struct(-F.col("meets"), "v").alias("rank"))
-    pivots = ranked.groupBy("b").agg(F.min("rank").getField("v").alias("p"))
-    star = buckets.join(pivots, "b").where("v != p").select(F.col("v").alias("x"), F.col("p").alias("y"))
+    star = ranked.select(F.col("v").alias("x"), F.min("rank").over(bucket).getField("v").alias("y")).where("x != y")
     for turn in range(CHAINS):
         order = Window.partitionBy("b").orderBy(F.xxhash64(F.lit(turn), "b", "v"), "v")
         star = star.unionByName(buckets.select("v", F.lag("v").over(order).alias("x")).where("x IS NOT NULL").select("x", F.col("v").alias("y")))
@@ -307,16 +307,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sets = written(source.mapInArrow(_sets, "k1 long, k2 long, ids binary, n long, long array<long>").dropDuplicates(["k1", "k2"]).select(v, "ids", "n", "long"), "sets")
     links = _verified(tested, sets, similarity, "links")
     parts = components(links)
-    placed = written(buckets.select("b", "v").join(parts.select("v", "c"), "v", "left").select("b", "v", F.coalesce("c", "v").alias("c")), "placed")
-    split = placed.groupBy("b").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("b")
-    members = placed.join(split, "b").select("v", F.xxhash64("c.k1", "c.k2").alias("c")).distinct()
+    placed = buckets.select("b", "v").join(parts.select("v", "c"), "v", "left").select("b", "v", F.coalesce("c", "v").alias("c"))
+    split = placed.select("v", "c", F.min("c").over(bucket).alias("low"), F.max("c").over(bucket).alias("high")).where("low != high")
+    members = split.select("v", F.xxhash64("c.k1", "c.k2").alias("c")).distinct()
     pairs, held = across(members, sets, similarity)
     more = _verified(pairs.join(tested, ["a", "b"], "left_anti"), held, similarity, "links")
     classes = parts if more.isEmpty() else components(links.unionByName(more))
 
     named = texts.select(v, "k1", "k2", "first", "size").join(classes.select("v", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
     named = written(named.select("k1", "k2", "c", "first", "size"), "named")
-    discard(buckets, tested, sets, links, placed, more, parts)
+    discard(buckets, tested, sets, links, more, parts)
     totals = named.groupBy("c").agg(F.min("first").alias("class_id"), F.sum("size").alias("class_size"))
     known = named.join(totals, "c").select("k1", "k2", "class_id", "class_size")
     return signed.select("id", "k1", "k2").join(known, ["k1", "k2"]).select(F.col("id").alias(key), "class_id", "class_size")

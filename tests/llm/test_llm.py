@@ -497,6 +497,27 @@ def test_near_duplicates_equal_brute_force(spark, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicate_buckets_are_not_joined(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"g{rng.randint(0, 10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(300):  # one group of near copies, some enough and most not
+        own = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 7)):
+            own[at] = f"h{rng.randint(0, 60)}"
+        rows.append((i, " ".join(own)))
+    plans, write = {}, near_dedup.written
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(near_dedup, "written", watched)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 300
+    assert [n for n in ("buckets", "tested", "met") if re.search(r"Join \w+, \(b#\d+L? = b#\d+L?\)", plans[n])] == []
+
+
 def test_all_links_of_every_fiftieth_document_are_found(spark):
     import pyarrow as pa
 
