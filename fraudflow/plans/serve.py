@@ -47,7 +47,7 @@ def serve_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     with_rocksdb(spark)
     good, bad = stream_valid(spark, stream_path(sf_dir))
-    rolled = enrich(rolling_stream(dedup_stream(good), expires=True), read_cards(spark, sf_dir))
+    rolled = enrich(rolling_stream(dedup_stream(good), expires=True, late_dropped=True), read_cards(spark, sf_dir))
     scored = rolled.withColumn("score", F.least(F.lit(100), 10 * F.col("cnt")).cast("int"))
     served, _ = drained_with_rejected(with_rejected(decide(scored, 20, 50), bad), "scores")
     return served.select("txn_id", "card_id", "event_us", "cnt", "sum_cents", "segment", "nation", "score", "decision")

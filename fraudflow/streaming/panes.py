@@ -11,7 +11,9 @@ whole state in memory.
 The features of a card whose rows are all beside the totals are made by numpy
 over all its new rows at once. What a card gives crosses to Spark as one packed
 row, and ``_unpacked`` makes columns of many cards at once: a frame of its own
-for each card costs far more than its features.
+for each card costs far more than its features. The new rows come packed as
+well, some thousands of a card in one row (``_gathered``), for Spark hands rows
+to a card one value at a time.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ INLINE = 512
 AT_ONCE, KINDS_AT_ONCE = 1 << 16, 64
 #: Rows of a card in one packed row.
 PACKED = 4096
+#: Rows that a task gathers before it packs them by card.
+GATHERED = 1 << 18
 _FAR = (1 << 63) - 1
 #: Stands for a null time or id.
 _NULL = -(1 << 62)
@@ -382,6 +386,12 @@ class Packed(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         rows = list(rows)
+        if "packed" in rows[0].__fields__:
+            parts = [np.frombuffer(r.packed, np.int64).reshape(5, -1) for r in rows]
+            names = [r.names[c] for r, part in zip(rows, parts, strict=True) for c in part[4].tolist()]
+            new, made = self.cards.taken(np.concatenate(parts, axis=1)[:4], names)
+            yield from self._rows(key[0], new, made, self.cards.kinds)
+            return
         held = dict(zip(rows[0].__fields__, zip(*rows, strict=True), strict=True))
         whole = lambda name, null: [null if v is None else v for v in held[name]]
         amounts = held["amount_cents"]
@@ -403,6 +413,43 @@ class Packed(StatefulProcessor):
         self.cards.close()
 
 
+def _gathered(batches):
+    """Rows of a card in packed rows: a matrix of time, id, amount, whether it is known and place in the names of categories, which are beside it."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= GATHERED:
+            yield _by_card(pa.Table.from_batches(held))
+            held, n = [], 0
+    if n:
+        yield _by_card(pa.Table.from_batches(held))
+
+
+def _by_card(rows: pa.Table) -> pa.RecordBatch:
+    rows = rows.combine_chunks()
+    whole = lambda name, null: rows[name].fill_null(null).to_numpy()
+    card, unknown = whole("card_id", 0), rows["card_id"].is_null().to_numpy()
+    order = np.lexsort((card, unknown))
+    card, unknown = card[order], unknown[order]
+    n, at = len(order), np.arange(len(order))
+    new = np.ones(n, bool)
+    new[1:] = (card[1:] != card[:-1]) | (unknown[1:] != unknown[:-1])
+    new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % PACKED == 0
+    part, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    kinds = rows["category"].combine_chunks().dictionary_encode()
+    code = kinds.indices.fill_null(len(kinds.dictionary)).to_numpy().astype(np.int64)[order]  # a null's name is null
+    own, place = np.unique(part * (len(kinds.dictionary) + 1) + code, return_inverse=True)
+    begin = np.searchsorted(own, np.arange(len(first) + 1) * (len(kinds.dictionary) + 1))
+    names = pa.concat_arrays([kinds.dictionary, pa.nulls(1, kinds.dictionary.type)]).take(pa.array(own % (len(kinds.dictionary) + 1)))
+    matrix = np.stack([whole("event_us", _NULL)[order], whole("txn_id", _NULL)[order], whole("amount_cents", 0)[order], rows["amount_cents"].is_valid().to_numpy()[order], place - begin[part]]).astype(np.int64)
+    packed = [matrix[:, a:b].tobytes() for a, b in zip(first, [*first[1:], n], strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [rows["card_id"].combine_chunks().take(pa.array(order[first])), pa.array(packed, pa.binary()), pa.ListArray.from_arrays(pa.array(begin, pa.int32()), names)],
+        names=["card_id", "packed", "names"],
+    )
+
+
 def _unpacked(columns: list[tuple[str, str]]):
     def work(batches):
         for batch in batches:
@@ -425,15 +472,21 @@ def _unpacked(columns: list[tuple[str, str]]):
     return work
 
 
-def features_stream(stream: DataFrame, hours: tuple[int, ...] = (1, 24, 168), last_n: int = 10, expires: bool = False) -> DataFrame:
+def features_stream(stream: DataFrame, hours: tuple[int, ...] = (1, 24, 168), last_n: int = 10, expires: bool = False, late_dropped: bool = False) -> DataFrame:
     """R1, R2 and R5 to R8 for each event of a stream, named as in batch.
 
     Needs the RocksDB state store; ``expires`` needs a watermark on event_ts, and
-    drops what is later.
+    drops what is later. That is told of each row, so such rows come one by one,
+    unless ``late_dropped`` says that a deduplication within the same watermark
+    lies before this and has dropped them.
     """
-    columns = ["card_id", "txn_id", "event_us", "amount_cents", "category", *(["event_ts"] if expires else [])]
+    single = expires and not late_dropped
+    columns = ["card_id", "txn_id", "event_us", "amount_cents", "category", *(["event_ts"] if single else [])]
     schema = "txn_id long, card_id long, event_us long, category string, amount_cents long, " + ", ".join(f"{n} {k}" for n, k in _columns(hours, last_n))
-    rows = stream.select(*columns).groupBy("card_id")
+    rows = stream.select(*columns)
+    if not single:
+        rows = rows.repartition("card_id").mapInArrow(_gathered, "card_id long, packed binary, names array<string>")
+    rows = rows.groupBy("card_id")
     processor = Packed(CardFeatures(hours, last_n, expires=expires))
     made = rows.transformWithState(processor, "card_id long, kinds array<string>, packed binary", "append", "EventTime" if expires else "None")
     return made.mapInArrow(_unpacked(_columns(hours, last_n)), schema)

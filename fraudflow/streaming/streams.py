@@ -84,9 +84,9 @@ class Audit(StreamingQueryListener):
         return self.totals(str(query.id))
 
 
-def rolling_stream(stream: DataFrame, hours: int = 24, expires: bool = False) -> DataFrame:
+def rolling_stream(stream: DataFrame, hours: int = 24, expires: bool = False, late_dropped: bool = False) -> DataFrame:
     """Count and sum of R1 and R2 for each event of a stream (R13); see ``features_stream``."""
-    out = features_stream(stream, (hours,), expires=expires)
+    out = features_stream(stream, (hours,), expires=expires, late_dropped=late_dropped)
     return out.select("txn_id", "card_id", "event_us", "amount_cents", F.col(f"cnt_{hours}h").alias("cnt"), F.col(f"sum_{hours}h").alias("sum_cents"))
 
 

@@ -152,6 +152,40 @@ def test_packed_rows_equal_brute_force(at_once, monkeypatch):
     assert (last["txn_id"], last["cnt_24h"], last["is_first_in_category"]) == (4999, 4999, False)
 
 
+def test_rows_of_a_card_reach_its_state_packed(monkeypatch):
+    """A task hands over a row for a card, not one for each of its rows; nulls come back as nulls, and no pack is longer than allowed."""
+    monkeypatch.setattr(panes, "GATHERED", 300)
+    monkeypatch.setattr(panes, "PACKED", 50)
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 0, 1, 2, 2, 2]), i or None, rng.choice([None, i]), rng.choice([None, 0, 5]), rng.choice([None, "a", "b", "c"])) for i in range(800)]
+    names = ["card_id", "txn_id", "event_us", "amount_cents", "category"]
+    table = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], pa.schema([(n, pa.string() if n == "category" else pa.int64()) for n in names]))
+    found, packs = [], 0
+    for batch in panes._gathered(iter(table.to_batches(max_chunksize=100))):
+        for r in batch.to_pylist():
+            us, ids, amount, known, code = (x.tolist() for x in panes.np.frombuffer(r["packed"], panes.np.int64).reshape(5, -1))
+            assert len(us) <= 50 and len(set(r["names"])) == len(r["names"])
+            null = lambda v: None if v == panes._NULL else v
+            found += [(r["card_id"], null(i), null(u), a if k else None, r["names"][c]) for u, i, a, k, c in zip(us, ids, amount, known, code, strict=True)]
+            packs += 1
+    key = lambda r: [repr(x) for x in r]
+    assert sorted(found, key=key) == sorted(rows, key=key) and packs < 40
+    assert list(panes._gathered(iter([]))) == []
+
+
+def test_packed_rows_after_deduplication_lose_late_rows_alike(spark):
+    """Behind a deduplication the state need not look at the watermark of each row: what is late never comes."""
+    streams.with_rocksdb(spark)
+    files = [[event(i, i % 3, i, float(i)) for i in range(30)], [event(40, 1, 400, 4.0), event(5, 2, 5, 5.0)], [event(41, 1, 20, 1.0), event(42, 2, 399, 2.0), event(43, 0, 900, 2.0)], [event(44, 2, 340, 1.0), event(45, 0, 901, 1.0)]]
+    path = raw_files(spark, "late-dropped", files)
+    found = []
+    for dropped in (False, True):
+        good, _ = transactions.stream_valid(spark, path)
+        made = panes.features_stream(streams.dedup_stream(good), expires=True, late_dropped=dropped)
+        found.append(sorted(map(tuple, streams.drained(made, "late-dropped").select("txn_id", "card_id", "event_us", "cnt_168h", "sum_168h", "gap_us", "is_first_in_category").collect())))
+    assert found[0] == found[1] and {r[0] for r in found[0]} >= {*range(30), 40, 42, 43, 45} and not {r[0] for r in found[0]} & {44}
+
+
 def test_late_rows_change_later_rows_only():
     processor = opened(panes.CardFeatures((1, 24, 168)))
     make = lambda *rows: iter([pd.DataFrame([(h * HOUR_US, i, 10, "a") for i, h in rows], columns=["event_us", "txn_id", "amount_cents", "category"])])
