@@ -56,7 +56,7 @@ def serve_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def featured(raw: DataFrame, cards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) of a raw stream: deduplicated with all features of training and the card's attributes, and rejected."""
     good, bad = split_valid(raw)
-    made = features_stream(dedup_stream(good), expires=True)
+    made = features_stream(dedup_stream(good), expires=True, late_dropped=True)
     return enrich(made, cards).withColumn("event_date", F.to_date(F.timestamp_micros("event_us"))), bad
 
 
