@@ -198,25 +198,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, name: str) -
     return written(near.select("a", "b", "ids_a", "ids_b").mapInArrow(_linked(similarity), f"a {_V}, b {_V}"), name)
 
 
+def _rooted(trees: DataFrame) -> DataFrame:
+    """(v, c) with the root of the tree of each ``v``, where c is its parent and a root its own; each round halves the depth."""
+    while True:
+        up = trees.select(F.col("v").alias("c"), F.col("c").alias("up"))
+        new = written(trees.join(up, "c").select("v", F.col("up").alias("c"), (F.col("up") != F.col("c")).alias("moved")), "labels")
+        discard(trees)
+        trees = new
+        if new.where("moved").isEmpty():
+            return trees
+
+
+def _renamed(names: DataFrame, trees: DataFrame) -> DataFrame:
+    """``names`` (v, c), where each c that ``trees`` (v, c) knows has the name that it has there."""
+    known = trees.select(F.col("v").alias("c"), F.col("c").alias("root"))
+    return names.join(known, "c", "left").select("v", F.coalesce("root", "c").alias("c"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, c) of every vertex of ``links`` (a, b): the least vertex of its component.
 
-    Each round takes the least label among neighbours and then the label of the
-    label, so rounds grow with the logarithm of a component's diameter in the
-    usual case; all of it stays in distributed tables.
+    Each round hangs every vertex on its least neighbour, if that is less, and
+    makes each tree one vertex, named by its root. Links inside a tree are gone
+    then and parallel ones are one, so a link is joined once, not once a round,
+    and at most half the vertices are left; all of it stays in distributed tables.
     """
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = written(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("c")), "labels")
+    edges, names = links, None
     while True:
-        heard = edges.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy(F.col("a").alias("v")).agg(F.min("c").alias("near"))
-        least = labels.join(heard, "v").select("v", F.least("c", "near").alias("c"), F.col("c").alias("old"))
-        jump = labels.select(F.col("v").alias("c"), F.col("c").alias("far"))
-        new = written(least.join(jump, "c", "left").select("v", F.least("c", F.coalesce("far", "c")).alias("c"), (F.least("c", F.coalesce("far", "c")) != F.col("old")).alias("moved")), "labels")
-        discard(labels)
-        labels = new
-        if new.where("moved").isEmpty():
-            discard(edges)
-            return labels
+        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        trees = _rooted(written(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("c")), "labels"))
+        ends = [trees.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")) for x in ("a", "b")]
+        left = written(_ordered(edges.join(ends[0], "a").join(ends[1], "b").where("ca != cb"), "ca", "cb"), "edges")
+        if names is None:
+            names = trees
+        else:
+            new = written(_renamed(names, trees), "labels")
+            discard(edges, names, trees)
+            names = new
+        edges = left
+        if left.isEmpty():
+            discard(left)
+            return names
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -224,6 +246,21 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
+def _joined(names: DataFrame, more: DataFrame) -> DataFrame:
+    """(v, c): the components ``names`` (v, c) after further links (a, b); only what these links touch is gone through again."""
+    if more.isEmpty():
+        return names
+    ends = more.select(F.col("a").alias("v")).unionByName(more.select(F.col("b").alias("v"))).distinct()
+    held = written(ends.join(names, "v", "left").select("v", F.coalesce("c", "v").alias("c")), "touched")
+    a, b = (held.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")) for x in ("a", "b"))
+    between = written(_ordered(more.join(a, "a").join(b, "b").where("ca != cb"), "ca", "cb"), "between")
+    merged = components(between)
+    known = names.join(held.select("v"), "v", "left_anti").unionByName(held)
+    out = written(_renamed(known, merged), "labels")
+    discard(held, between, merged)
+    return out
+
+
 def _class(n):
     return F.floor(F.log(n) / GRID).cast("int")
 
@@ -312,11 +349,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     members = split.select("v", F.xxhash64("c.k1", "c.k2").alias("c")).distinct()
     pairs, held = across(members, sets, similarity)
     more = _verified(pairs.join(tested, ["a", "b"], "left_anti"), held, similarity, "links")
-    classes = parts if more.isEmpty() else components(links.unionByName(more))
+    classes = _joined(parts, more)
 
     named = texts.select(v, "k1", "k2", "first", "size").join(classes.select("v", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
     named = written(named.select("k1", "k2", "c", "first", "size"), "named")
-    discard(buckets, tested, sets, links, more, parts)
+    discard(buckets, tested, sets, links, more, parts, *([] if classes is parts else [classes]))
     totals = named.groupBy("c").agg(F.min("first").alias("class_id"), F.sum("size").alias("class_size"))
     known = named.join(totals, "c").select("k1", "k2", "class_id", "class_size")
     return signed.select("id", "k1", "k2").join(known, ["k1", "k2"]).select(F.col("id").alias(key), "class_id", "class_size")

@@ -518,6 +518,53 @@ def test_near_duplicate_buckets_are_not_joined(spark, monkeypatch):
     assert [n for n in ("buckets", "tested", "met") if re.search(r"Join \w+, \(b#\d+L? = b#\d+L?\)", plans[n])] == []
 
 
+def joined_rows(plan):
+    """Rows that the joins of a plan that ran have made."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return joined_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return joined_rows(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in kind else 0
+    return own + sum(joined_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_components_join_a_link_once_not_once_a_round(spark, monkeypatch):
+    rng = random.Random(9)
+    links = {(i, rng.randrange(300)) for i in range(300) for _ in range(20)}  # a group whose texts have many links each
+    links |= {(1000 + i, 1001 + i) for i in range(150)}  # a path in order, the most rounds
+    links |= {(2000 + rng.randrange(100), 2000 + rng.randrange(100)) for _ in range(60)}
+    links = sorted({(min(p), max(p)) for p in links if p[0] != p[1]})
+    more = [(5, 1149), (1150, 2000), (3000, 3001), (2000, 3001)]
+    label = {v for p in links + more for v in p}
+
+    def least(pairs):
+        found = {v: v for v in label}
+        for a, b in pairs:
+            keep, gone = sorted((found[a], found[b]))
+            found = {v: keep if c == gone else c for v, c in found.items()}
+        return found
+
+    made, write = [], near_dedup.written
+
+    def watched(df, name):
+        df.collect()
+        made.append(joined_rows(df._jdf.queryExecution().executedPlan()))
+        return write(df, name)
+
+    frame = lambda pairs: spark.createDataFrame([((a, -a), (b, -b)) for a, b in pairs], "a struct<k1:bigint,k2:bigint>, b struct<k1:bigint,k2:bigint>")
+    named = lambda df: {r.v.k1: r.c.k1 for r in df.collect()}
+    monkeypatch.setattr(near_dedup, "written", watched)
+    names = near_dedup.components(frame(links))
+    want = least(links)
+    assert named(names) == {v: want[v] for p in links for v in p}
+    assert 0 < sum(made) < 4 * len(links)
+    made.clear()
+    assert named(near_dedup._joined(names, frame(more))) == least(links + more)
+    assert sum(made) < len(links)  # the links known before are not gone through again
+    assert near_dedup.components(frame(links).limit(0)).isEmpty()
+
+
 def test_all_links_of_every_fiftieth_document_are_found(spark):
     import pyarrow as pa
 
